@@ -1,297 +1,6 @@
-"""Registered queries: (spark, sf_dir) -> DataFrame, each with an oracle SQL statement.
-
-Query outputs alias every computed column and cast DECIMAL results to DOUBLE
-(engines disagree on the precision of ``round(decimal)``), ages to INT, so the
-Spark result and the SQL result can be compared value for value. The library
-functions themselves keep the model types (DECIMAL(10,4) rates).
-"""
+"""All registered queries (importing a module registers its queries)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ratebridge.functions import funding as FN
-from ratebridge.plans import latest as L
-from ratebridge.plans import marts as M
-from ratebridge.plans import oracle as O
-from ratebridge.plans import staging as ST
-from ratebridge.sources import fixtures as FX
-
-AS_OF = O.AS_OF
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, QueryFn] = {}
-_ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: QueryFn) -> QueryFn:
-        _QUERIES[name] = fn
-        if sql is not None:
-            _ORACLES[name] = sql
-        return fn
-
-    return deco
-
-
-def queries() -> dict[str, QueryFn]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
-
-
-def _double(*names: str) -> list:
-    return [F.col(n).cast("double").alias(n) for n in names]
-
-
-def _sql_double(*names: str) -> str:
-    return ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names)
-
-
-# ---- model builders over the adapters ---------------------------------------------
-
-
-def staged_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ST.stage_rates(FX.se_rates_raw(spark, sf_dir))
-
-
-def staged_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ST.stage_bank(FX.bank_listed_rates_raw(spark, sf_dir))
-
-
-def staged_scb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ST.stage_scb(FX.scb_mortgage_rates_raw(spark, sf_dir))
-
-
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.rates_daily(staged_rates(spark, sf_dir))
-
-
-def latest_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.latest_bank(staged_bank(spark, sf_dir), AS_OF)
-
-
-def latest_market_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.latest_scb(staged_scb(spark, sf_dir), AS_OF)
-
-
-# ---- staging -----------------------------------------------------------------------
-
-
-@register(
-    "stage_rates",
-    O.with_ctes(["stg_se_rates"], "SELECT rate_date, series_id, series_name, category, "
-                "CAST(value AS DOUBLE) AS value FROM stg_se_rates"),
-)
-def q_stage_rates(spark, sf_dir):
-    return staged_rates(spark, sf_dir).select("rate_date", "series_id", "series_name", "category", *_double("value"))
-
-
-@register("stage_bank", O.with_ctes(["stg_bank"], "SELECT * FROM stg_bank"))
-def q_stage_bank(spark, sf_dir):
-    return staged_bank(spark, sf_dir)
-
-
-@register("stage_scb", O.with_ctes(["stg_scb"], "SELECT * FROM stg_scb"))
-def q_stage_scb(spark, sf_dir):
-    return staged_scb(spark, sf_dir)
-
-
-# ---- rates_daily and spreads ---------------------------------------------------------
-
-_DECIMAL_DAILY = [c for c in M.RATES_DAILY_COLUMNS if c != "rate_date"]
-
-
-@register(
-    "rates_daily",
-    O.with_ctes(["rates_daily"], f"SELECT rate_date, {_sql_double(*_DECIMAL_DAILY)} FROM rates_daily"),
-)
-def q_rates_daily(spark, sf_dir):
-    return daily(spark, sf_dir).select("rate_date", *_double(*_DECIMAL_DAILY))
-
-
-@register(
-    "rate_spreads",
-    O.with_ctes(["rates_daily"], f"SELECT rate_date, {_sql_double(*M.SPREADS)} FROM rates_daily"),
-)
-def q_rate_spreads(spark, sf_dir):
-    return daily(spark, sf_dir).select("rate_date", *_double(*M.SPREADS))
-
-
-# ---- latest --------------------------------------------------------------------------
-
-
-@register("latest_bank", O.with_ctes(["latest_bank"], "SELECT * FROM latest_bank"))
-def q_latest_bank(spark, sf_dir):
-    return latest_listed(spark, sf_dir)
-
-
-@register("latest_scb", O.with_ctes(["latest_scb"], "SELECT * FROM latest_scb"))
-def q_latest_scb(spark, sf_dir):
-    return latest_market_avg(spark, sf_dir)
-
-
-@register(
-    "latest_complete_market",
-    O.with_ctes(["market"], f"SELECT funding_date, {_sql_double(*M.MARKET_COLUMNS)} FROM market"),
-)
-def q_latest_complete_market(spark, sf_dir):
-    return M.latest_market(daily(spark, sf_dir)).select("funding_date", *_double(*M.MARKET_COLUMNS))
-
-
-# ---- funding model ---------------------------------------------------------------------
-
-_FUNDING_COLS = ["funding_model", "funding_weight_2y", "funding_weight_5y", *FN.COMPONENT_COLUMNS]
-
-
-@register(
-    "funding_components",
-    O.with_ctes(
-        ["latest_bank", "market"],
-        "SELECT f.bank, f.period_label, f.period_years, f.list_rate, f.funding_date, "
-        + ", ".join(f"f.{c}" for c in _FUNDING_COLS)
-        + f", round({O.COMPONENT_SUM}, 4) AS funding_cost FROM funding f",
-        extra=[O.funding_cte("l.bank, l.period_label, l.period_years, l.list_rate")],
-    ),
-)
-def q_funding_components(spark, sf_dir):
-    listed = latest_listed(spark, sf_dir).select("bank", "period_label", "period_years", "list_rate")
-    f = M.funding_components(listed, M.latest_market(daily(spark, sf_dir)))
-    return f.select(
-        "bank", "period_label", "period_years", "list_rate", "funding_date", *_FUNDING_COLS,
-        F.round(FN.component_sum(), 4).alias("funding_cost"),
-    )
-
-
-def _part_tenors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FX.table(spark, sf_dir, "part").select(
-        "p_partkey", (F.col("p_size").cast("double") / 4).alias("period_years")
-    )
-
-
-_PART_YEARS = "SELECT p_partkey, CAST(p_size AS DOUBLE) / 4 AS period_years FROM part"
-_fs = O.funding_sql("period_years")
-
-
-@register(
-    "curve_weights",
-    f"SELECT p_partkey, period_years, {_fs['funding_model']} AS funding_model, "
-    f"{_fs['funding_weight_2y']} AS funding_weight_2y, {_fs['funding_weight_5y']} AS funding_weight_5y "
-    f"FROM ({_PART_YEARS}) p",
-)
-def q_curve_weights(spark, sf_dir):
-    y = F.col("period_years")
-    return _part_tenors(spark, sf_dir).select(
-        "p_partkey", "period_years",
-        FN.funding_model(y).alias("funding_model"),
-        FN.weight_low(y).alias("funding_weight_2y"),
-        FN.weight_high(y).alias("funding_weight_5y"),
-    )
-
-
-@register(
-    "tenor_labels",
-    f"SELECT p_partkey, period_years, {O.tenor_label_sql('period_years')} AS period_label FROM ({_PART_YEARS}) p",
-)
-def q_tenor_labels(spark, sf_dir):
-    return _part_tenors(spark, sf_dir).select("p_partkey", "period_years", FN.tenor_label("period_years").alias("period_label"))
-
-
-@register(
-    "market_buckets",
-    f"SELECT p_partkey, period_years, {O.market_bucket_sql('period_years')} AS scb_bucket FROM ({_PART_YEARS}) p",
-)
-def q_market_buckets(spark, sf_dir):
-    return _part_tenors(spark, sf_dir).select("p_partkey", "period_years", FN.market_bucket("period_years").alias("scb_bucket"))
-
-
-@register(
-    "part_funding_curve",
-    O.with_ctes(
-        ["market"],
-        "SELECT p.p_partkey, p.period_years, "
-        + ", ".join(f"{O.funding_sql('p.period_years')[c]} AS {c}" for c in FN.COMPONENT_COLUMNS)
-        + f" FROM ({_PART_YEARS}) p CROSS JOIN market m",
-    ),
-)
-def q_part_funding_curve(spark, sf_dir):
-    """Funding components for every part tenor against the latest complete market."""
-    f = M.funding_components(_part_tenors(spark, sf_dir), M.latest_market(daily(spark, sf_dir)))
-    return f.select("p_partkey", "period_years", *FN.COMPONENT_COLUMNS)
-
-
-# ---- market comparison and marts ---------------------------------------------------------
-
-
-@register(
-    "scb_by_bucket",
-    O.with_ctes(["scb_buckets"], "SELECT * FROM scb_buckets"),
-)
-def q_scb_by_bucket(spark, sf_dir):
-    return M.scb_by_bucket(latest_market_avg(spark, sf_dir))
-
-
-_BM_SQL = O.with_ctes(
-    ["latest_bank", "market"],
-    f"""
-SELECT f.bank, {O.tenor_label_sql('f.period_years')} AS period_label, f.period_label AS period_label_display,
-       f.period_years, f.list_rate, f.avg_rate, f.listed_rate_age_days, f.listed_rate_freshness,
-       f.funding_model, f.funding_weight_2y, f.funding_weight_5y, f.policy_anchor_component,
-       f.short_rate_spread_component, f.risk_free_curve_component, f.covered_bond_spread_component,
-       round({O.COMPONENT_SUM}, 4) AS funding_cost,
-       {O.funding_source_sql('f.period_years')} AS funding_cost_source,
-       round(f.list_rate - {O.COMPONENT_SUM}, 4) AS gross_margin,
-       CASE WHEN f.avg_rate IS NOT NULL THEN round(f.avg_rate - {O.COMPONENT_SUM}, 4) END AS avg_margin,
-       f.scrape_date, f.funding_date
-FROM funding f""",
-    extra=[
-        O.funding_cte(
-            "l.scrape_date, l.bank, l.period_label, l.period_years, l.list_rate, l.avg_rate, "
-            "l.listed_rate_age_days, l.listed_rate_freshness"
-        )
-    ],
-)
-
-
-@register("bank_margin", _BM_SQL)
-def q_bank_margin(spark, sf_dir):
-    return M.bank_margin(daily(spark, sf_dir), latest_listed(spark, sf_dir))
-
-
-_BVM_SQL = O.with_ctes(
-    ["latest_bank", "market", "scb_buckets"],
-    f"""
-SELECT f.bank, {O.tenor_label_sql('f.period_years')} AS period_label, f.period_label_display, f.period_years,
-       {O.market_bucket_sql('f.period_years')} AS scb_bucket,
-       f.list_rate, f.listed_rate_age_days, f.listed_rate_freshness,
-       s.new_loan_rate AS scb_new_loan_rate, s.outstanding_rate AS scb_outstanding_rate,
-       s.scb_rate_age_days, s.scb_rate_freshness,
-       f.funding_model, f.funding_weight_2y, f.funding_weight_5y, f.policy_anchor_component,
-       f.short_rate_spread_component, f.risk_free_curve_component, f.covered_bond_spread_component,
-       round({O.COMPONENT_SUM}, 4) AS funding_cost,
-       {O.funding_source_sql('f.period_years')} AS funding_cost_source,
-       round(f.list_rate - {O.COMPONENT_SUM}, 4) AS gross_margin_listed,
-       round(s.new_loan_rate - {O.COMPONENT_SUM}, 4) AS effective_margin_new,
-       round(f.list_rate - s.new_loan_rate, 4) AS list_vs_mkt_discount,
-       f.funding_date,
-       coalesce(s.scb_new_loan_period_month, s.scb_outstanding_period_month) AS scb_period_month,
-       s.scb_new_loan_period_month, s.scb_outstanding_period_month
-FROM funding f
-LEFT JOIN scb_buckets s ON s.period_label = {O.market_bucket_sql('f.period_years')}""",
-    extra=[
-        O.funding_cte(
-            "l.bank, l.period_label AS period_label_display, l.period_years, l.list_rate, "
-            "l.listed_rate_age_days, l.listed_rate_freshness"
-        )
-    ],
-)
-
-
-@register("bank_vs_market", _BVM_SQL)
-def q_bank_vs_market(spark, sf_dir):
-    return M.bank_vs_market(daily(spark, sf_dir), latest_listed(spark, sf_dir), latest_market_avg(spark, sf_dir))
+from ratebridge.plans import generic_queries, model_queries, quality_queries  # noqa: F401
+from ratebridge.plans.registry import oracle_sql, queries  # noqa: F401
