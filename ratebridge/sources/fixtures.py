@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebridge import schemas as S
+from ratebridge.sources.payloads import with_series_meta
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -50,13 +51,8 @@ def _pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def series_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(sid, name, cat) for sid, name, cat, _ in S.SERIES], "series_id string, series_name string, category string"
-    )
-
-
-def se_rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def se_rates_raw(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
+    """``keep_key`` adds ``src_key`` (the line item's order key) for renderers."""
     li = table(spark, sf_dir, "lineitem")
     rate_date = F.date_format(F.date_trunc("month", F.col("l_shipdate")), "yyyy-MM-dd")
     value = F.when(F.col("l_orderkey") % 97 == 0, F.lit(None).cast("double")).otherwise(
@@ -66,17 +62,19 @@ def se_rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         rate_date.alias("rate_date"),
         _pick(S.SERIES_IDS, F.col("l_partkey") % 11).alias("series_id"),
         value.alias("value"),
+        F.col("l_orderkey").alias("src_key"),
     )
-    # 11-row fixed dimension: broadcast lookup, no shuffle of the observations.
-    meta = series_dimension(spark)
-    return obs.join(F.broadcast(meta), "series_id", "inner").select(*S.SE_RATES_RAW.fieldNames())
+    # 11-entry fixed dimension as literal maps: an expression, no join, no shuffle.
+    cols = S.SE_RATES_RAW.fieldNames() + (["src_key"] if keep_key else [])
+    return with_series_meta(obs).select(*cols)
 
 
-def bank_listed_rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bank_listed_rates_raw(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     tenor = F.col("o_custkey") % 14
     banks = list(S.BANK_SOURCES)
+    extra = [k.alias("src_key")] if keep_key else []
     return o.select(
         _pick(banks, k % 3).alias("bank"),
         _pick([t[1] for t in ADAPTER_TENORS], tenor).alias("period_label"),
@@ -93,12 +91,14 @@ def bank_listed_rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(":00:00+00:00"),
         ).alias("scraped_at"),
         _pick([S.BANK_SOURCES[b] for b in banks], k % 3).alias("source"),
+        *extra,
     )
 
 
-def scb_mortgage_rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scb_mortgage_rates_raw(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
+    extra = [k.alias("src_key")] if keep_key else []
     code = F.col("o_custkey") % 5
     loan_type = F.when(k % 2 == 0, F.lit(S.NEW_LOANS)).otherwise(F.lit(S.OUTSTANDING_LOANS))
     loan_names = F.create_map(*[F.lit(x) for pair in S.SCB_LOAN_TYPES for x in pair])
@@ -112,6 +112,7 @@ def scb_mortgage_rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(1.0) + (k % 500).cast("double") / 100)
         .alias("rate"),
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00+00:00")).alias("scraped_at"),
+        *extra,
     )
 
 
