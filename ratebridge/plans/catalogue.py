@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
-from ratebridge.plans import generic_queries, model_queries, payload_queries, quality_queries  # noqa: F401
+from ratebridge.plans import (  # noqa: F401
+    contract_queries,
+    generic_queries,
+    model_queries,
+    payload_queries,
+    quality_queries,
+)
 from ratebridge.plans.registry import oracle_sql, queries  # noqa: F401

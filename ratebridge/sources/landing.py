@@ -216,3 +216,97 @@ def bank_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = FX.bank_listed_rates_raw(spark, sf_dir, keep_key=True)
     pages = nordea_pages(raw).unionByName(swedbank_pages(raw))
     return pages.withColumn("page_id", F.xxhash64("url"))
+
+
+# ---- app contracts ---------------------------------------------------------------------
+
+CONTRACT_BLOCK = 1024
+STATUS_CONTEXT = {"F": "loan_amount", "O": "current_rate", "P": "target_rate"}
+
+
+def contract_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One state-machine contract per (customer, order-key block): ``(path, doc)``.
+
+    States are the block's orders (``s<orderkey>``) in key order; each state
+    links forward to the next order unless that one is pending ('P', which
+    leaves it and its successors unreachable) and back to the previous one (a
+    cycle); low-priority orders also point at a missing state and a missing
+    data product. Some documents break the structure rules (upper-case id,
+    an unknown member, a state without purpose) or name a missing initial or
+    terminal state. Built per bounded block with windows and one aggregate.
+    """
+    from pyspark.sql import Window
+
+    o = FX.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("ck"),
+        F.col("o_orderkey").alias("k"),
+        F.col("o_orderstatus").alias("st"),
+        F.col("o_orderpriority").alias("pr"),
+        F.floor(F.col("o_orderkey") / CONTRACT_BLOCK).alias("blk"),
+    )
+    w = Window.partitionBy("ck", "blk").orderBy("k")
+    o = o.withColumns({"nk": F.lead("k").over(w), "nst": F.lead("st").over(w), "pk": F.lag("k").over(w)})
+
+    def sname(col: str) -> Column:
+        return F.concat(F.lit("s"), F.col(col).cast("string"))
+
+    def tr(event: str, target: Column) -> Column:
+        return F.struct(F.lit(event).alias("event"), target.alias("target"))
+
+    low = F.col("pr") == "5-LOW"
+    transitions = F.filter(
+        F.array(
+            F.when(F.col("nk").isNotNull() & (F.col("nst") != "P"), tr("next", sname("nk"))),
+            F.when(F.col("pk").isNotNull(), tr("back", sname("pk"))),
+            F.when(low, tr("escalate", F.concat(F.lit("x"), F.col("k").cast("string")))),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    ctx = F.create_map(*[F.lit(x) for kv in STATUS_CONTEXT.items() for x in kv])[F.col("st")]
+    state = F.struct(
+        F.concat(F.lit("Order "), F.col("k").cast("string")).alias("label"),
+        F.lit("OrderStep").alias("component"),
+        F.when(F.col("k") % 101 != 0, F.lit("Review the order")).alias("purpose"),
+        F.array(ctx).alias("requires_context"),
+        F.array(F.concat(F.lit("p"), F.substring("pr", 1, 1))).alias("data"),
+        transitions.alias("transitions"),
+    )
+    docs = o.groupBy("ck", "blk").agg(
+        F.min("k").alias("k0"),
+        F.max("k").alias("k1"),
+        F.map_from_entries(F.collect_list(F.struct(sname("k"), state))).alias("states"),
+    )
+    ck = F.col("ck")
+
+    def ctx_entry(desc: str) -> Column:
+        return F.struct(F.lit("number").alias("type"), F.lit(desc).alias("description"))
+
+    ctx_map = F.when(
+        ck % 2 == 0,
+        F.create_map(F.lit("loan_amount"), ctx_entry("Loan amount"), F.lit("current_rate"), ctx_entry("Current rate")),
+    ).otherwise(F.create_map(F.lit("loan_amount"), ctx_entry("Loan amount")))
+    product = F.struct(
+        F.lit("dbt").alias("owner"),
+        F.lit("rates_daily").alias("relation"),
+        F.lit("Market context").alias("description"),
+        F.lit("rate_date").alias("freshness_field"),
+    )
+    products = F.create_map(*[x for i in range(1, 5) for x in (F.lit(f"p{i}"), product)])
+    last = F.concat(F.lit("s"), F.col("k1").cast("string"))
+    doc = F.to_json(
+        F.struct(
+            F.when(ck % 19 == 0, F.concat(F.lit("C"), ck.cast("string")))
+            .otherwise(F.concat(F.lit("c"), ck.cast("string"), F.lit("_"), F.col("blk").cast("string")))
+            .alias("id"),
+            F.lit(1).alias("version"),
+            F.when(ck % 13 == 0, F.lit("start")).otherwise(F.concat(F.lit("s"), F.col("k0").cast("string")))
+            .alias("initial"),
+            F.when(ck % 11 == 0, F.array(last, F.lit("closed"))).otherwise(F.array(last)).alias("terminal"),
+            F.when(ck % 17 == 0, F.lit("rates")).alias("owner_team"),
+            ctx_map.alias("context_schema"),
+            products.alias("data_products"),
+            F.col("states"),
+        )
+    )
+    path = F.concat(F.lit("contracts/c"), ck.cast("string"), F.lit("_"), F.col("blk").cast("string"), F.lit(".json"))
+    return docs.select(path.alias("path"), doc.alias("doc"))
