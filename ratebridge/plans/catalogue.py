@@ -8,5 +8,6 @@ from ratebridge.plans import (  # noqa: F401
     model_queries,
     payload_queries,
     quality_queries,
+    stream_queries,
 )
 from ratebridge.plans.registry import oracle_sql, queries  # noqa: F401

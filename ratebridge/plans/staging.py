@@ -22,7 +22,20 @@ def stage_rates(raw: DataFrame) -> DataFrame:
     Survivor among duplicates: smallest value, then name, then category (the
     reference keeps an arbitrary one).
     """
-    typed = raw.where(
+    return dedup_keep_first(typed_rates(raw), RATE_KEYS, rate_order())
+
+
+RATE_KEYS = ["rate_date", "series_id"]
+
+
+def rate_order():
+    """Survivor order among duplicate observations (a total order)."""
+    return asc("value", "series_name", "category")
+
+
+def typed_rates(raw: DataFrame) -> DataFrame:
+    """Rows with a date, series and value; DATE, trimmed text, DECIMAL(10,4)."""
+    return raw.where(
         F.col("rate_date").isNotNull() & F.col("series_id").isNotNull() & F.col("value").isNotNull()
     ).select(
         F.col("rate_date").cast("date").alias("rate_date"),
@@ -31,7 +44,6 @@ def stage_rates(raw: DataFrame) -> DataFrame:
         F.trim("category").alias("category"),
         F.col("value").cast(RATE_DECIMAL).alias("value"),
     )
-    return dedup_keep_first(typed, ["rate_date", "series_id"], asc("value", "series_name", "category"))
 
 
 BANK_COLUMNS = [
