@@ -67,7 +67,7 @@ def stage_bank(raw: DataFrame, strict_dates: bool = True) -> DataFrame:
     instead of failing the build.
     """
     day = F.substring("scraped_at", 1, 10)
-    scrape_date = F.to_date(day, "yyyy-MM-dd") if strict_dates else F.try_to_date(day, F.lit("yyyy-MM-dd"))
+    scrape_date = F.to_date(day, "yyyy-MM-dd") if strict_dates else F.try_to_date(day, "yyyy-MM-dd")
     typed = raw.where(F.col("list_rate").isNotNull()).select(
         scrape_date.alias("scrape_date"),
         "bank",

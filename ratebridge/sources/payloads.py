@@ -46,11 +46,14 @@ def with_series_meta(df: DataFrame, series_col: str = "series_id") -> DataFrame:
 def extract_observations(bodies: DataFrame) -> DataFrame:
     """Bodies of ``[{date, value | rate}, ...]`` keyed by series id -> se_rates_raw rows.
 
-    A body that is not a JSON array yields no rows. ``value`` wins over
+    A body that is not a JSON array (e.g. an error object) yields no rows. ``value`` wins over
     ``rate``; note that after parsing, an explicit ``"value": null`` looks like
     an absent key, so such an observation falls back to ``rate``.
     """
-    parsed = bodies.select(F.col("key").alias("series_id"), F.from_json("body", S.OBSERVATIONS_PAYLOAD).alias("obs"))
+    # from_json would wrap a lone JSON object into a one-element array; only
+    # array bodies carry observations.
+    arrays = bodies.where(F.col("body").rlike(r"^\s*\["))
+    parsed = arrays.select(F.col("key").alias("series_id"), F.from_json("body", S.OBSERVATIONS_PAYLOAD).alias("obs"))
     flat = parsed.select("series_id", F.explode("obs").alias("o")).select(
         F.col("o.date").alias("rate_date"),
         "series_id",
