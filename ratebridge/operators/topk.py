@@ -51,3 +51,25 @@ def asc(*names: str) -> list[Column]:
 def desc(*names: str) -> list[Column]:
     """Descending, NULLs last."""
     return [F.col(n).desc_nulls_last() for n in names]
+
+
+def dedup_by_min(
+    df: DataFrame,
+    keys: Sequence[str],
+    first: str,
+    rest: Sequence[str] = (),
+    descending: bool = False,
+) -> DataFrame:
+    """Top-1 per key under the order (``first``, *``rest``), all NULLs last, for
+    relations whose columns are exactly ``keys`` + ``first`` + ``rest``.
+
+    Built for heavily duplicated input (overlapping reloads): a hash aggregate
+    first reduces every (key, rest) group to min (or max) of the fixed-width
+    ``first`` column - map-side, with no sort of the input - and the top-1
+    window then runs on those few survivors. Exact: the lexicographic minimum
+    over rows equals the minimum over (rest)-groups of (min first, rest).
+    """
+    agg = F.max if descending else F.min
+    reduced = df.groupBy(*keys, *rest).agg(agg(first).alias(first))
+    order = (desc if descending else asc)(first) + asc(*rest)
+    return first_per_key(reduced, keys, order).select(*df.columns)

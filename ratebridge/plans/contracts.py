@@ -149,10 +149,15 @@ def schema_errors(parsed: DataFrame) -> DataFrame:
     out = [_explode_findings(parsed, root)]
 
     def entries(member: str) -> DataFrame:
-        return parsed.select("path", "c", F.explode(f"raw.{member}").alias("name", "raw"))
+        """One row per member entry: (path, name, raw JSON, typed struct ``e``).
+        Typed and raw maps are zipped by key first, so the generated rows carry
+        only their own entry, never the whole document."""
+        both = F.map_zip_with(F.col(f"raw.{member}"), F.col(f"c.{member}"),
+                              lambda k, r, t: F.struct(r.alias("raw"), t.alias("e")))
+        return parsed.select("path", F.explode(both).alias("name", "v")).select("path", "name", "v.raw", "v.e")
 
     ctx = entries("context_schema")
-    e = F.col("c.context_schema")[F.col("name")]
+    e = F.col("e")
     loc = F.concat(F.lit("context_schema."), F.col("name"))
     out.append(_explode_findings(ctx, F.concat(
         _member_findings(F.json_object_keys("raw"), loc, CONTEXT_KEYS, CONTEXT_REQUIRED),
@@ -161,7 +166,6 @@ def schema_errors(parsed: DataFrame) -> DataFrame:
         _not_unique(e["enum"], F.concat(loc, F.lit(".enum"))),
     )))
     dp = entries("data_products")
-    e = F.col("c.data_products")[F.col("name")]
     loc = F.concat(F.lit("data_products."), F.col("name"))
     out.append(_explode_findings(dp, F.concat(
         _member_findings(F.json_object_keys("raw"), loc, PRODUCT_KEYS, PRODUCT_REQUIRED),
@@ -169,7 +173,6 @@ def schema_errors(parsed: DataFrame) -> DataFrame:
               F.concat(_q(e["owner"]), F.lit(f" is not one of {PRODUCT_OWNERS}"))),
     )))
     st = entries("states")
-    e = F.col("c.states")[F.col("name")]
     loc = F.concat(F.lit("states."), F.col("name"))
     raw_transitions = F.from_json("raw", T.StructType([T.StructField("transitions", STRS)]))["transitions"]
     transition_findings = F.flatten(F.transform(

@@ -20,6 +20,8 @@ from ratebridge.sources.fixtures import table
 _BANK_OUT = "bank, period_label, period_years, list_rate, avg_rate, valid_from, scraped_at, source"
 _SBAB_LABELS = sorted({label for code, _, label in S.BANK_PERIODS if code.startswith("P_")})
 _TEXT_LABELS = sorted({label for code, _, label in S.BANK_PERIODS if not code.startswith("P_")})
+# One scraped page / offer list: (day, key block).
+_PAGE = f"substr(scraped_at, 1, 10), src_key // {LD.PAGE_BLOCK}"
 
 
 def _in(values) -> str:
@@ -41,7 +43,7 @@ def q_observations_roundtrip(spark, sf_dir):
         ["scb_mortgage_rates_raw"],
         f"""
 SELECT period_month, loan_type, loan_type_name, period_code, period_label, rate, fetched_at AS scraped_at
-FROM (SELECT *, max(scraped_at) OVER (PARTITION BY period_month, src_key // {LD.BLOCK}) AS fetched_at
+FROM (SELECT *, max(scraped_at) OVER (PARTITION BY src_key // {LD.PX_BLOCK}) AS fetched_at
       FROM scb_mortgage_rates_raw) r
 WHERE rate IS NOT NULL AND period_month >= '{LD.PX_FROM_MONTH}'""",
     ),
@@ -57,9 +59,11 @@ def q_px_table_roundtrip(spark, sf_dir):
         ["bank_listed_rates_raw"],
         f"""
 SELECT bank, period_label, period_years, list_rate, CAST(NULL AS DOUBLE) AS avg_rate,
-       CASE WHEN src_key % 7 = 0 THEN '' ELSE substr(scraped_at, 1, 10) END AS valid_from, scraped_at, source
-FROM bank_listed_rates_raw
-WHERE bank = 'SBAB' AND list_rate IS NOT NULL AND period_label IN {_in(_SBAB_LABELS)}""",
+       CASE WHEN src_key % 7 = 0 THEN '' ELSE substr(scraped_at, 1, 10) END AS valid_from,
+       fetched_at AS scraped_at, source
+FROM (SELECT *, max(scraped_at) OVER (PARTITION BY {_PAGE}) AS fetched_at
+      FROM bank_listed_rates_raw WHERE bank = 'SBAB' AND list_rate IS NOT NULL) r
+WHERE period_label IN {_in(_SBAB_LABELS)}""",
     ),
 )
 def q_offers_roundtrip(spark, sf_dir):
@@ -75,16 +79,18 @@ _HTML_SQL = O.with_ctes(
 SELECT {_BANK_OUT} FROM (
   SELECT bank, period_label, period_years, list_rate, CAST(NULL AS DOUBLE) AS avg_rate,
          coalesce(last_value(CASE WHEN src_key % 5 = 0 THEN substr(scraped_at, 1, 10) END IGNORE NULLS)
-                  OVER (PARTITION BY scraped_at, src_key // {LD.BLOCK} ORDER BY src_key
+                  OVER (PARTITION BY {_PAGE} ORDER BY src_key
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS valid_from,
-         scraped_at, source
+         max(scraped_at) OVER (PARTITION BY {_PAGE}) AS scraped_at, source
   FROM bank_listed_rates_raw WHERE bank = 'Nordea') n
 WHERE list_rate IS NOT NULL AND period_label IN {_in(_TEXT_LABELS)}
 UNION ALL
 SELECT bank, period_label, period_years, list_rate, avg_rate,
        CAST(day(d) AS VARCHAR) || ' ' || {_MONTHS_SQL}[month(d)] || ' ' || CAST(year(d) AS VARCHAR) AS valid_from,
-       scraped_at, source
-FROM (SELECT *, CAST(substr(scraped_at, 1, 10) AS DATE) AS d FROM bank_listed_rates_raw WHERE bank = 'Swedbank') s
+       fetched_at AS scraped_at, source
+FROM (SELECT *, CAST(substr(scraped_at, 1, 10) AS DATE) AS d,
+             max(scraped_at) OVER (PARTITION BY {_PAGE}) AS fetched_at
+      FROM bank_listed_rates_raw WHERE bank = 'Swedbank') s
 WHERE list_rate IS NOT NULL AND period_label IN {_in(_TEXT_LABELS)}""",
 )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratebridge.functions.dates import month_start
-from ratebridge.operators.topk import asc, dedup_keep_first, desc
+from ratebridge.operators.topk import asc, dedup_by_min, dedup_keep_first, desc
 
 RATE_DECIMAL = T.DecimalType(10, 4)
 
@@ -20,9 +20,10 @@ def stage_rates(raw: DataFrame) -> DataFrame:
     """One row per (rate_date, series_id): DATE, trimmed text, DECIMAL(10,4) value.
 
     Survivor among duplicates: smallest value, then name, then category (the
-    reference keeps an arbitrary one).
+    reference keeps an arbitrary one). Reloads repeat the same observation
+    many times, so duplicates are pre-aggregated map-side before the shuffle.
     """
-    return dedup_keep_first(typed_rates(raw), RATE_KEYS, rate_order())
+    return dedup_by_min(typed_rates(raw), RATE_KEYS, "value", ["series_name", "category"])
 
 
 RATE_KEYS = ["rate_date", "series_id"]

@@ -54,7 +54,7 @@ def _pick(values: list, index: Column) -> Column:
 def se_rates_raw(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
     """``keep_key`` adds ``src_key`` (the line item's order key) for renderers."""
     li = table(spark, sf_dir, "lineitem")
-    rate_date = F.date_format(F.date_trunc("month", F.col("l_shipdate")), "yyyy-MM-dd")
+    rate_date = F.trunc(F.col("l_shipdate").cast("date"), "month").cast("string")
     value = F.when(F.col("l_orderkey") % 97 == 0, F.lit(None).cast("double")).otherwise(
         F.col("l_quantity") / 10 + F.col("l_discount")
     )
@@ -85,7 +85,7 @@ def bank_listed_rates_raw(spark: SparkSession, sf_dir: str, keep_key: bool = Fal
         F.when(k % 3 == 2, F.lit(1.5) + (k % 300).cast("double") / 100).alias("avg_rate"),
         F.lit("").alias("valid_from"),
         F.concat(
-            F.date_format("o_orderdate", "yyyy-MM-dd"),
+            F.col("o_orderdate").cast("date").cast("string"),
             F.lit("T"),
             F.lpad((k % 24).cast("string"), 2, "0"),
             F.lit(":00:00+00:00"),
@@ -103,7 +103,7 @@ def scb_mortgage_rates_raw(spark: SparkSession, sf_dir: str, keep_key: bool = Fa
     loan_type = F.when(k % 2 == 0, F.lit(S.NEW_LOANS)).otherwise(F.lit(S.OUTSTANDING_LOANS))
     loan_names = F.create_map(*[F.lit(x) for pair in S.SCB_LOAN_TYPES for x in pair])
     return o.select(
-        F.date_format("o_orderdate", "yyyy-MM").alias("period_month"),
+        F.substring(F.col("o_orderdate").cast("date").cast("string"), 1, 7).alias("period_month"),
         loan_type.alias("loan_type"),
         F.coalesce(loan_names[loan_type], loan_type).alias("loan_type_name"),
         _pick([c for c, _, _ in S.SCB_PERIODS], code).alias("period_code"),
@@ -111,7 +111,7 @@ def scb_mortgage_rates_raw(spark: SparkSession, sf_dir: str, keep_key: bool = Fa
         F.when(k % 40 == 0, F.lit(None).cast("double"))
         .otherwise(F.lit(1.0) + (k % 500).cast("double") / 100)
         .alias("rate"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00+00:00")).alias("scraped_at"),
+        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T00:00:00+00:00")).alias("scraped_at"),
         *extra,
     )
 

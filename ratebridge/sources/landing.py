@@ -20,6 +20,11 @@ from ratebridge.functions.text import NBSP
 from ratebridge.sources import fixtures as FX
 
 BLOCK = 256
+# Scrapes: one page / offer list per (bank, day, key block), fetched at the
+# newest scrape time in it; statistical tables: one body per key block with
+# every month, as the real endpoint returns all months at once.
+PAGE_BLOCK = 65536
+PX_BLOCK = 4096
 PX_FROM_MONTH = "1996-01"
 PX_CODES_A = ["Referenssektor", "Avtal", "Rantebindningstid", "Tid"]
 PX_CODES_B = ["Tid", "Rantebindningstid", "Avtal", "Referenssektor"]
@@ -28,8 +33,12 @@ MONTHS_SV = ["januari", "februari", "mars", "april", "maj", "juni", "juli", "aug
              "november", "december"]
 
 
-def block_of(key: str = "src_key") -> Column:
-    return F.floor(F.col(key) / BLOCK)
+def block_of(key: str = "src_key", size: int = BLOCK) -> Column:
+    return F.floor(F.col(key) / size)
+
+
+def scrape_day(col: str = "scraped_at") -> Column:
+    return F.substring(col, 1, 10)
 
 
 def _ordered_join(parts: Column, sep: str = "") -> Column:
@@ -78,26 +87,25 @@ def observation_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def px_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One statistical-table body per (month, key block); blocks alternate the
-    dimension order so positions must be resolved from ``columns``; a NULL rate
-    publishes ``..``. ``fetched_at`` is the newest scrape time in the block."""
-    raw = FX.scb_mortgage_rates_raw(spark, sf_dir, keep_key=True).withColumn("blk", block_of())
+    """One statistical-table body per key block with all its months; blocks
+    alternate the dimension order so positions must be resolved from
+    ``columns``; a NULL rate publishes ``..``. ``fetched_at`` is the newest
+    scrape time in the block."""
+    raw = FX.scb_mortgage_rates_raw(spark, sf_dir, keep_key=True).withColumn("blk", block_of(size=PX_BLOCK))
     month_code = F.replace(F.col("period_month"), F.lit("-"), F.lit("M"))
     even = F.col("blk") % 2 == 0
     key_a = F.array(F.lit("1.1"), F.col("loan_type"), F.col("period_code"), month_code)
     key_b = F.array(month_code, F.col("period_code"), F.col("loan_type"), F.lit("1.1"))
     value = F.coalesce(rate_text("rate"), F.lit(".."))
     row = F.struct(F.when(even, key_a).otherwise(key_b).alias("key"), F.array(value).alias("values"))
-    grouped = raw.groupBy("period_month", "blk").agg(
-        F.max("scraped_at").alias("fetched_at"), _ordered_list(row).alias("data")
-    )
+    grouped = raw.groupBy("blk").agg(F.max("scraped_at").alias("fetched_at"), _ordered_list(row).alias("data"))
 
     def codes(names):
         return F.array(*[F.struct(F.lit(n).alias("code")) for n in names])
 
     columns = F.when(F.col("blk") % 2 == 0, codes(PX_CODES_A)).otherwise(codes(PX_CODES_B))
     body = F.to_json(F.struct(columns.alias("columns"), F.col("data")))
-    return _landed(grouped, "scb_px", F.col("fetched_at"), F.col("period_month"), body)
+    return _landed(grouped, "scb_px", F.col("fetched_at"), F.col("blk").cast("string"), body)
 
 
 # ---- bank offers JSON ----------------------------------------------------------------------
@@ -114,8 +122,8 @@ def offer_code(label: Column) -> Column:
 
 
 def offer_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SBAB rows with a rate, one body per (scrape time, key block); every 7th
-    offer omits ``validFrom``."""
+    """SBAB rows with a rate, one body per (day, key block) fetched at the newest
+    scrape time in it; every 7th offer omits ``validFrom``."""
     raw = FX.bank_listed_rates_raw(spark, sf_dir, keep_key=True).where(
         (F.col("bank") == "SBAB") & F.col("list_rate").isNotNull()
     )
@@ -124,9 +132,11 @@ def offer_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         rate_text("list_rate", decimal_comma=False).alias("interestRate"),
         F.when(F.col("src_key") % 7 != 0, F.substring("scraped_at", 1, 10)).alias("validFrom"),
     )
-    grouped = raw.groupBy("scraped_at", block_of().alias("blk")).agg(_ordered_list(item).alias("items"))
+    grouped = raw.groupBy(scrape_day().alias("day"), block_of(size=PAGE_BLOCK).alias("blk")).agg(
+        F.max("scraped_at").alias("fetched_at"), _ordered_list(item).alias("items")
+    )
     body = F.to_json(F.struct(F.col("items").alias("listInterests")))
-    return _landed(grouped, "sbab_api", F.col("scraped_at"), F.lit("SBAB"), body)
+    return _landed(grouped, "sbab_api", F.col("fetched_at"), F.lit("SBAB"), body)
 
 
 # ---- HTML pages --------------------------------------------------------------------------
@@ -146,16 +156,18 @@ DECOY_TABLE = "<table><tr><td>Öppettider</td><td>9-17</td></tr></table>"
 
 
 def nordea_pages(raw: DataFrame) -> DataFrame:
-    """Plain tables: decoy table first; the rates table has a caption on two of
-    three pages (the rest are found by the '%' fallback); header row first;
+    """Plain tables: decoy table first; the rates table has a caption on about two
+    of three pages (the rest are found by the '%' fallback); header row first;
     cells period, rate, change, valid-from (filled on every 5th row)."""
     rows = raw.where(F.col("bank") == "Nordea")
     rate = F.coalesce(rate_text("list_rate", suffix=NBSP + "%"), F.lit("-"))
     vf = F.when(F.col("src_key") % 5 == 0, F.substring("scraped_at", 1, 10)).otherwise(F.lit(""))
     tr = F.concat(F.lit("<tr>"), _td(period_text(F.col("period_label"))), _td(rate), _td(F.lit("-")), _td(vf),
                   F.lit("</tr>"))
-    grouped = rows.groupBy("scraped_at", block_of().alias("blk")).agg(_ordered_join(tr).alias("trs"))
-    caption = F.when(F.col("blk") % 3 != 0, F.lit("<caption>Aktuella listräntor</caption>")).otherwise(F.lit(""))
+    grouped = rows.groupBy(scrape_day().alias("day"), block_of(size=PAGE_BLOCK).alias("blk")).agg(
+        F.max("scraped_at").alias("fetched_at"), _ordered_join(tr).alias("trs")
+    )
+    caption = F.when(F.hash("day") % 3 != 0, F.lit("<caption>Aktuella listräntor</caption>")).otherwise(F.lit(""))
     html = F.concat(
         F.lit("<html><body><h1>Bolån</h1>"),
         F.lit(DECOY_TABLE),
@@ -166,8 +178,8 @@ def nordea_pages(raw: DataFrame) -> DataFrame:
         F.lit("</table></body></html>"),
     )
     return grouped.select(
-        F.concat(F.lit("nordea/"), F.col("scraped_at"), F.lit("/"), F.col("blk").cast("string")).alias("url"),
-        F.col("scraped_at").alias("fetched_at"),
+        F.concat(F.lit("nordea/"), F.col("day"), F.lit("/"), F.col("blk").cast("string")).alias("url"),
+        "fetched_at",
         F.lit("Nordea").alias("bank"),
         html.alias("html"),
     )
@@ -182,20 +194,21 @@ def header_date(scraped_at: Column) -> Column:
 
 def swedbank_pages(raw: DataFrame) -> DataFrame:
     """Sectioned tables: thead headers (average and list columns swap places on
-    odd blocks; the list header carries the valid-from date), tbody rows."""
+    odd days; the list header carries the valid-from date), tbody rows."""
     rows = raw.where(F.col("bank") == "Swedbank")
     lst = F.coalesce(rate_text("list_rate", suffix=" " + NBSP + "%"), F.lit(""))
     avg = F.coalesce(rate_text("avg_rate", suffix=" %"), F.lit(""))
-    odd = F.col("src_block") % 2 == 1
+    odd = F.dayofmonth(F.to_date(scrape_day())) % 2 == 1
     tr_even = F.concat(F.lit("<tr>"), _td(period_text(F.col("period_label"))), _td(lst), _td(avg), F.lit("</tr>"))
     tr_odd = F.concat(F.lit("<tr>"), _td(period_text(F.col("period_label"))), _td(avg), _td(lst), F.lit("</tr>"))
-    rows = rows.withColumn("src_block", block_of())
-    grouped = rows.groupBy("scraped_at", F.col("src_block").alias("blk")).agg(
-        _ordered_join(F.when(odd, tr_odd).otherwise(tr_even)).alias("trs")
+    grouped = rows.groupBy(scrape_day().alias("day"), block_of(size=PAGE_BLOCK).alias("blk")).agg(
+        F.max("scraped_at").alias("fetched_at"), _ordered_join(F.when(odd, tr_odd).otherwise(tr_even)).alias("trs")
     )
-    list_head = F.concat(F.lit("<th>Listränta från "), header_date(F.col("scraped_at")), F.lit("</th>"))
+    list_head = F.concat(F.lit("<th>Listränta från "), header_date(F.col("day")), F.lit("</th>"))
     avg_head = F.lit("<th>Snittränta <span>förra månaden</span></th>")
-    heads = F.when(F.col("blk") % 2 == 1, F.concat(avg_head, list_head)).otherwise(F.concat(list_head, avg_head))
+    heads = F.when(F.dayofmonth(F.to_date("day")) % 2 == 1, F.concat(avg_head, list_head)).otherwise(
+        F.concat(list_head, avg_head)
+    )
     html = F.concat(
         F.lit("<html><body><table><caption>Våra bolåneräntor</caption><thead><tr><th>Bindningstid</th>"),
         heads,
@@ -204,8 +217,8 @@ def swedbank_pages(raw: DataFrame) -> DataFrame:
         F.lit("</tbody></table></body></html>"),
     )
     return grouped.select(
-        F.concat(F.lit("swedbank/"), F.col("scraped_at"), F.lit("/"), F.col("blk").cast("string")).alias("url"),
-        F.col("scraped_at").alias("fetched_at"),
+        F.concat(F.lit("swedbank/"), F.col("day"), F.lit("/"), F.col("blk").cast("string")).alias("url"),
+        "fetched_at",
         F.lit("Swedbank").alias("bank"),
         html.alias("html"),
     )

@@ -87,20 +87,29 @@ def extract_px_table(bodies: DataFrame, from_month: str | None = None) -> DataFr
     """
     p = bodies.select("fetched_at", F.from_json("body", S.PX_TABLE_PAYLOAD).alias("p"))
     codes = F.transform(F.col("p.columns"), lambda c: c["code"])
-    located = p.select(
-        "fetched_at",
-        _dim_index(codes, PX_LOAN_DIM).alias("loan_idx"),
-        _dim_index(codes, PX_PERIOD_DIM).alias("period_idx"),
-        _dim_index(codes, PX_MONTH_DIM).alias("month_idx"),
-        F.explode("p.data").alias("row"),
+    loan_idx = _dim_index(codes, PX_LOAN_DIM)
+    period_idx = _dim_index(codes, PX_PERIOD_DIM)
+    month_idx = _dim_index(codes, PX_MONTH_DIM)
+    # Resolve every cell inside the array, then explode the small resolved
+    # structs: exploding the raw data while still referencing the body would
+    # carry the whole parsed body on every generated row.
+    cells_arr = F.transform(
+        F.col("p.data"),
+        lambda r: F.struct(
+            F.element_at(r["key"], month_idx).alias("month_code"),
+            F.element_at(r["key"], loan_idx).alias("loan_type"),
+            F.element_at(r["key"], period_idx).alias("period_code"),
+            F.element_at(r["values"], 1).alias("raw_value"),
+        ),
     )
-    raw_value = F.element_at(F.col("row.values"), 1)
+    located = p.select("fetched_at", F.explode(cells_arr).alias("c")).select("fetched_at", "c.*")
+    raw_value = F.col("raw_value")
     cells = located.where(raw_value.isNotNull() & ~raw_value.isin(PX_MISSING)).select(
         "fetched_at",
-        month_code_to_iso(F.element_at(F.col("row.key"), F.col("month_idx"))).alias("period_month"),
-        F.element_at(F.col("row.key"), F.col("loan_idx")).alias("loan_type"),
-        F.element_at(F.col("row.key"), F.col("period_idx")).alias("period_code"),
-        raw_value.alias("raw_value"),
+        month_code_to_iso("month_code").alias("period_month"),
+        "loan_type",
+        "period_code",
+        "raw_value",
     )
     if from_month is not None:
         cells = cells.where(F.col("period_month") >= F.lit(from_month))
