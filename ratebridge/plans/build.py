@@ -39,3 +39,58 @@ def model_relations(raw: Mapping[str, DataFrame], as_of: str | dt.date | None =
         "bank_margin_analysis": M.bank_margin(daily, lb),
         "bank_vs_market_analysis": M.bank_vs_market(daily, lb, ls),
     }
+
+
+# Table and column descriptions stored with the marts.
+DOCS: dict[str, tuple[str, dict[str, str]]] = {
+    "rates_daily": (
+        "Wide daily rates, one row per date; covered-bond spreads are market proxies over government bonds.",
+        {
+            "spread_2y": "2Y covered-bond proxy yield minus 2Y government-bond yield.",
+            "spread_5y": "5Y covered-bond proxy yield minus 5Y government-bond yield.",
+            "stibor_policy_spread_3m": "3M STIBOR minus the policy rate.",
+            "swestr_policy_spread_3m": "3M compounded SWESTR average minus the policy rate.",
+        },
+    ),
+    "bank_margin_analysis": (
+        "Latest listed bank rates with a stylised market funding proxy and gross margins.",
+        {
+            "funding_cost": "Stylised market funding proxy in percent; not a bank's observed funding cost.",
+            "gross_margin": "Estimated gross margin in percentage points.",
+        },
+    ),
+    "bank_vs_market_analysis": (
+        "Listed bank rates against market-average rates and the same funding proxy.",
+        {"effective_margin_new": "Estimated margin using the market-average new-loan rate."},
+    ),
+}
+
+
+def build_models(
+    spark,
+    raw: Mapping[str, DataFrame],
+    ns,
+    as_of: str | dt.date | None = None,
+    fmt: str = "parquet",
+) -> dict[str, DataFrame]:
+    """Materialise the model graph: staging and intermediate models as views,
+    marts as tables (full rebuild). ``rates_daily`` is written first and read
+    back, so both marts start from the stored table instead of recomputing the
+    staging chain; descriptions are stored in the catalog."""
+    from ratebridge.sources.catalog import as_table, as_view, persist_docs
+
+    ns.create(spark)
+    rels = model_relations(raw, as_of)
+    for name in VIEWS:
+        as_view(rels[name], name)
+    daily = as_table(rels["rates_daily"], ns, "marts", "rates_daily", fmt)
+    lb, ls = rels["int_latest_bank_listed_rates"], rels["int_latest_scb_mortgage_rates"]
+    out = {name: spark.table(name) for name in VIEWS}
+    out["rates_daily"] = daily
+    out["bank_margin_analysis"] = as_table(M.bank_margin(daily, lb), ns, "marts", "bank_margin_analysis", fmt)
+    out["bank_vs_market_analysis"] = as_table(
+        M.bank_vs_market(daily, lb, ls), ns, "marts", "bank_vs_market_analysis", fmt
+    )
+    for name, (text, cols) in DOCS.items():
+        persist_docs(spark, ns.table("marts", name), text, cols)
+    return out

@@ -1,4 +1,4 @@
-"""Registered streaming queries: land driver-table rows as files, stream them, read the result.
+"""Registered landing queries: write driver-table rows as files, scan or stream them back.
 
 Each call works in a fresh folder under the session's checkpoint directory
 (shared storage on a cluster), runs the stream with ``availableNow`` to
@@ -17,9 +17,12 @@ from ratebridge.operators.topk import desc
 from ratebridge.plans import oracle as O
 from ratebridge.plans.generic_queries import EVENTS_AS_OF, LOOKBACK_DAYS
 from ratebridge.plans.registry import register
+from ratebridge.plans import staging as ST
 from ratebridge.plans.staging import RATE_KEYS, rate_order, typed_rates
 from ratebridge.session import scratch_path
-from ratebridge.sources.fixtures import se_rates_raw, table
+from ratebridge.sources.fixtures import bank_listed_rates_raw, scb_mortgage_rates_raw, se_rates_raw, table
+from ratebridge.sources.raw import read_source
+from ratebridge.sources.sinks import DAY, MONTH, write_periods
 from ratebridge.streaming import incremental as X
 
 EVENTS_SCHEMA = T.StructType(
@@ -110,3 +113,35 @@ def q_stream_stage_rates(spark, sf_dir):
     return spark.read.parquet(f"{base}/staged").select(
         "rate_date", "series_id", "series_name", "category", F.col("value").cast("double").alias("value")
     )
+
+
+# ---- batch: landed JSON Lines -> declared-schema scan -> staging ----------------------------
+
+
+@register("landed_stage_rates", O.with_ctes(["stg_se_rates"], "SELECT rate_date, series_id, series_name, category, "
+                                           "CAST(value AS DOUBLE) AS value FROM stg_se_rates"))
+def q_landed_stage_rates(spark, sf_dir):
+    """Rates landed one folder per day (``year=/month=/day=``), read back recursively."""
+    base = _workdir(spark, "landed-rates")
+    write_periods(se_rates_raw(spark, sf_dir), base, F.col("rate_date"), DAY)
+    raw = read_source(spark, "se_rates_raw", base, layout="nested")
+    return ST.stage_rates(raw).select("rate_date", "series_id", "series_name", "category",
+                                      F.col("value").cast("double").alias("value"))
+
+
+@register("landed_stage_bank", O.with_ctes(["stg_bank"], "SELECT * FROM stg_bank"))
+def q_landed_stage_bank(spark, sf_dir):
+    """Bank scrapes landed per scrape day and read with partition discovery."""
+    base = _workdir(spark, "landed-bank")
+    write_periods(bank_listed_rates_raw(spark, sf_dir), base, F.col("scraped_at"), DAY)
+    raw = read_source(spark, "bank_listed_rates_raw", base, layout="hive").drop("year", "month", "day")
+    return ST.stage_bank(raw)
+
+
+@register("landed_stage_scb", O.with_ctes(["stg_scb"], "SELECT * FROM stg_scb"))
+def q_landed_stage_scb(spark, sf_dir):
+    """Market averages landed per month; a month filter prunes folders, not rows."""
+    base = _workdir(spark, "landed-scb")
+    write_periods(scb_mortgage_rates_raw(spark, sf_dir), base, F.col("period_month"), MONTH)
+    raw = read_source(spark, "scb_mortgage_rates_raw", base, layout="hive").drop("year", "month")
+    return ST.stage_scb(raw)

@@ -92,3 +92,17 @@ def test_lookback_helpers(spark):
     assert r.d == dt.date(2024, 1, 20) and r.m == "2023-11"
     with pytest.raises(ValueError):
         lookback_start("2024-01-30", 0)
+
+
+def test_build_models_materialises_marts(spark):
+    from ratebridge.plans.build import build_models
+    from ratebridge.sources.fixtures import raw_sources
+
+    ns = CAT.Namespace(env="dev", base="rb_test")
+    out = build_models(spark, raw_sources(spark, "/root/testdata/sf0.001"), ns, as_of="2001-08-02")
+    assert out["bank_vs_market_analysis"].count() == 42
+    assert spark.table(ns.table("marts", "rates_daily")).count() == out["rates_daily"].count()
+    assert spark.table("stg_se_rates").count() > 0
+    comment = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {ns.table('marts', 'bank_margin_analysis')}").collect()
+               if r[0] == "Comment"]
+    assert comment and "funding proxy" in comment[0][1]
