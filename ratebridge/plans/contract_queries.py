@@ -79,3 +79,42 @@ def q_contract_unreachable(spark, sf_dir):
     """States no path from the initial state reaches, one row per contract."""
     parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist()
     return C.unreachable_states(C.valid_documents(parsed, C.schema_errors(parsed)).persist())
+
+
+# Relations the contracts may reference, with their columns (the marts' declared outputs).
+MODEL_COLUMNS = {
+    "rates_daily": ["rate_date"],
+    "bank_margin_analysis": ["bank", "period_label", "scrape_date", "funding_date"],
+    "bank_vs_market_analysis": ["bank", "period_label", "funding_date", "scb_period_month"],
+}
+_CATALOG = "(VALUES " + ", ".join(f"('{r}', '{c}')" for r, cs in MODEL_COLUMNS.items() for c in cs) + ") AS cat(relation, col)"
+_MSG_REL = "'data product ''' || product || ''' names unknown relation ''' || relation || ''''"
+_MSG_COL = ("'data product ''' || product || ''' freshness field ''' || field || ''' is not a column of ''' "
+            "|| relation || ''''")
+
+_PRODUCTS = _BASE + f""",
+prods AS (
+  SELECT path, 'p4' AS product,
+         CASE WHEN ck % 7 = 0 THEN 'rates_weekly' ELSE 'bank_vs_market_analysis' END AS relation,
+         CASE WHEN ck % 3 = 0 THEN 'scrape_date' ELSE 'funding_date' END AS field
+  FROM ok
+  UNION ALL SELECT path, 'p1', 'rates_daily', 'rate_date' FROM ok
+  UNION ALL SELECT path, 'p2', 'bank_margin_analysis', 'scrape_date' FROM ok),
+cat AS (SELECT * FROM {_CATALOG})
+SELECT path, 'data_product_relation' AS rule, product AS subject, {_MSG_REL} AS message
+FROM prods p WHERE NOT EXISTS (SELECT 1 FROM cat c WHERE c.relation = p.relation)
+UNION ALL
+SELECT path, 'data_product_freshness', product, {_MSG_COL}
+FROM prods p
+WHERE EXISTS (SELECT 1 FROM cat c WHERE c.relation = p.relation)
+  AND NOT EXISTS (SELECT 1 FROM cat c WHERE c.relation = p.relation AND c.col = p.field)"""
+
+
+@register("contract_data_products", _PRODUCTS)
+def q_contract_data_products(spark, sf_dir):
+    """Model-owned data products must resolve to a relation with their freshness field."""
+    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist()
+    ok = C.valid_documents(parsed, C.schema_errors(parsed))
+    cols = spark.createDataFrame([(r, c) for r, cs in MODEL_COLUMNS.items() for c in cs],
+                                 "relation string, column string")
+    return C.data_product_errors(ok, cols)

@@ -263,9 +263,42 @@ def unreachable_states(ok: DataFrame) -> DataFrame:
     )
 
 
-def validate(docs: DataFrame) -> DataFrame:
+def catalog_columns(spark, relations: dict) -> DataFrame:
+    """``(relation, column)`` for named DataFrames or tables (schema only, no job);
+    bounded by the number of columns in the catalog."""
+    rows = [(name, c) for name, df in relations.items() for c in df.columns]
+    return spark.createDataFrame(rows, "relation string, column string")
+
+
+def data_product_errors(ok: DataFrame, columns: DataFrame, owners: Sequence[str] = ("dbt",)) -> DataFrame:
+    """Data products owned by the model layer must name an existing relation
+    that has the declared freshness field (when one is declared). ``columns``
+    is the catalog's (relation, column) list: bounded by the catalog, broadcast."""
+    dp = ok.select("path", F.explode("c.data_products").alias("product", "d")).where(F.col("d.owner").isin(list(owners)))
+    rels = columns.select(F.col("relation").alias("__r")).distinct()
+    cols = columns.select(F.col("relation").alias("__r"), F.col("column").alias("__c"))
+    missing_rel = dp.join(F.broadcast(rels), F.col("d.relation") == F.col("__r"), "left_anti").select(
+        "path", F.lit("data_product_relation").alias("rule"), F.col("product").alias("subject"),
+        F.concat(F.lit("data product "), _q(F.col("product")), F.lit(" names unknown relation "),
+                 _q(F.col("d.relation"))).alias("message"))
+    with_field = dp.where(F.col("d.freshness_field").isNotNull()).join(
+        F.broadcast(rels), F.col("d.relation") == F.col("__r"), "left_semi")
+    missing_col = with_field.join(
+        F.broadcast(cols), (F.col("d.relation") == F.col("__r")) & (F.col("d.freshness_field") == F.col("__c")),
+        "left_anti").select(
+        "path", F.lit("data_product_freshness").alias("rule"), F.col("product").alias("subject"),
+        F.concat(F.lit("data product "), _q(F.col("product")), F.lit(" freshness field "),
+                 _q(F.col("d.freshness_field")), F.lit(" is not a column of "), _q(F.col("d.relation")))
+        .alias("message"))
+    return missing_rel.unionByName(missing_col).select(*OUT)
+
+
+def validate(docs: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """All findings (schema, integrity, reachability) for a table of contract documents."""
     parsed = parse_contracts(docs).persist()
     errs = schema_errors(parsed).persist()
     ok = valid_documents(parsed, errs).persist()
-    return errs.unionByName(integrity_errors(ok)).unionByName(unreachable_states(ok))
+    out = errs.unionByName(integrity_errors(ok)).unionByName(unreachable_states(ok))
+    if columns is not None:
+        out = out.unionByName(data_product_errors(ok, columns))
+    return out

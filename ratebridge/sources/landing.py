@@ -298,13 +298,23 @@ def contract_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ck % 2 == 0,
         F.create_map(F.lit("loan_amount"), ctx_entry("Loan amount"), F.lit("current_rate"), ctx_entry("Current rate")),
     ).otherwise(F.create_map(F.lit("loan_amount"), ctx_entry("Loan amount")))
-    product = F.struct(
-        F.lit("dbt").alias("owner"),
-        F.lit("rates_daily").alias("relation"),
-        F.lit("Market context").alias("description"),
-        F.lit("rate_date").alias("freshness_field"),
+    def product(owner: str, relation: Column, field: Column) -> Column:
+        return F.struct(
+            F.lit(owner).alias("owner"),
+            relation.alias("relation"),
+            F.lit("Market context").alias("description"),
+            field.alias("freshness_field"),
+        )
+
+    # p4 names a relation / freshness field that does not exist for some customers.
+    p4_rel = F.when(ck % 7 == 0, F.lit("rates_weekly")).otherwise(F.lit("bank_vs_market_analysis"))
+    p4_field = F.when(ck % 3 == 0, F.lit("scrape_date")).otherwise(F.lit("funding_date"))
+    products = F.create_map(
+        F.lit("p1"), product("dbt", F.lit("rates_daily"), F.lit("rate_date")),
+        F.lit("p2"), product("dbt", F.lit("bank_margin_analysis"), F.lit("scrape_date")),
+        F.lit("p3"), product("webapp", F.lit("computed_from_context"), F.lit(None).cast("string")),
+        F.lit("p4"), product("dbt", p4_rel, p4_field),
     )
-    products = F.create_map(*[x for i in range(1, 5) for x in (F.lit(f"p{i}"), product)])
     last = F.concat(F.lit("s"), F.col("k1").cast("string"))
     doc = F.to_json(
         F.struct(

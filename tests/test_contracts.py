@@ -92,3 +92,19 @@ def test_reachability_many_graphs_long_chain(spark):
     starts = spark.createDataFrame([(0, "s0"), (1, "s5"), (2, "s20")], "g int, node string")
     got = {(r.g, r.node) for r in reachable(edges, starts, ["g"]).collect()}
     assert got == {(0, f"s{i}") for i in range(n + 1)} | {(1, f"s{i}") for i in range(5, n + 1)} | {(2, "s20")}
+
+
+def test_data_product_resolution(spark):
+    d = doc()
+    d["data_products"]["bad_rel"] = {"owner": "dbt", "relation": "nope", "description": "x", "freshness_field": "d"}
+    d["data_products"]["bad_col"] = {"owner": "dbt", "relation": "rates_daily", "description": "x",
+                                     "freshness_field": "funding_date"}
+    d["data_products"]["app"] = {"owner": "webapp", "relation": "computed", "description": "x"}
+    d["data_products"]["rates"]["freshness_field"] = "rate_date"
+    df = spark.createDataFrame([("c.json", json.dumps(d))], "path string, doc string")
+    cols = C.catalog_columns(spark, {"rates_daily": spark.createDataFrame([], "rate_date date, policy_rate double")})
+    out = sorted((r.rule, r.message) for r in C.validate(df, cols).collect())
+    assert out == [
+        ("data_product_freshness", "data product 'bad_col' freshness field 'funding_date' is not a column of 'rates_daily'"),
+        ("data_product_relation", "data product 'bad_rel' names unknown relation 'nope'"),
+    ]
