@@ -31,8 +31,28 @@ def latest_complete(df: DataFrame, date_col: str, required: Sequence[str]) -> Da
 def attach_snapshot(df: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Append the columns of a 0-or-1-row ``snapshot`` to every row of ``df``.
 
-    Callers guarantee the bound (e.g. ``latest_complete`` over a relation unique
-    on its date); the snapshot is broadcast, so ``df`` is never shuffled, and an
-    empty snapshot empties the result, as a cross join does.
+    Callers guarantee the bound (e.g. ``latest_complete_row`` over a relation
+    unique on its date). Written as an equi-join on a constant key; Catalyst
+    folds the key and runs a broadcast nested-loop join against the single
+    snapshot row, so each row of ``df`` yields at most one output row, ``df`` is
+    never shuffled, and an empty snapshot empties the result.
     """
-    return df.crossJoin(F.broadcast(snapshot))
+    key = "__snapshot_key"
+    one = F.lit(1).cast("int")
+    joined = df.withColumn(key, one).join(F.broadcast(snapshot.withColumn(key, one)), key, "inner")
+    return joined.drop(key)
+
+
+def latest_complete_row(df: DataFrame, date_col: str, required: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``latest_complete`` for a relation unique on ``date_col``, in one pass.
+
+    A single global ``max_by(struct(columns), date)`` over the complete rows
+    (partial aggregate per task, one row per task shuffled) - no self-join, so
+    ``df`` is computed once instead of once per join side. 0 or 1 row.
+    """
+    complete = F.lit(True)
+    for name in required:
+        complete = complete & F.col(name).isNotNull()
+    row = F.struct(*[F.col(c) for c in columns])
+    latest = df.where(complete).agg(F.max_by(row, F.col(date_col)).alias("__row"))
+    return latest.where(F.col("__row").isNotNull()).select("__row.*")

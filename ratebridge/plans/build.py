@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ratebridge.plans import latest as L
@@ -21,14 +22,26 @@ VIEWS = [
 TABLES = ["rates_daily", "bank_margin_analysis", "bank_vs_market_analysis"]
 
 
-def model_relations(raw: Mapping[str, DataFrame], as_of: str | dt.date | None = None) -> dict[str, DataFrame]:
-    """Lazy DataFrames of all eight models (nothing runs until an action)."""
+def model_relations(
+    raw: Mapping[str, DataFrame], as_of: str | dt.date | None = None, reuse: bool = False
+) -> dict[str, DataFrame]:
+    """Lazy DataFrames of all eight models (nothing runs until an action).
+
+    With ``reuse`` the relations that feed several models (the three staged
+    relations and rates_daily) are persisted (memory, spilling to disk), so a
+    job touching many models - e.g. all column checks - computes each once.
+    Staged relations are deduplicated, hence much smaller than the raw input.
+    """
     stg_rates = ST.stage_rates(raw["se_rates_raw"])
     stg_bank = ST.stage_bank(raw["bank_listed_rates_raw"])
     stg_scb = ST.stage_scb(raw["scb_mortgage_rates_raw"])
+    if reuse:
+        stg_rates, stg_bank, stg_scb = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (stg_rates, stg_bank, stg_scb))
     lb = L.latest_bank(stg_bank, as_of)
     ls = L.latest_scb(stg_scb, as_of)
     daily = M.rates_daily(stg_rates)
+    if reuse:
+        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "stg_se_rates": stg_rates,
         "stg_bank_listed_rates": stg_bank,

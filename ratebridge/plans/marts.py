@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ratebridge import schemas as S
 from ratebridge.functions import funding as FN
 from ratebridge.operators.reshape import pivot_series
-from ratebridge.operators.snapshot import attach_snapshot, latest_complete
+from ratebridge.operators.snapshot import attach_snapshot, latest_complete_row
 from ratebridge.operators.status import worst_status
 
 SERIES_COLUMNS = [s[3] for s in S.SERIES]
@@ -49,8 +49,11 @@ MARKET_COLUMNS = [
 
 
 def latest_market(daily: DataFrame) -> DataFrame:
-    """The latest date on which all six funding inputs are present (0 or 1 row)."""
-    snap = latest_complete(daily, "rate_date", S.MARKET_REQUIRED)
+    """The latest date on which all six funding inputs are present (0 or 1 row).
+
+    ``daily`` is unique per date, so one global ``max_by`` finds the row; the
+    staging chain under ``daily`` runs once (a self-join would run it twice)."""
+    snap = latest_complete_row(daily, "rate_date", S.MARKET_REQUIRED, ["rate_date", *MARKET_COLUMNS])
     return snap.select(F.col("rate_date").alias("funding_date"), *MARKET_COLUMNS)
 
 

@@ -40,7 +40,7 @@ def _checks_sql(kind: str) -> str:
 
 
 def _run(spark, sf_dir, kind):
-    rels = model_relations(FX.raw_sources(spark, sf_dir), O.AS_OF)
+    rels = model_relations(FX.raw_sources(spark, sf_dir), O.AS_OF, reuse=True)
     return Q.run_checks(rels, _checks(kind))
 
 
