@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratebridge.session import ensure_checkpoint_dir
+
 CHECKPOINT_EVERY = 8
 
 
@@ -28,6 +30,7 @@ def reachable(
     compacted every few rounds), so plans stay flat and a lost executor
     recomputes at most one round.
     """
+    ensure_checkpoint_dir(edges.sparkSession)
     keys = list(keys)
     ek = [f"__e_{k}" for k in keys]
     e = edges.select(*[F.col(k).alias(a) for k, a in zip(keys, ek)], "src", "dst").distinct().checkpoint(eager=True)

@@ -106,7 +106,7 @@ def q_stream_stage_rates(spark, sf_dir):
     raw = se_rates_raw(spark, sf_dir)
     raw.repartition(8).write.json(f"{base}/landing/load=0")
     raw.where(F.col("rate_date") >= "2000-08-01").repartition(4).write.json(f"{base}/landing/load=1")
-    stream = X.landed_stream(spark, f"{base}/landing", S.SE_RATES_RAW, max_files_per_trigger=3)
+    stream = X.landed_stream(spark, f"{base}/landing", S.SE_RATES_RAW, max_files_per_trigger=6)
     typed = typed_rates(stream).withColumn("month", F.date_format("rate_date", "yyyy-MM"))
     merge = X.merge_by_key(f"{base}/staged", RATE_KEYS, rate_order(), "month")
     X.run_available(typed, f"{base}/checkpoint", foreach_batch=merge)

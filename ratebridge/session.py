@@ -18,6 +18,9 @@ SESSION_CONF: dict[str, str] = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Keep small-but-CPU-heavy stages (HTML tokenising, JSON parsing) spread over
+    # the cores; large inputs still coalesce to the advisory partition size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ratebridge.operators.topk import first_per_key
+from ratebridge.session import ensure_checkpoint_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -106,6 +107,7 @@ def merge_by_key(
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        ensure_checkpoint_dir(spark)
         touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
         if not touched:
             return
