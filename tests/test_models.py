@@ -173,3 +173,18 @@ def test_worst_status_rollup(spark):
     )
     out = dict(df.groupBy("k").agg(worst_status("s").alias("w")).collect())
     assert out == {"a": "aging", "b": "fresh", "c": "stale"}
+
+
+def test_latest_complete_generic_keeps_all_rows_of_the_date(spark):
+    from ratebridge.operators.snapshot import latest_complete, latest_complete_row
+
+    df = spark.createDataFrame(
+        [(D(2024, 1, 1), 1.0, 2.0), (D(2024, 1, 2), 1.0, 2.0), (D(2024, 1, 2), None, 3.0), (D(2024, 1, 3), 1.0, None)],
+        "d date, a double, b double",
+    )
+    got = sorted((r.d, r.b) for r in latest_complete(df, "d", ["a", "b"]).collect())
+    assert got == [(D(2024, 1, 2), 2.0), (D(2024, 1, 2), 3.0)]      # every row of the chosen date
+    assert latest_complete(df.where("d = '2024-01-03'"), "d", ["a", "b"]).count() == 0
+    unique = df.dropDuplicates(["d"]).where("d <> '2024-01-02'")
+    one = latest_complete_row(unique, "d", ["a", "b"], ["d", "a", "b"]).collect()
+    assert [tuple(r) for r in one] == [(D(2024, 1, 1), 1.0, 2.0)]
