@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,12 +44,12 @@ def ffill(
     coarse, monotone function of the order, e.g. the day of a timestamp) the
     scan is split so no single group has to fit in one task:
 
-    1. running fill inside each (group, chunk);
-    2. per (group, chunk), the last non-NULL value (map-side partial aggregate);
+    1. running fill inside each (group, chunk) (the one shuffle of the rows);
+    2. per (group, chunk), the fill of its last row (same partitioning, no shuffle);
     3. a running fill over those chunk summaries (one row per chunk) gives the
        value carried into each chunk;
-    4. the carry is joined back on (group, chunk) - the same hash partitioning
-       the step-1 window produced, so the large side is not shuffled again.
+    4. the carry is joined back on (group, chunk); step 1's output is persisted
+       (memory, spilling to disk), so the rows are shuffled and windowed once.
 
     ``order`` must be a total order inside a group (end it with a unique id).
     """
@@ -64,16 +65,28 @@ def ffill(
     carry_col = "__carry"
     staged = df.withColumn(chunk_col, chunk)
     w_local = Window.partitionBy(*by, chunk_col).orderBy(*order_cols).rowsBetween(*frame)
-    local = staged.withColumn(out, F.last(v, ignorenulls=True).over(w_local))
+    # `local` feeds both the carry summary and the final join; persisting it
+    # shuffles and windows the rows once (self-join branches would otherwise
+    # be pruned differently and computed twice).
+    local = staged.withColumn(out, F.last(v, ignorenulls=True).over(w_local)).persist(StorageLevel.MEMORY_AND_DISK)
 
     order_key = F.struct(*[F.col(o) for o in order])
-    # Every chunk gets a summary row (NULL when it has no value) so the carry
-    # passes through all-NULL chunks.
-    summary = staged.groupBy(*by, chunk_col).agg(F.max_by(v, F.when(v.isNotNull(), order_key)).alias("__last"))
+    # The chunk's carry-out is the running fill of its last row. `local` is
+    # already hash-partitioned by (group, chunk) and sorted by the fill order,
+    # so this aggregate needs no new shuffle and no second scan of the input.
+    # Every chunk gets a row (NULL when it has no value), so the carry passes
+    # through all-NULL chunks.
+    summary = local.groupBy(*by, chunk_col).agg(F.max_by(F.col(out), order_key).alias("__last"))
     w_carry = Window.partitionBy(*by).orderBy(F.col(chunk_col)).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*by, chunk_col, F.last("__last", ignorenulls=True).over(w_carry).alias(carry_col))
+    # Null-safe keys: a NULL group is one window group too, and `<=>` infers no
+    # IS NOT NULL filter, so both sides keep the same plan for `local` and its
+    # shuffle is computed once and reused.
+    keys = [*by, chunk_col]
+    carry = carry.select(*[F.col(k).alias(f"__c_{k}") for k in keys], carry_col)
+    cond = [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys]
     return (
-        local.join(carry, on=[*by, chunk_col], how="left")
+        local.join(carry, cond, how="left")
         .withColumn(out, F.coalesce(F.col(out), F.col(carry_col)))
-        .drop(chunk_col, carry_col)
+        .drop(chunk_col, carry_col, *[f"__c_{k}" for k in keys])
     )
