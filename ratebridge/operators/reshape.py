@@ -36,7 +36,8 @@ def ffill(
     order: Sequence[str],
     value: str,
     out: str,
-    chunk: Column | None = None,
+    chunk: Column | str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Forward fill: ``out`` = last non-NULL ``value`` so far within ``by`` in ``order``.
 
@@ -51,6 +52,12 @@ def ffill(
     4. the carry is joined back on (group, chunk); step 1's output is persisted
        (memory, spilling to disk), so the rows are shuffled and windowed once.
 
+    ``chunk="range"`` bounds every chunk whatever the skew: the rows are
+    range-partitioned by (group, order) into ``partitions`` ranges (sampled
+    bounds, as ``repartitionByRange`` does) and the range id becomes the chunk.
+    Range ids grow along the fill order inside a group, so one very large group
+    is cut into many bounded chunks. This costs one extra shuffle.
+
     ``order`` must be a total order inside a group (end it with a unique id).
     """
     by = list(by)
@@ -63,7 +70,15 @@ def ffill(
 
     chunk_col = "__chunk"
     carry_col = "__carry"
-    staged = df.withColumn(chunk_col, chunk)
+    if isinstance(chunk, str):
+        if chunk != "range":
+            raise ValueError(f"unknown chunk mode {chunk}")
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Same null placement as the fill order, so range ids are monotone in it.
+        ranged = df.repartitionByRange(n, *[F.col(b).asc_nulls_first() for b in by], *order_cols)
+        staged = ranged.withColumn(chunk_col, F.spark_partition_id())
+    else:
+        staged = df.withColumn(chunk_col, chunk)
     w_local = Window.partitionBy(*by, chunk_col).orderBy(*order_cols).rowsBetween(*frame)
     # `local` feeds both the carry summary and the final join; persisting it
     # shuffles and windows the rows once (self-join branches would otherwise

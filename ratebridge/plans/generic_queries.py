@@ -216,8 +216,9 @@ FROM events""",
 def q_ffill_last_value(spark, sf_dir):
     """Per user, the last non-error value so far in time order.
 
-    Chunked by day so one very active user is scanned as many (user, day)
-    pieces plus a small carry pass, not as one task.
+    Range-chunked: the events are range-partitioned by (user, ts, id) and each
+    range is one chunk, so even a user holding a third of all events is
+    scanned as many bounded pieces plus a small carry pass, never in one task.
     """
     ev = table(spark, sf_dir, "events").select(
         "event_id",
@@ -226,7 +227,7 @@ def q_ffill_last_value(spark, sf_dir):
         "ts",
         F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("v"),
     )
-    filled = ffill(ev, ["user_id"], ["ts", "event_id"], "v", "filled_value", chunk=F.to_date("ts"))
+    filled = ffill(ev, ["user_id"], ["ts", "event_id"], "v", "filled_value", chunk="range")
     return filled.select("event_id", "user_id", "event_type", "filled_value")
 
 

@@ -56,9 +56,20 @@ def test_chunked_ffill_equals_running_window(spark):
     df = spark.createDataFrame(rows, "u int, id int, ts timestamp, v double")
     plain = ffill(df, ["u"], ["ts", "id"], "v", "f")
     chunked = ffill(df, ["u"], ["ts", "id"], "v", "f", chunk=F.to_date("ts"))
+    ranged = ffill(df, ["u"], ["ts", "id"], "v", "f", chunk="range", partitions=7)
     a = sorted((r.id, r.u, r.f) for r in plain.collect())
     b = sorted((r.id, r.u, r.f) for r in chunked.collect())
-    assert a == b
+    c = sorted((r.id, r.u, r.f) for r in ranged.collect())
+    assert a == b == c
+
+
+def test_range_ffill_splits_one_hot_group(spark):
+    rows = [(1, i, None if i % 3 else float(i)) for i in range(3000)] + [(2, i, float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "u int, id int, v double")
+    out = ffill(df, ["u"], ["id"], "v", "f", chunk="range", partitions=16)
+    got = {(r.u, r.id): r.f for r in out.collect()}
+    assert all(got[(1, i)] == float(i - i % 3) for i in range(3000))
+    assert all(got[(2, i)] == float(i) for i in range(10))
 
 
 def test_pivot_keeps_keys_of_unmapped_codes(spark):
