@@ -75,3 +75,32 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
+
+
+def cluster_conf(
+    input_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    target_partition_bytes: int = 256 << 20,
+) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Scans split files into ``target_partition_bytes`` pieces; the initial
+    shuffle partition count lets the largest shuffle (at most the input size
+    here: the models project and pre-aggregate before shuffling) land at about
+    the target size per partition, and never below two waves of the cluster's
+    cores; AQE then coalesces small partitions to the same target and splits
+    skewed ones in joins. E.g. 100 TB on 1000 x 8 cores -> 409,600 partitions
+    of ~256 MB.
+    """
+    cores = executors * cores_per_executor
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

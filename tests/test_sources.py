@@ -106,3 +106,12 @@ def test_build_models_materialises_marts(spark):
     comment = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {ns.table('marts', 'bank_margin_analysis')}").collect()
                if r[0] == "Comment"]
     assert comment and "funding proxy" in comment[0][1]
+
+
+def test_cluster_conf_sizes_partitions():
+    from ratebridge.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024**4, executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 << 20)
+    small = cluster_conf(10 << 30, executors=100, cores_per_executor=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 1600   # two waves of 800 cores
