@@ -58,10 +58,12 @@ CONTRACT = T.StructType(
         T.StructField("states", T.MapType(STR, STATE)),
     ]
 )
-# Same documents with nested objects kept as raw JSON text (to see which keys are present).
+# Same documents with every nested entry as a map of member -> raw JSON text:
+# its keys are the members present (for required / unknown-member checks).
 RAW_NESTED = T.StructType(
-    [T.StructField(n, T.MapType(STR, STR)) for n in ("context_schema", "data_products", "states")]
+    [T.StructField(n, T.MapType(STR, T.MapType(STR, STR))) for n in ("context_schema", "data_products", "states")]
 )
+RAW_TRANSITIONS = T.ArrayType(T.MapType(STR, STR))
 
 # --- fixed values of the contract schema -------------------------------------------------
 ROOT_KEYS = ["$schema", "id", "version", "description", "initial", "terminal", "context_schema", "data_products",
@@ -90,7 +92,7 @@ def _q(c: Column) -> Column:
 
 
 def parse_contracts(docs: DataFrame) -> DataFrame:
-    """(path, doc) -> (path, c: CONTRACT struct, keys: root keys, raw: nested raw JSON)."""
+    """(path, doc) -> (path, c: CONTRACT struct, keys: root members, raw: member maps of nested entries)."""
     return docs.select(
         "path",
         F.from_json("doc", CONTRACT).alias("c"),
@@ -160,7 +162,7 @@ def schema_errors(parsed: DataFrame) -> DataFrame:
     e = F.col("e")
     loc = F.concat(F.lit("context_schema."), F.col("name"))
     out.append(_explode_findings(ctx, F.concat(
-        _member_findings(F.json_object_keys("raw"), loc, CONTEXT_KEYS, CONTEXT_REQUIRED),
+        _member_findings(F.map_keys("raw"), loc, CONTEXT_KEYS, CONTEXT_REQUIRED),
         _when(e["type"].isNotNull() & ~e["type"].isin(CONTEXT_TYPES), F.concat(loc, F.lit(".type")),
               F.concat(_q(e["type"]), F.lit(f" is not one of {CONTEXT_TYPES}"))),
         _not_unique(e["enum"], F.concat(loc, F.lit(".enum"))),
@@ -168,21 +170,21 @@ def schema_errors(parsed: DataFrame) -> DataFrame:
     dp = entries("data_products")
     loc = F.concat(F.lit("data_products."), F.col("name"))
     out.append(_explode_findings(dp, F.concat(
-        _member_findings(F.json_object_keys("raw"), loc, PRODUCT_KEYS, PRODUCT_REQUIRED),
+        _member_findings(F.map_keys("raw"), loc, PRODUCT_KEYS, PRODUCT_REQUIRED),
         _when(e["owner"].isNotNull() & ~e["owner"].isin(PRODUCT_OWNERS), F.concat(loc, F.lit(".owner")),
               F.concat(_q(e["owner"]), F.lit(f" is not one of {PRODUCT_OWNERS}"))),
     )))
     st = entries("states")
     loc = F.concat(F.lit("states."), F.col("name"))
-    raw_transitions = F.from_json("raw", T.StructType([T.StructField("transitions", STRS)]))["transitions"]
+    raw_transitions = F.from_json(F.col("raw")["transitions"], RAW_TRANSITIONS)
     transition_findings = F.flatten(F.transform(
-        F.coalesce(raw_transitions, F.array().cast("array<string>")),
-        lambda t, i: _member_findings(F.json_object_keys(t),
+        F.coalesce(raw_transitions, F.array().cast("array<map<string,string>>")),
+        lambda t, i: _member_findings(F.map_keys(t),
                                       F.concat(loc, F.lit(".transitions."), i.cast("string")),
                                       TRANSITION_KEYS, TRANSITION_REQUIRED),
     ))
     out.append(_explode_findings(st, F.concat(
-        _member_findings(F.json_object_keys("raw"), loc, STATE_KEYS, STATE_REQUIRED),
+        _member_findings(F.map_keys("raw"), loc, STATE_KEYS, STATE_REQUIRED),
         *[_not_unique(e[a], F.concat(loc, F.lit(f".{a}"))) for a in STATE_UNIQUE],
         transition_findings,
     )))
