@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+
 from ratebridge.plans import contracts as C
 from ratebridge.plans.registry import register
 from ratebridge.sources import landing as LD
@@ -69,7 +71,7 @@ GROUP BY path"""
 @register("contract_violations", _VIOLATIONS)
 def q_contract_violations(spark, sf_dir):
     """Structure and integrity findings for every synthesised contract."""
-    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist()
+    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
     errs = C.schema_errors(parsed).persist()
     return errs.unionByName(C.integrity_errors(C.valid_documents(parsed, errs).persist()))
 
@@ -77,7 +79,7 @@ def q_contract_violations(spark, sf_dir):
 @register("contract_unreachable", _UNREACHABLE)
 def q_contract_unreachable(spark, sf_dir):
     """States no path from the initial state reaches, one row per contract."""
-    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist()
+    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
     return C.unreachable_states(C.valid_documents(parsed, C.schema_errors(parsed)).persist())
 
 
@@ -113,7 +115,7 @@ WHERE EXISTS (SELECT 1 FROM cat c WHERE c.relation = p.relation)
 @register("contract_data_products", _PRODUCTS)
 def q_contract_data_products(spark, sf_dir):
     """Model-owned data products must resolve to a relation with their freshness field."""
-    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist()
+    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
     ok = C.valid_documents(parsed, C.schema_errors(parsed))
     cols = spark.createDataFrame([(r, c) for r, cs in MODEL_COLUMNS.items() for c in cs],
                                  "relation string, column string")

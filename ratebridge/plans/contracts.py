@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -198,50 +199,56 @@ def valid_documents(parsed: DataFrame, schema_errs: DataFrame) -> DataFrame:
     """Documents without schema errors (integrity rules assume a valid shape).
     Callers reusing the result for several rules should persist it."""
     bad = schema_errs.select("path").distinct()
-    return parsed.join(bad, "path", "left_anti")
+    return parsed.join(bad, "path", "left_anti").select("path", "c")
 
 
 def integrity_errors(ok: DataFrame) -> DataFrame:
-    """Initial / terminal states, context keys, data products, transition targets
-    of valid documents (``valid_documents``)."""
-    states = ok.select("path", F.explode(F.map_keys("c.states")).alias("name"))
-    st = ok.select("path", F.explode("c.states").alias("state", "s"))
+    """Initial / terminal states, context keys, data products and transition
+    targets of valid documents (``valid_documents``) that are not declared.
 
-    def missing(refs: DataFrame, against: DataFrame) -> DataFrame:
-        names = against.select(F.col("path").alias("__p"), F.col("name").alias("__n"))
-        return refs.join(names, [F.col("path") == F.col("__p"), F.col("ref") == F.col("__n")], "left_anti")
-
-    out = []
-    initial = ok.select("path", F.col("c.initial").alias("ref"))
-    out.append(missing(initial, states).select(
-        "path", F.lit("initial_state").alias("rule"), F.col("ref").alias("subject"),
-        F.concat(F.lit("initial state "), _q(F.col("ref")), F.lit(" does not exist")).alias("message")))
-    term = ok.select("path", F.explode_outer("c.terminal").alias("ref")).where(F.col("ref").isNotNull())
-    out.append(missing(term, states).select(
-        "path", F.lit("terminal_state").alias("rule"), F.col("ref").alias("subject"),
-        F.concat(F.lit("terminal state "), _q(F.col("ref")), F.lit(" does not exist")).alias("message")))
-    ctx = ok.select("path", F.explode(F.map_keys("c.context_schema")).alias("name"))
-    ctx_refs = st.select("path", "state", F.explode(F.concat(F.coalesce("s.requires_context", F.array()),
-                                                           F.coalesce("s.writes_context", F.array()))).alias("ref"))
-    out.append(missing(ctx_refs, ctx).select(
-        "path", F.lit("context_key").alias("rule"), F.col("ref").alias("subject"),
-        F.concat(F.lit("state "), _q(F.col("state")), F.lit(" references unknown context key "), _q(F.col("ref")))
-        .alias("message")))
-    dps = ok.select("path", F.explode(F.map_keys("c.data_products")).alias("name"))
-    dp_refs = st.select("path", "state", F.explode(F.coalesce("s.data", F.array())).alias("ref"))
-    out.append(missing(dp_refs, dps).select(
-        "path", F.lit("data_product").alias("rule"), F.col("ref").alias("subject"),
-        F.concat(F.lit("state "), _q(F.col("state")), F.lit(" references unknown data product "), _q(F.col("ref")))
-        .alias("message")))
-    out.append(missing(_edges(ok).select("path", F.col("src").alias("state"), F.col("dst").alias("ref")),
-                       states).select(
-        "path", F.lit("transition_target").alias("rule"), F.col("ref").alias("subject"),
-        F.concat(F.lit("state "), _q(F.col("state")), F.lit(" transitions to unknown state "), _q(F.col("ref")))
-        .alias("message")))
-    result = out[0]
-    for o in out[1:]:
-        result = result.unionByName(o)
-    return result.select(*OUT)
+    Every reference becomes a row (path, kind, ref, rule, state) and every
+    declaration a row (path, kind, name); one anti-join on (path, kind, name)
+    finds all missing references at once - one shuffle, not one per rule.
+    """
+    def names(member: str, kind: str) -> DataFrame:
+        return ok.select("path", F.lit(kind).alias("kind"), F.explode(F.map_keys(f"c.{member}")).alias("name"))
+
+    declared = names("states", "state").unionByName(names("context_schema", "context")).unionByName(
+        names("data_products", "product"))
+
+    def refs(df: DataFrame, kind: str, rule: str, ref: Column, state: Column) -> DataFrame:
+        return df.select("path", F.lit(kind).alias("kind"), ref.alias("ref"), F.lit(rule).alias("rule"),
+                         state.alias("state"))
+
+    none = F.lit(None).cast("string")
+    st = ok.select("path", F.explode("c.states").alias("state", "s"))
+    empty = F.array().cast("array<string>")
+    referenced = (
+        refs(ok, "state", "initial_state", F.col("c.initial"), none)
+        .unionByName(refs(ok.select("path", F.explode(F.coalesce("c.terminal", empty)).alias("t")),
+                          "state", "terminal_state", F.col("t"), none))
+        .unionByName(refs(st.select("path", "state", F.explode(F.concat(F.coalesce("s.requires_context", empty),
+                                                                          F.coalesce("s.writes_context", empty)))
+                                    .alias("k")), "context", "context_key", F.col("k"), F.col("state")))
+        .unionByName(refs(st.select("path", "state", F.explode(F.coalesce("s.data", empty)).alias("k")),
+                          "product", "data_product", F.col("k"), F.col("state")))
+        .unionByName(refs(_edges(ok).withColumnRenamed("src", "state"), "state", "transition_target",
+                          F.col("dst"), F.col("state")))
+    )
+    d = declared.select(F.col("path").alias("__p"), F.col("kind").alias("__k"), F.col("name").alias("__n"))
+    missing = referenced.join(
+        d, (F.col("path") == F.col("__p")) & (F.col("kind") == F.col("__k")) & (F.col("ref") == F.col("__n")),
+        "left_anti")
+    rule, ref, state = F.col("rule"), _q(F.col("ref")), _q(F.col("state"))
+    message = (
+        F.when(rule == "initial_state", F.concat(F.lit("initial state "), ref, F.lit(" does not exist")))
+        .when(rule == "terminal_state", F.concat(F.lit("terminal state "), ref, F.lit(" does not exist")))
+        .when(rule == "context_key", F.concat(F.lit("state "), state, F.lit(" references unknown context key "), ref))
+        .when(rule == "data_product", F.concat(F.lit("state "), state, F.lit(" references unknown data product "), ref))
+        .otherwise(F.concat(F.lit("state "), state, F.lit(" transitions to unknown state "), ref))
+    )
+    return missing.where(F.col("ref").isNotNull()).select("path", "rule", F.col("ref").alias("subject"),
+                                                          message.alias("message"))
 
 
 def _edges(ok: DataFrame) -> DataFrame:
@@ -297,7 +304,7 @@ def data_product_errors(ok: DataFrame, columns: DataFrame, owners: Sequence[str]
 
 def validate(docs: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """All findings (schema, integrity, reachability) for a table of contract documents."""
-    parsed = parse_contracts(docs).persist()
+    parsed = parse_contracts(docs).persist(StorageLevel.DISK_ONLY)
     errs = schema_errors(parsed).persist()
     ok = valid_documents(parsed, errs).persist()
     out = errs.unionByName(integrity_errors(ok)).unionByName(unreachable_states(ok))
