@@ -72,15 +72,14 @@ GROUP BY path"""
 def q_contract_violations(spark, sf_dir):
     """Structure and integrity findings for every synthesised contract."""
     parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
-    errs = C.schema_errors(parsed).persist()
-    return errs.unionByName(C.integrity_errors(C.valid_documents(parsed, errs).persist()))
+    return C.schema_errors(parsed).unionByName(C.integrity_errors(C.valid_documents(parsed).persist()))
 
 
 @register("contract_unreachable", _UNREACHABLE)
 def q_contract_unreachable(spark, sf_dir):
     """States no path from the initial state reaches, one row per contract."""
     parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
-    return C.unreachable_states(C.valid_documents(parsed, C.schema_errors(parsed)).persist())
+    return C.unreachable_states(C.valid_documents(parsed).persist())
 
 
 # Relations the contracts may reference, with their columns (the marts' declared outputs).
@@ -116,7 +115,7 @@ WHERE EXISTS (SELECT 1 FROM cat c WHERE c.relation = p.relation)
 def q_contract_data_products(spark, sf_dir):
     """Model-owned data products must resolve to a relation with their freshness field."""
     parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
-    ok = C.valid_documents(parsed, C.schema_errors(parsed))
+    ok = C.valid_documents(parsed).persist()
     cols = spark.createDataFrame([(r, c) for r, cs in MODEL_COLUMNS.items() for c in cs],
                                  "relation string, column string")
     return C.data_product_errors(ok, cols)

@@ -112,94 +112,132 @@ def _when(cond: Column, subject: Column, message: Column) -> Column:
 
 
 def _member_findings(keys: Column, location: Column, allowed: Sequence[str], required: Sequence[str]) -> Column:
-    """Unknown and missing members of one JSON object (``keys`` = its member names)."""
+    """Unknown and missing members of one JSON object (``keys`` = its member
+    names; NULL when the value is not an object, reported as all missing)."""
+    keys = F.coalesce(keys, F.array().cast("array<string>"))
     unknown = F.transform(
         F.filter(keys, lambda k: ~k.isin(list(allowed))),
         lambda k: _finding(location, F.concat(F.lit("Additional properties are not allowed ("), _q(k),
                                               F.lit(" was unexpected)"))),
     )
     missing = F.transform(
-        F.array_except(F.array(*[F.lit(r) for r in required]), F.coalesce(keys, F.array().cast("array<string>"))),
+        F.array_except(F.array(*[F.lit(r) for r in required]), keys),
         lambda k: _finding(location, F.concat(_q(k), F.lit(" is a required property"))),
     )
     return F.concat(unknown, missing)
 
 
 def _not_unique(arr: Column, location: Column) -> Column:
-    return _when(F.size(F.array_distinct(arr)) < F.size(arr), location,
+    return _when(F.coalesce(F.size(F.array_distinct(arr)) < F.size(arr), F.lit(False)), location,
                  F.concat(F.to_json(arr), F.lit(" has non-unique elements")))
 
 
-def _explode_findings(df: DataFrame, findings: Column) -> DataFrame:
-    return df.select("path", F.explode(findings).alias("f")).select(
-        "path", F.lit("schema").alias("rule"), F.col("f.subject").alias("subject"), F.col("f.message").alias("message")
-    )
+def _all(*parts: Column) -> Column:
+    """Concatenate finding arrays; a NULL part counts as no findings."""
+    return F.concat(*[F.coalesce(p, F.array().cast(_FINDINGS)) for p in parts])
 
 
-def schema_errors(parsed: DataFrame) -> DataFrame:
-    """Structure findings: four passes (root, context entries, data products,
-    states with their transitions), each exploding one array of findings."""
-    c = F.col("c")
-    root = F.concat(
-        _member_findings(F.col("keys"), F.lit("<root>"), ROOT_KEYS, ROOT_REQUIRED),
+_FINDINGS = "array<struct<subject:string,message:string>>"
+
+
+def _root_findings(c: Column, keys: Column) -> Column:
+    return _all(
+        _member_findings(keys, F.lit("<root>"), ROOT_KEYS, ROOT_REQUIRED),
         _when(c["id"].isNotNull() & ~c["id"].rlike(ID_PATTERN), F.lit("id"),
               F.concat(_q(c["id"]), F.lit(f" does not match '{ID_PATTERN}'"))),
-        _when(c["version"] < 1, F.lit("version"),
+        _when(F.coalesce(c["version"] < 1, F.lit(False)), F.lit("version"),
               F.concat(c["version"].cast("string"), F.lit(" is less than the minimum of 1"))),
         _when(c["states"].isNotNull() & (F.size(c["states"]) == 0), F.lit("states"), F.lit("{} should be non-empty")),
         _not_unique(c["terminal"], F.lit("terminal")),
     )
-    out = [_explode_findings(parsed, root)]
-
-    def entries(member: str) -> DataFrame:
-        """One row per member entry: (path, name, raw JSON, typed struct ``e``).
-        Typed and raw maps are zipped by key first, so the generated rows carry
-        only their own entry, never the whole document."""
-        both = F.map_zip_with(F.col(f"raw.{member}"), F.col(f"c.{member}"),
-                              lambda k, r, t: F.struct(r.alias("raw"), t.alias("e")))
-        return parsed.select("path", F.explode(both).alias("name", "v")).select("path", "name", "v.raw", "v.e")
-
-    ctx = entries("context_schema")
-    e = F.col("e")
-    loc = F.concat(F.lit("context_schema."), F.col("name"))
-    out.append(_explode_findings(ctx, F.concat(
-        _member_findings(F.map_keys("raw"), loc, CONTEXT_KEYS, CONTEXT_REQUIRED),
+
+
+def _context_findings(name: Column, raw: Column, e: Column) -> Column:
+    loc = F.concat(F.lit("context_schema."), name)
+    return _all(
+        _member_findings(F.map_keys(raw), loc, CONTEXT_KEYS, CONTEXT_REQUIRED),
         _when(e["type"].isNotNull() & ~e["type"].isin(CONTEXT_TYPES), F.concat(loc, F.lit(".type")),
               F.concat(_q(e["type"]), F.lit(f" is not one of {CONTEXT_TYPES}"))),
         _not_unique(e["enum"], F.concat(loc, F.lit(".enum"))),
-    )))
-    dp = entries("data_products")
-    loc = F.concat(F.lit("data_products."), F.col("name"))
-    out.append(_explode_findings(dp, F.concat(
-        _member_findings(F.map_keys("raw"), loc, PRODUCT_KEYS, PRODUCT_REQUIRED),
+    )
+
+
+def _product_findings(name: Column, raw: Column, e: Column) -> Column:
+    loc = F.concat(F.lit("data_products."), name)
+    return _all(
+        _member_findings(F.map_keys(raw), loc, PRODUCT_KEYS, PRODUCT_REQUIRED),
         _when(e["owner"].isNotNull() & ~e["owner"].isin(PRODUCT_OWNERS), F.concat(loc, F.lit(".owner")),
               F.concat(_q(e["owner"]), F.lit(f" is not one of {PRODUCT_OWNERS}"))),
-    )))
-    st = entries("states")
-    loc = F.concat(F.lit("states."), F.col("name"))
-    raw_transitions = F.from_json(F.col("raw")["transitions"], RAW_TRANSITIONS)
-    transition_findings = F.flatten(F.transform(
+    )
+
+
+def _state_findings(name: Column, raw: Column, e: Column) -> Column:
+    loc = F.concat(F.lit("states."), name)
+    raw_transitions = F.from_json(raw["transitions"], RAW_TRANSITIONS)
+    transitions = F.flatten(F.transform(
         F.coalesce(raw_transitions, F.array().cast("array<map<string,string>>")),
-        lambda t, i: _member_findings(F.map_keys(t),
-                                      F.concat(loc, F.lit(".transitions."), i.cast("string")),
+        lambda t, i: _member_findings(F.map_keys(t), F.concat(loc, F.lit(".transitions."), i.cast("string")),
                                       TRANSITION_KEYS, TRANSITION_REQUIRED),
     ))
-    out.append(_explode_findings(st, F.concat(
-        _member_findings(F.map_keys("raw"), loc, STATE_KEYS, STATE_REQUIRED),
+    return _all(
+        _member_findings(F.map_keys(raw), loc, STATE_KEYS, STATE_REQUIRED),
         *[_not_unique(e[a], F.concat(loc, F.lit(f".{a}"))) for a in STATE_UNIQUE],
-        transition_findings,
-    )))
+        transitions,
+    )
+
+
+ENTRY_RULES = [
+    ("context_schema", _context_findings),
+    ("data_products", _product_findings),
+    ("states", _state_findings),
+]
+
+
+def _entries(member: str) -> Column:
+    """Typed and raw entries of one map member zipped by key: name -> (raw, e)."""
+    return F.map_zip_with(F.col(f"raw.{member}"), F.col(f"c.{member}"),
+                          lambda k, r, t: F.struct(r.alias("raw"), t.alias("e")))
+
+
+def _explode_findings(df: DataFrame, findings: Column) -> DataFrame:
+    return df.select("path", F.explode(findings).alias("f")).select(
+        "path", F.lit("schema").alias("rule"), F.col("f.subject").alias("subject"), F.col("f.message").alias("message")
+    )
+
+
+def schema_errors(parsed: DataFrame) -> DataFrame:
+    """Structure findings: four passes (root, context entries, data products,
+    states with their transitions), each exploding one array of findings.
+    Exploding the zipped entries keeps each generated row to its own entry."""
+    out = [_explode_findings(parsed, _root_findings(F.col("c"), F.col("keys")))]
+    for member, rule in ENTRY_RULES:
+        ent = parsed.select("path", F.explode(_entries(member)).alias("name", "v"))
+        out.append(_explode_findings(ent, rule(F.col("name"), F.col("v.raw"), F.col("v.e"))))
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)
     return result.select(*OUT)
 
 
-def valid_documents(parsed: DataFrame, schema_errs: DataFrame) -> DataFrame:
-    """Documents without schema errors (integrity rules assume a valid shape).
-    Callers reusing the result for several rules should persist it."""
-    bad = schema_errs.select("path").distinct()
-    return parsed.join(bad, "path", "left_anti").select("path", "c")
+def finding_count() -> Column:
+    """Number of structure findings of a parsed document, computed in place with
+    higher-order functions (no explode, no shuffle)."""
+    total = F.size(_root_findings(F.col("c"), F.col("keys")))
+    for member, rule in ENTRY_RULES:
+        sizes = F.transform(F.map_entries(_entries(member)),
+                            lambda kv: F.size(rule(kv["key"], kv["value"]["raw"], kv["value"]["e"])))
+        total = total + F.coalesce(F.aggregate(sizes, F.lit(0), lambda acc, n: acc + n), F.lit(0))
+    return total
+
+
+def valid_documents(parsed: DataFrame) -> DataFrame:
+    """Documents without structure findings (the integrity rules assume a valid
+    shape): one narrow pass over the parsed documents, no join.
+
+    Pass a persisted ``parsed``: otherwise predicate pushdown substitutes the
+    ``from_json`` expressions into this filter once per reference and every
+    document is parsed many times over."""
+    return parsed.where(finding_count() == 0).select("path", "c")
 
 
 def integrity_errors(ok: DataFrame) -> DataFrame:
@@ -305,8 +343,8 @@ def data_product_errors(ok: DataFrame, columns: DataFrame, owners: Sequence[str]
 def validate(docs: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """All findings (schema, integrity, reachability) for a table of contract documents."""
     parsed = parse_contracts(docs).persist(StorageLevel.DISK_ONLY)
-    errs = schema_errors(parsed).persist()
-    ok = valid_documents(parsed, errs).persist()
+    errs = schema_errors(parsed)
+    ok = valid_documents(parsed).persist()
     out = errs.unionByName(integrity_errors(ok)).unionByName(unreachable_states(ok))
     if columns is not None:
         out = out.unionByName(data_product_errors(ok, columns))
