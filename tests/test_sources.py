@@ -115,3 +115,22 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 << 20)
     small = cluster_conf(10 << 30, executors=100, cores_per_executor=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 1600   # two waves of 800 cores
+
+
+def test_source_binding_reads_raw_table(spark, tmp_dir):
+    rec = {"period_month": "2024-04", "loan_type": "0100", "period_code": "1.1.1", "period_label": "3M", "rate": 4.1}
+    write_lines(f"{tmp_dir}/scb/2024/04/rates.jsonl", [json.dumps(rec)])
+    ns = CAT.Namespace(env="dev", base="rb_src")
+    R.ensure_raw_tables(spark, ns.database("raw"), {"scb_mortgage_rates_raw": f"{tmp_dir}/scb"})
+    df = CAT.source(spark, ns, "scb_mortgage_rates_raw")
+    assert [r.rate for r in df.collect()] == [4.1]
+
+
+def test_display_orders(spark):
+    from ratebridge.plans.marts import for_display
+
+    df = spark.createDataFrame(
+        [("Nordea", 5.0), ("SBAB", 0.25), ("Nordea", 0.25), ("SBAB", None)], "bank string, period_years double"
+    )
+    got = [(r.bank, r.period_years) for r in for_display(df, "bank_margin").collect()]
+    assert got == [("Nordea", 0.25), ("Nordea", 5.0), ("SBAB", 0.25), ("SBAB", None)]
