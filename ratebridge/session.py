@@ -67,7 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="ratebridge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    sc = spark.sparkContext
+    # Each setCheckpointDir call makes a new sub-folder; set it only once.
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(configured)
     return configured
 
 
