@@ -3,3 +3,20 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+
+SQL["op9_segment_topk"] = """
+WITH taking_part AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id,
+           CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * r.v[i])) AS BIGINT) AS score
+    FROM taking_part q JOIN taking_part r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""

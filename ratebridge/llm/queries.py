@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ratebridge.llm import oracle
 from ratebridge.llm.harmonic_packing import harmonic_packing
+from ratebridge.llm.language_id import crc_fold, fit_languages, identify_languages
 from ratebridge.llm.token_counts import prefix_token_table
+from ratebridge.llm.topk_search import segment_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +37,21 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(False))
+    model = fit_languages(docs.filter(~held_out))
+    return identify_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op9_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = segment_topk(vectors, is_query=F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = prefix_token_table(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
