@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebridge.llm import oracle
+from ratebridge.llm.divergence_rules import divergence_rules
 from ratebridge.llm.harmonic_packing import harmonic_packing
 from ratebridge.llm.language_id import crc_fold, fit_languages, identify_languages
+from ratebridge.llm.source_mixing import mix_sources, words_taken
 from ratebridge.llm.token_counts import prefix_token_table
 from ratebridge.llm.topk_search import segment_topk
+from ratebridge.llm.workers import WORD_PATTERN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,6 +34,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = divergence_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = harmonic_packing(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1)
@@ -45,6 +54,16 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def word_count(text: str):
+    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0))
+
+
+@query
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = words_taken(*mix_sources(table(spark, sf_dir, "documents"), word_count("text")))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op9_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
