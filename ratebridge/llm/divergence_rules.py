@@ -117,8 +117,8 @@ def language_references(docs: DataFrame, common_words: int) -> DataFrame:
 def divergence_rules(
     docs: DataFrame,
     common_words: int = 24,
-    max_class_distance: float = 0.35,
-    max_word_distance: float = 0.65,
+    max_class_distance: float = 0.27,
+    max_word_distance: float = 0.45,
     min_chars: int = 200,
     min_words: int = 50,
     max_languages: int = 500,

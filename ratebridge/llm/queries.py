@@ -11,6 +11,7 @@ from ratebridge.llm import oracle
 from ratebridge.llm.divergence_rules import divergence_rules
 from ratebridge.llm.harmonic_packing import harmonic_packing
 from ratebridge.llm.language_id import crc_fold, fit_languages, identify_languages
+from ratebridge.llm.secret_scan import BASE, count_of, fit_markov, joined_spans, ordinary_samples, random_samples, secret_spans
 from ratebridge.llm.source_mixing import mix_sources, words_taken
 from ratebridge.llm.token_counts import prefix_token_table
 from ratebridge.llm.topk_search import segment_topk
@@ -54,6 +55,16 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ordinary = ordinary_samples(docs, max_docs=2000, id_col="doc_id", text_col="text", least=8)
+    ratios = fit_markov(random_samples(spark, 3000).unionByName(ordinary))
+    found = secret_spans(docs, ratios)
+    counts = [count_of(F.col("base"), number).alias(f"n_{kind}") for number, (kind, *_) in enumerate(BASE)]
+    return found.select("doc_id", *counts, F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+
+
 def word_count(text: str):
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0))
 
