@@ -20,3 +20,26 @@ WITH taking_part AS (
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
 """
+
+SQL["op3_substring_dedup"] = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS gram
+    FROM docs, unnest(range(1, len(w) - 11)) AS t(i)
+), firsts AS (
+    SELECT gram, min(doc_id) AS first_id FROM windows GROUP BY gram
+), covered AS (
+    SELECT DISTINCT doc_id, i + j AS place
+    FROM windows JOIN firsts USING (gram), unnest(range(0, 13)) AS t(j)
+    WHERE first_id < doc_id
+), words AS (
+    SELECT doc_id, i AS place, w[i] AS word FROM docs, unnest(range(1, len(w) + 1)) AS t(i)
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept_text, count(*) AS n_kept
+    FROM words ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

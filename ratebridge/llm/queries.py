@@ -13,6 +13,7 @@ from ratebridge.llm.harmonic_packing import harmonic_packing
 from ratebridge.llm.language_id import crc_fold, fit_languages, identify_languages
 from ratebridge.llm.secret_scan import BASE, count_of, fit_markov, joined_spans, ordinary_samples, random_samples, secret_spans
 from ratebridge.llm.source_mixing import mix_sources, words_taken
+from ratebridge.llm.substring_dedup import remove_repeats
 from ratebridge.llm.token_counts import prefix_token_table
 from ratebridge.llm.topk_search import segment_topk
 from ratebridge.llm.workers import WORD_PATTERN
@@ -47,6 +48,12 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
