@@ -43,3 +43,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept,
        sha256(coalesce(kept_text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op5_ngram_join"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM docs, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i)
+    WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), reach(doc_id, seen) AS (
+    SELECT doc_id, doc_id FROM docs
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.seen
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(seen) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

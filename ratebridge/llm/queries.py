@@ -11,6 +11,7 @@ from ratebridge.llm import oracle
 from ratebridge.llm.divergence_rules import divergence_rules
 from ratebridge.llm.harmonic_packing import harmonic_packing
 from ratebridge.llm.language_id import crc_fold, fit_languages, identify_languages
+from ratebridge.llm.ngram_join import similar_components
 from ratebridge.llm.secret_scan import BASE, count_of, fit_markov, joined_spans, ordinary_samples, random_samples, secret_spans
 from ratebridge.llm.source_mixing import mix_sources, words_taken
 from ratebridge.llm.substring_dedup import remove_repeats
@@ -62,6 +63,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
