@@ -11,6 +11,7 @@ from ratebridge.llm import oracle
 from ratebridge.llm.divergence_rules import divergence_rules
 from ratebridge.llm.harmonic_packing import harmonic_packing
 from ratebridge.llm.language_id import crc_fold, fit_languages, identify_languages
+from ratebridge.llm.line_dedup import remove_aligned_lines
 from ratebridge.llm.ngram_join import similar_components
 from ratebridge.llm.secret_scan import BASE, count_of, fit_markov, joined_spans, ordinary_samples, random_samples, secret_spans
 from ratebridge.llm.source_mixing import mix_sources, words_taken
@@ -88,6 +89,12 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_aligned_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op9_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
@@ -101,6 +108,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
