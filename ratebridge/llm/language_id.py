@@ -90,6 +90,13 @@ def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
+def literal_map(values: dict[str, int]) -> Column:
+    """The value of the row's language; null for others."""
+    if not values:
+        return F.lit(None).cast("long")
+    return F.element_at(F.create_map(*[F.lit(x) for k, v in values.items() for x in (k, v)]), F.col("_lang"))
+
+
 def fit_languages(
     labelled: DataFrame,
     id_col: str = "doc_id",
@@ -110,15 +117,16 @@ def fit_languages(
     rows = labelled.select(labelled[id_col].alias("_id"), labelled[text_col].alias("_text"), labelled[lang_col].alias("_lang"))
     rows = rows.filter(F.col("_id").isNotNull() & F.col("_lang").isNotNull() & has_letter)
     rows = rows.withColumn("_order", F.xxhash64(F.col("_id").cast("string")))
+    often = rows.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(max_languages).collect()
+    # Ids with hashes below a bound that about twice the sample reaches; of these the first, exactly.
+    bounds = {r["_lang"]: -(2**63) + min(2**64 - 1, 2**65 * sample_per_language // r["n"]) for r in often}
     by_order = Window.partitionBy("_lang").orderBy("_order")
-    ranked = rows.select("_lang", "_order").withColumn("_rank", F.row_number().over(by_order))
-    last = ranked.filter(F.col("_rank") <= sample_per_language).groupBy("_lang").agg(F.max("_order").alias("last"))
-    often = rows.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(max_languages)
-    cutoffs = {r["_lang"]: r["last"] for r in last.collect() if r["_lang"] in {x["_lang"] for x in often.collect()}}
+    few = rows.select("_lang", "_order").filter(F.col("_order") <= literal_map(bounds))
+    ranked = few.withColumn("_rank", F.row_number().over(by_order)).filter(F.col("_rank") <= sample_per_language)
+    cutoffs = {r["_lang"]: r["last"] for r in ranked.groupBy("_lang").agg(F.max("_order").alias("last")).collect()}
     if not cutoffs:
         return LanguageModel((), np.zeros(0, int), np.zeros((0, 1 << bits), np.float32), np.ones(1 << bits, np.float32))
-    cut = F.create_map(*[F.lit(x) for pair in cutoffs.items() for x in pair])
-    sample = rows.filter(F.col("_order") <= F.element_at(cut, F.col("_lang"))).select("_lang", "_text")
+    sample = rows.filter(F.col("_order") <= literal_map(cutoffs)).select("_lang", "_text")
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

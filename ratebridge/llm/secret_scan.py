@@ -63,21 +63,23 @@ def transitions(samples: DataFrame) -> DataFrame:
 
 
 def fit_markov(samples: DataFrame) -> list[float]:
-    """Log-likelihood ratios of all pairs (first character * alphabet + second), one added to each count.
+    """Log-likelihood ratios of all pairs (first character * alphabet + second).
 
+    A pair's probability is smoothed with that of its second character alone.
     ``samples``: string, label (1 random, 0 ordinary; rows with null are left out).
     Without samples of a kind its model is even.
     """
     rows = transitions(samples.filter("string IS NOT NULL AND label IN (0, 1)")).collect()  # at most 2 * alphabet^2
     size = len(ALPHABET)
-    counts = [[[1] * size for _ in range(size)] for _ in range(2)]
+    counts = [[[0] * size for _ in range(size)] for _ in range(2)]
     for r in rows:
         counts[r["label"]][ALPHABET.index(r["pair"][0])][ALPHABET.index(r["pair"][1])] += r["n"]
-    ratios = []
-    for random, ordinary in zip(counts[1], counts[0], strict=True):
-        a, b = sum(random), sum(ordinary)
-        ratios += [math.log(x / a) - math.log(y / b) for x, y in zip(random, ordinary, strict=True)]
-    return ratios
+    models = []
+    for table in counts:
+        after = [1 + sum(row[b] for row in table) for b in range(size)]  # single characters, one added to each
+        shares = [n / sum(after) for n in after]
+        models.append([(row[b] + size * shares[b]) / (sum(row) + size) for row in table for b in range(size)])
+    return [math.log(x) - math.log(y) for x, y in zip(models[1], models[0], strict=True)]
 
 
 def random_samples(spark: SparkSession, n: int) -> DataFrame:
@@ -117,7 +119,7 @@ def secret_spans(
     docs: DataFrame,
     ratios: list[float],
     min_length: int = 20,
-    min_mean_ratio: float = 0.8,
+    min_mean_ratio: float = 2.0,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
