@@ -70,3 +70,92 @@ WITH RECURSIVE docs AS (
 SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(seen) AS component_id
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+SQL["op7_source_mixing"] = r"""
+WITH docs AS (
+    SELECT doc_id, source, size, row_number() OVER (PARTITION BY doc_id, source, size) AS copy
+    FROM (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents)
+), sizes AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
+), placed AS (
+    SELECT *, list_extract([5, 2, 1], CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS INTEGER)) AS weight, 3 * source_size AS room
+    FROM sizes
+), filled AS (
+    SELECT *, coalesce(sum(room) OVER (ORDER BY room / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_room,
+           sum(weight) OVER (ORDER BY room / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
+           sum(source_size) OVER () AS total
+    FROM placed
+), levels AS (
+    SELECT *, CAST(total - full_room AS BIGINT) / CAST(open_weight AS BIGINT) AS own_level FROM filled
+), targets AS (
+    SELECT source, source_size, least(weight * (SELECT own_level FROM levels WHERE room / weight >= own_level ORDER BY room / weight, source NULLS LAST LIMIT 1), CAST(room AS DOUBLE)) AS target FROM levels
+), streams AS (
+    SELECT docs.*, source_size, target,
+           coalesce(sum(size) OVER (PARTITION BY docs.source ORDER BY md5(concat_ws('|', 7, coalesce(CAST(doc_id AS VARCHAR), ''), size, copy))
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN size = 0 THEN 0
+            ELSE (CAST(floor(target) AS BIGINT) // source_size) * size
+                 + greatest(0, least(size, CAST(floor(target) AS BIGINT) % source_size - start)) END AS BIGINT) AS taken
+FROM streams
+"""
+
+#: Divergence of two histograms (lists of shares), as a square of the distance.
+JS = "list_sum(list_transform(list_zip({p}, {q}), lambda x: CASE WHEN x[1] > 0 THEN x[1] * log2(2 * x[1] / (x[1] + x[2])) ELSE 0 END + CASE WHEN x[2] > 0 THEN x[2] * log2(2 * x[2] / (x[1] + x[2])) ELSE 0 END)) / 2"
+
+SQL["op1_divergence_rules"] = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
+), worded AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+           regexp_replace(t, '[a-z]+', '', 'g') AS t1 FROM docs
+), stripped AS (
+    SELECT *, regexp_replace(t1, '[\x20\x09-\x0D]+', '', 'g') AS t2 FROM worded
+), stripped3 AS (SELECT *, regexp_replace(t2, '[A-Z]+', '', 'g') AS t3 FROM stripped
+), stripped4 AS (SELECT *, regexp_replace(t3, '[0-9]+', '', 'g') AS t4 FROM stripped3
+), stripped5 AS (SELECT *, regexp_replace(t4, '\p{{L}}+', '', 'g') AS t5 FROM stripped4
+), counted AS (
+    SELECT r, doc_id, lang, w, l, length(t) AS n_chars, length(t) - (length(t1) - length(t2)) AS word_chars,
+           length(t2) - length(regexp_replace(t2, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
+           [length(t) - length(t1), length(t1) - length(t2), length(t2) - length(t3), length(t3) - length(t4), length(t4) - length(t5),
+            length(t5) - length(regexp_replace(t5, '[.,;:!?''"()-]+', '', 'g')), length(regexp_replace(t5, '[.,;:!?''"()-]+', '', 'g'))] AS classes
+    FROM stripped5
+), windows AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n FROM counted, unnest(range(1, len(w) - 1)) AS u(i)
+), repeats AS (
+    SELECT r, count(DISTINCT i + j) AS n_repeat_words FROM windows, unnest([0, 1, 2]) AS u(j) WHERE n > 1 GROUP BY r
+), vocabulary AS (
+    SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM counted) GROUP BY lang, word
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place FROM vocabulary WHERE length(word) <= 40
+), words_of AS (
+    SELECT lang, sum(n) AS n_words FROM vocabulary GROUP BY lang
+), common AS (
+    SELECT lang, list(word ORDER BY place) AS words, list(n ORDER BY place) AS counts FROM ranked WHERE place <= 24 GROUP BY lang
+), class_sums AS (
+    SELECT lang, list_transform(range(1, 8), lambda i: CAST(list_extract([sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]), sum(classes[5]), sum(classes[6]), sum(classes[7])], i) AS DOUBLE)) AS sums
+    FROM counted GROUP BY lang
+), refs AS (
+    SELECT class_sums.lang, list_transform(sums, lambda x: x / greatest(list_sum(sums), 1)) AS class_shares, coalesce(words, []) AS words,
+           list_prepend(coalesce((n_words - list_sum(counts)) / n_words, 0), list_transform(coalesce(counts, []), lambda c: c / n_words)) AS word_shares
+    FROM class_sums LEFT JOIN common ON class_sums.lang IS NOT DISTINCT FROM common.lang LEFT JOIN words_of ON class_sums.lang IS NOT DISTINCT FROM words_of.lang
+), found AS (
+    SELECT r, list_position(words, word) AS id, count(*) AS n
+    FROM (SELECT r, lang, unnest(w) AS word FROM counted) AS d JOIN refs ON d.lang IS NOT DISTINCT FROM refs.lang GROUP BY r, id
+), histograms AS (
+    SELECT r, map(list(coalesce(id, 0)), list(n)) AS h FROM found GROUP BY r
+), judged AS (
+    SELECT doc_id, len(w) AS n_words, word_chars, n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_chars,
+           list_transform(classes, lambda c: c / greatest(n_chars, 1)) AS class_p, class_shares,
+           list_transform(range(0, len(word_shares)), lambda i: coalesce(h[i], 0) / greatest(len(w), 1)) AS word_p, word_shares
+    FROM counted JOIN refs ON counted.lang IS NOT DISTINCT FROM refs.lang LEFT JOIN repeats USING (r) LEFT JOIN histograms USING (r)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND (n_chars < 200 OR sqrt(greatest({JS.format(p='class_p', q='class_shares')}, 0)) <= 0.27)
+       AND sqrt(greatest({JS.format(p='word_p', q='word_shares')}, 0)) <= 0.45 AS kept
+FROM judged
+"""

@@ -68,8 +68,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_repeats: int)
 def shuffled_streams(docs: DataFrame, n_docs: int, seed: int) -> DataFrame:
     """Adds start and end: the words of its source's stream that a document holds. Needs place and size > 0."""
     chunks = max(16, math.ceil(n_docs / DOC_CHUNK))
-    lot = F.xxhash64(F.lit(seed), "doc_id", "size", "copy")
-    rows = docs.withColumn("lot", lot).withColumn("chunk", F.pmod("lot", F.lit(chunks)))
+    lot = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "copy"))
+    first = F.conv(F.substring("lot", 1, 8), 16, 10).cast("long")  # chunks are in the order of lots
+    rows = docs.withColumn("lot", lot).withColumn("chunk", F.floor(first * chunks / float(1 << 32)))
     sums = rows.groupBy("place", "chunk").agg(F.sum("size").alias("words"))
     offsets = running_offsets(sums, ["place"], "chunk", "words").select("place", "chunk", "offset")
     order = Window.partitionBy("place", "chunk").orderBy("lot", "doc_id", "size", "copy")
