@@ -40,7 +40,9 @@ def reachable(
     frontier = starts.select(*keys, "node").distinct().checkpoint(eager=True)
     visited = frontier
     rounds = 0
-    while max_rounds is None or rounds < max_rounds:
+    while True:
+        if max_rounds is not None and rounds >= max_rounds:
+            raise RuntimeError(f"reachability did not end within {max_rounds} rounds")
         rounds += 1
         step = (
             frontier.join(e, [*[F.col(k) == F.col(a) for k, a in zip(keys, ek)], F.col("node") == F.col("src")])

@@ -49,15 +49,8 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 
 # --- nested payloads ----------------------------------------------------------
 
-OBSERVATIONS_PAYLOAD = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("date", T.StringType()),
-            T.StructField("value", T.DoubleType()),
-            T.StructField("rate", T.DoubleType()),
-        ]
-    )
-)
+# Keys stay apart from their values, so an explicit null differs from an absent key.
+OBSERVATIONS_PAYLOAD = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
 PX_TABLE_PAYLOAD = T.StructType(
     [

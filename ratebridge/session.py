@@ -9,6 +9,7 @@ partition coalescing, dynamic partition overwrite for period-replacing sinks.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,11 +61,14 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset (as
-    in local tests) do we create a scratch folder and register it.
+    The cluster names it in ``spark.checkpoint.dir``. Only on a single machine
+    (master ``local``), where a temporary folder is shared by all tasks, an unset
+    folder is made and registered; elsewhere that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ratebridge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc = spark.sparkContext

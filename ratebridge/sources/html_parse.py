@@ -120,7 +120,7 @@ class _TableParser(HTMLParser):
             t["section"], t["sec_idx"] = "", -1
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1]["cell"] is not None:
+        if self.cdata_elem is None and self.stack and self.stack[-1]["cell"] is not None:  # no script or style text
             self.stack[-1]["cell"][1].append(data)
 
     def finish(self) -> list[tuple]:

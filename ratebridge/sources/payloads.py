@@ -32,6 +32,11 @@ def literal_map(pairs) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
 
 
+def parse_body(schema) -> Column:
+    """The parsed body; a truncated or otherwise malformed one fails the job."""
+    return F.from_json("body", schema, {"mode": "FAILFAST"})
+
+
 # ---- observation arrays (one series per body) ---------------------------------------
 
 
@@ -47,17 +52,16 @@ def extract_observations(bodies: DataFrame) -> DataFrame:
     """Bodies of ``[{date, value | rate}, ...]`` keyed by series id -> se_rates_raw rows.
 
     A body that is not a JSON array (e.g. an error object) yields no rows. ``value`` wins over
-    ``rate``; note that after parsing, an explicit ``"value": null`` looks like
-    an absent key, so such an observation falls back to ``rate``.
+    ``rate`` wherever the key is present, even if its value is null.
     """
-    # from_json would wrap a lone JSON object into a one-element array; only
-    # array bodies carry observations.
-    arrays = bodies.where(F.col("body").rlike(r"^\s*\["))
-    parsed = arrays.select(F.col("key").alias("series_id"), F.from_json("body", S.OBSERVATIONS_PAYLOAD).alias("obs"))
+    # Only array bodies carry observations. The test is part of the expression, as
+    # the optimizer may move a filter behind the parse.
+    is_array = F.col("body").rlike(r"^\s*\[")
+    parsed = bodies.select(F.col("key").alias("series_id"), F.when(is_array, parse_body(S.OBSERVATIONS_PAYLOAD)).alias("obs"))
     flat = parsed.select("series_id", F.explode("obs").alias("o")).select(
-        F.col("o.date").alias("rate_date"),
+        F.col("o")["date"].alias("rate_date"),
         "series_id",
-        F.coalesce(F.col("o.value"), F.col("o.rate")).alias("value"),
+        F.when(F.map_contains_key("o", "value"), F.col("o")["value"]).otherwise(F.col("o")["rate"]).cast("double").alias("value"),
     )
     return with_series_meta(flat).select(*S.SE_RATES_RAW.fieldNames())
 
@@ -72,7 +76,7 @@ PX_MISSING = ["", ".."]
 
 def _dim_index(codes: Column, code: str) -> Column:
     """1-based position of ``code`` among the table's dimension codes; fails the job if absent."""
-    pos = F.array_position(codes, code).cast("int")
+    pos = F.coalesce(F.array_position(codes, code), F.lit(0)).cast("int")
     return F.when(pos == 0, F.raise_error(F.lit(f"unexpected statistical table shape: no {code} column"))).otherwise(pos)
 
 
@@ -85,7 +89,7 @@ def extract_px_table(bodies: DataFrame, from_month: str | None = None) -> DataFr
     comma is parsed strictly (bad text fails the job); code labels fall back to
     ``unknown`` and loan-type names to the code itself.
     """
-    p = bodies.select("fetched_at", F.from_json("body", S.PX_TABLE_PAYLOAD).alias("p"))
+    p = bodies.select("fetched_at", parse_body(S.PX_TABLE_PAYLOAD).alias("p"))
     codes = F.transform(F.col("p.columns"), lambda c: c["code"])
     loan_idx = _dim_index(codes, PX_LOAN_DIM)
     period_idx = _dim_index(codes, PX_PERIOD_DIM)
@@ -147,7 +151,7 @@ def extract_offers_json(bodies: DataFrame, bank: str = "SBAB") -> DataFrame:
     The rate text is cast strictly (a bad number fails the job, as the source
     API is trusted); a missing validFrom becomes ''.
     """
-    p = bodies.select("fetched_at", F.explode(F.from_json("body", S.OFFERS_PAYLOAD)["listInterests"]).alias("i"))
+    p = bodies.select("fetched_at", F.explode(parse_body(S.OFFERS_PAYLOAD)["listInterests"]).alias("i"))
     items = p.select(
         "fetched_at",
         F.col("i.period").alias("code"),

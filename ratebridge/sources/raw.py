@@ -37,7 +37,7 @@ def read_raw(
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """Scan landed JSON Lines with a declared schema."""
-    if mode not in ("FAILFAST", "PERMISSIVE", "DROPMALFORMED"):
+    if mode not in ("FAILFAST", "PERMISSIVE"):
         raise ValueError(f"unknown mode {mode}")
     reader = spark.read.option("mode", mode)
     if mode == "PERMISSIVE":
@@ -75,5 +75,5 @@ def ensure_raw_tables(spark: SparkSession, database: str, locations: dict[str, s
     for name, location in locations.items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({ddl_columns(RAW_SCHEMAS[name])}) "
-            f"USING json OPTIONS (recursiveFileLookup 'true') LOCATION '{location}'"
+            f"USING json OPTIONS (recursiveFileLookup 'true', mode 'FAILFAST') LOCATION '{location}'"
         )

@@ -18,6 +18,12 @@ def period_columns(date_text: Column, by: Sequence[str] = DAY) -> dict[str, Colu
     return {k: parts[k] for k in by}
 
 
+def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows clustered by columns into partitions of even size; AQE splits large keys and joins small ones."""
+    keys = ", ".join(f"`{k}`" for k in by)
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({keys}) */ * FROM {{rows}}", rows=df)
+
+
 def write_periods(
     df: DataFrame,
     path: str,
@@ -31,18 +37,16 @@ def write_periods(
     periods present in ``df`` (dynamic partition overwrite) and keeping all
     other periods.
 
-    Rows are clustered by period before the write so each period is written
-    by few tasks (few files). ``salt`` > 1 spreads one large period over that
-    many tasks with a deterministic hash of the row (safe under task retries),
-    and files are capped at ``max_records_per_file`` rows.
+    Rows are rebalanced by period before the write: small periods share tasks,
+    and one larger than the advisory partition size is split over several.
+    ``salt`` > 1 instead spreads every period over that many tasks with a
+    deterministic hash of the row; files are capped at ``max_records_per_file`` rows.
     """
     cols = period_columns(date_text, by)
     staged = df.withColumns(cols)
-    keys = [F.col(k) for k in by]
-    if salt > 1:
-        keys.append(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt)))
+    keys = [*by, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt))]
     (
-        staged.repartition(*keys)
+        (staged.repartition(*keys) if salt > 1 else rebalanced(staged, by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)

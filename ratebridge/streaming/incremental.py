@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ratebridge.operators.topk import first_per_key
 from ratebridge.session import ensure_checkpoint_dir
+from ratebridge.sources.sinks import rebalanced
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -48,8 +49,9 @@ def landed_stream(
     fmt: str = "json",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming scan of a landing folder (recursive, declared schema)."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    """Streaming scan of a landing folder (recursive, declared schema); a malformed line stops the query,
+    as it stops the batch scan."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.format(fmt).load(path)
@@ -120,7 +122,7 @@ def merge_by_key(
                 raise
         result = first_per_key(merged, keys, order).checkpoint(eager=True)
         (
-            result.repartition(partition_col)
+            rebalanced(result, [partition_col])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col)
