@@ -57,24 +57,24 @@ def model_relations(
 # Table and column descriptions stored with the marts.
 DOCS: dict[str, tuple[str, dict[str, str]]] = {
     "rates_daily": (
-        "Wide daily rates, one row per date; covered-bond spreads are market proxies over government bonds.",
+        "Every series of a day side by side; the spreads compare mortgage-bond with government-bond yields of one tenor.",
         {
-            "spread_2y": "2Y covered-bond proxy yield minus 2Y government-bond yield.",
-            "spread_5y": "5Y covered-bond proxy yield minus 5Y government-bond yield.",
-            "stibor_policy_spread_3m": "3M STIBOR minus the policy rate.",
-            "swestr_policy_spread_3m": "3M compounded SWESTR average minus the policy rate.",
+            "spread_2y": "Mortgage-bond yield less government-bond yield, two years.",
+            "spread_5y": "Mortgage-bond yield less government-bond yield, five years.",
+            "stibor_policy_spread_3m": "How far the three-month interbank rate lies above the policy rate.",
+            "swestr_policy_spread_3m": "How far the three-month compounded overnight rate lies above the policy rate.",
         },
     ),
     "bank_margin_analysis": (
-        "Latest listed bank rates with a stylised market funding proxy and gross margins.",
+        "The newest listed rate of each bank and tenor, a modelled funding proxy for it, and what is left.",
         {
-            "funding_cost": "Stylised market funding proxy in percent; not a bank's observed funding cost.",
-            "gross_margin": "Estimated gross margin in percentage points.",
+            "funding_cost": "Modelled from market rates, in percent; no bank's own figure.",
+            "gross_margin": "Listed rate less modelled funding cost, in percentage points.",
         },
     ),
     "bank_vs_market_analysis": (
-        "Listed bank rates against market-average rates and the same funding proxy.",
-        {"effective_margin_new": "Estimated margin using the market-average new-loan rate."},
+        "Listed rates beside the average rates of new and outstanding loans of the tenor.",
+        {"effective_margin_new": "Average rate of new loans less modelled funding cost, in percentage points."},
     ),
 }
 

@@ -116,9 +116,7 @@ def q_customer_staleness(spark, sf_dir):
     f"""
 WITH s AS ({_STALENESS_SQL})
 SELECT c.c_nationkey AS nationkey, count(*) AS customers, max(s.order_age_days) AS max_order_age_days,
-       CASE WHEN max(CASE WHEN s.order_freshness = 'stale' THEN 1 ELSE 0 END) = 1 THEN 'stale'
-            WHEN max(CASE WHEN s.order_freshness = 'aging' THEN 1 ELSE 0 END) = 1 THEN 'aging'
-            ELSE 'fresh' END AS worst_freshness
+       {O.worst_level_sql('s.order_freshness')} AS worst_freshness
 FROM s JOIN customer c ON c.c_custkey = s.custkey
 GROUP BY c.c_nationkey""",
 )

@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from ratebridge.plans import catalogue
 from ratebridge.testing import diff_results, duckdb_connection
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+# The optional queries have tests of their own.
+QUERIES = catalogue.queries()
+ORACLES = catalogue.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
