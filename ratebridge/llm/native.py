@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratebridge.llm.workers import WORD_PATTERN
 
@@ -13,6 +14,16 @@ from ratebridge.llm.workers import WORD_PATTERN
 PART = 256
 
 
+def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text), the id as a long.
+
+    Columns that are so already are taken as they are: without renaming, Spark
+    sees that two uses of the rows need one and the same shuffle.
+    """
+    key = docs[id_col] if id_col == "doc_id" and docs.schema[id_col].dataType == T.LongType() else docs[id_col].cast("long").alias("doc_id")
+    return docs.select(key, docs[text_col] if text_col == "text" else docs[text_col].alias("text"))
+
+
 def words_of(text: Column) -> Column:
     """Words of a text in order; none for null."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0)), F.array().cast("array<string>"))

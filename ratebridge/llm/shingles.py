@@ -3,30 +3,37 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
-from ratebridge.llm.workers import WORD, TwoGenerationCache, per_worker
+from ratebridge.llm.workers import TwoGenerationCache, per_worker
 
 #: Odd multipliers of rolling and mixing hashes (fixed values).
 ROLL_A, ROLL_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-#: ASCII capitals to small letters.
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def word_hashes(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hashes of all words, number of words of each text)."""
+def word_hashes(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all words, number of words of each text); texts in UTF-8.
+
+    Splitting bytes at white space splits at the space and U+0009 to U+000D only, and
+    lower case of bytes changes A to Z only.
+    """
     import xxhash
 
-    cache = per_worker("word hashes", lambda: TwoGenerationCache(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")), 400_000))
+    cache = per_worker("word hashes", lambda: TwoGenerationCache(xxhash.xxh3_64_intdigest, 250_000))
     arrays, counts = [], np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
-        words = WORD.findall(text.translate(LOWER) if lower else text) if text else ()
+        words = (text.lower() if lower else text).split() if text else ()
         counts[i] = len(words)
         if words:
             arrays.append(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)))
     return np.concatenate(arrays) if arrays else np.zeros(0, np.uint64), counts
 
 
+def utf8(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A one-to-one scramble of 64-bit values."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(MIX_A)

@@ -40,9 +40,13 @@ def worker_state() -> dict:
 
 
 def per_worker(key, make):
-    """The object of that key in this worker, made on first use."""
+    """The object of that key in this worker, made on first use; the one of another key goes.
+
+    Workers serve one step after another, so only the step at hand keeps memory.
+    """
     state = worker_state()
     if key not in state:
+        state.clear()
         state[key] = make()
     return state[key]
 
