@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratebridge.llm.shingles import ROLL_A, ROLL_B, places, rolling, stretches, word_hashes
-from ratebridge.llm.workers import WORD
+from ratebridge.llm.native import id_and_text
+from ratebridge.llm.shingles import ROLL_A, ROLL_B, places, rolling, stretches, utf8, word_hashes
 
 REPEATS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 #: Anchors in more documents than this have their windows dealt out one by one.
@@ -73,16 +73,18 @@ def remove_repeats(
     and keeps its words; rows with one id are not compared with each other; an
     empty table gives no rows; other columns are not read. Ids are integers.
     """
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = id_and_text(docs, id_col, text_col)
     rows = rows.withColumn("text_key", F.xxhash64("text"))  # tells rows of one id apart
     known = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def anchors_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1000):
-                hashes, counts = word_hashes(part.column(1).to_pylist())
+                hashes, counts = word_hashes(utf8(part.column(1)))
                 owner, inside, at, runs = winnow(hashes, counts, window, anchor)
-                at = np.unique(at[inside])
+                picked = np.zeros(len(runs), bool)
+                picked[at[inside]] = True
+                at = np.flatnonzero(picked)
                 ids = part.column(0).to_numpy()
                 yield pa.RecordBatch.from_arrays([signed(runs[at]), pa.array(ids[np.repeat(np.arange(len(ids)), counts)[at]])], names=["anchor", "doc_id"])
 
@@ -96,7 +98,7 @@ def remove_repeats(
         """Rows of windows to compare (hashes of ``n`` neighbours from ``start``), and of repeats found here (no hashes)."""
         for batch in batches:
             for part in slices(batch, 2000):
-                ids, texts, keys = part.column(0).to_numpy(), part.column(1).to_pylist(), part.column(2).to_numpy()
+                ids, texts, keys = part.column(0).to_numpy(), utf8(part.column(1)), part.column(2).to_numpy()
                 hashes, counts = word_hashes(texts)
                 owner, inside, at, runs = winnow(hashes, counts, window, anchor)
                 if not inside.any():
@@ -180,20 +182,18 @@ def remove_repeats(
         for batch in batches:
             for part in slices(batch, 500):
                 out: list[list] = [[], [], [], []]
-                for text, key, found in zip(*[part.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
-                    words = WORD.findall(text or "")
-                    change = np.zeros(len(words) + 1, np.int64)
+                for text, key, found in zip(utf8(part.column(1)), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    words = (text or b"").split()
+                    gone = np.zeros(len(words), bool)
                     for x in found or ():
                         if x["text_key"] == key:
-                            change[x["start"]] += 1
-                            change[x["start"] + x["n"] + window - 1] -= 1
-                    gone = np.cumsum(change[:-1]) > 0
+                            gone[x["start"]:x["start"] + x["n"] + window - 1] = True
                     first, length = stretches(np.flatnonzero(gone))
                     out[0].append(len(words))
                     out[1].append(int(gone.sum()))
                     out[2].append([{"start": a, "length": b} for a, b in zip(first.tolist(), length.tolist(), strict=True)])
-                    out[3].append(" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if len(first) else words))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], REPEATS), pa.array(out[3], pa.string())],
+                    out[3].append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if len(first) else words))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], REPEATS), pa.array(out[3], pa.binary()).cast(pa.string())],
                                                  names=["doc_id", "n_words", "n_removed", "repeats", "kept_text"])
 
     compared = known.join(seeded, "doc_id").mapInArrow(windows_of, "anchor long, salt long, doc_id long, text_key long, start long, n long, hashes binary")
