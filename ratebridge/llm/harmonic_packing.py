@@ -144,7 +144,7 @@ def harmonic_packing(
     min_fill: float = 0.99,
     id_col: str = "doc_id",
     text_col: str = "text",
-    cache_entries: int = 300_000,
+    cache_entries: int = 200_000,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (binary, little-endian uint32), doc_tokens,
     sequence_id, offset.
