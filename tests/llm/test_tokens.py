@@ -53,10 +53,9 @@ def test_prefix_table_answers_budgets(awkward):
     found = prefix_token_table(awkward, WORDS)
     rows = found.select("doc_id", "n_bytes", "n_tokens", F.length("prefix_deltas").alias("chars"), tokens_of_prefix(F.col("prefix_deltas"), F.lit(10)).alias("ten"),
                         chars_within_budget(F.col("prefix_deltas"), F.lit(7)).alias("fit")).collect()
-    texts = [r["text"] for r in awkward.select("text").collect()]
     expected = []
-    for r, t in zip(awkward.select("doc_id").collect(), texts, strict=True):
-        t = t or ""
+    for r in awkward.select("doc_id", "text").collect():
+        t = r["text"] or ""
         count = lambda x: len(library.encode(x, add_special_tokens=False).ids)
         fit = max(i for i in range(min(len(t), 200) + 1) if count(t[:i]) <= 7) if len(t) < 200 else None
         expected.append((r["doc_id"], len(t.encode()), count(t), len(t), count(t[:10]), fit))
