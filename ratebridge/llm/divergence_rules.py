@@ -60,7 +60,8 @@ def repeated_words(docs: DataFrame, words: str, out: str, window: int = 3) -> Da
     mask = F.call_function("shiftleft", F.lit(-1).cast("long"), F.length(F.bin(F.size("_hash").cast("long"))))
     docs = docs.withColumn("_mask", mask)
     packed = F.transform("_hash", lambda h, i: h.bitwiseAND(F.col("_mask")).bitwiseOR(i.cast("long")))
-    docs = docs.withColumn("_packed", F.sort_array(packed))
+    repeats = F.size(F.array_distinct("_hash")) < F.size("_hash")
+    docs = docs.withColumn("_packed", F.when(repeats, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
     high = lambda i: F.get("_packed", i).bitwiseAND(F.col("_mask"))
     twin = F.filter("_packed", lambda x, i: let(x.bitwiseAND(F.col("_mask")), lambda h: F.coalesce(h == high(i + 1), F.lit(False)) | F.coalesce(h == high(i - 1), F.lit(False))))
     docs = docs.withColumn("_twin", F.transform(twin, lambda x: x.bitwiseAND(F.bitwise_not(F.col("_mask"))).cast("int")))
