@@ -1,10 +1,9 @@
-"""Line dedup by pairwise alignment: rare shared lines find pairs, patience diff aligns them.
+"""Line dedup by pairwise alignment: shared lines find pairs, patience diff aligns them.
 
 The earliest document (smallest id) that holds a line is the line's first
-holder. A document is paired with the first holders of its rare shared lines:
-those that at most ``rare_documents`` documents hold, and in any case those not
-much more frequent than its rarest shared line. So pairs grow with the lines of
-the corpus, not with the square of a group of copies.
+holder. A document is paired with the first holder of every line it shares, so
+there is at most one pair a document and line: pairs grow with the lines of the
+corpus, not with the square of a group of copies.
 
 Each pair is aligned by patience diff over line digests: lines that occur once
 in both documents, in their longest common order, are matched first, then
@@ -87,7 +86,7 @@ def remove_aligned_lines(
     docs: DataFrame,
     min_line_words: int = 4,
     min_block_words: int = 8,
-    rare_documents: int = 100,
+    rare_documents: int | None = None,
     rare_factor: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -102,6 +101,10 @@ def remove_aligned_lines(
     one empty line; rows without an id are no partners and stay whole; rows with
     one id are not compared with each other; an empty table gives no rows. Other
     columns are not read. Ids are integers.
+
+    ``rare_documents`` gives up completeness, for callers who ask for it: only
+    lines that at most so many documents hold, or ``rare_factor`` times as many
+    as hold the document's rarest shared line, then find partners.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), F.struct(*[docs[c] for c in keep]).alias("kept") if keep else F.lit(None).cast("string").alias("kept"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))  # tells rows of one id apart
@@ -113,10 +116,12 @@ def remove_aligned_lines(
     told = told.filter(F.col("line.words") >= min_line_words).select("doc_id", F.col("line.digests").alias("digest"))
     holders = told.groupBy("digest").agg(F.min("doc_id").alias("earlier"), F.count("*").alias("n")).filter("n > 1")
     shared = told.join(holders, "digest").filter("earlier < doc_id")
-    found = shared.groupBy("doc_id").agg(F.collect_set(F.struct("n", "earlier")).alias("found"))
-    often = F.greatest(F.lit(rare_documents), F.array_min("found")["n"] * rare_factor)
-    rare = F.array_distinct(F.transform(F.filter("found", lambda x: x["n"] <= F.col("often")), lambda x: x["earlier"]))
-    pairs = found.withColumn("often", often).select("doc_id", F.explode(rare).alias("earlier"))
+    pairs = shared.select("doc_id", "earlier").distinct()
+    if rare_documents is not None:
+        found = shared.groupBy("doc_id").agg(F.collect_set(F.struct("n", "earlier")).alias("found"))
+        often = F.greatest(F.lit(rare_documents), F.array_min("found")["n"] * rare_factor)
+        rare = F.array_distinct(F.transform(F.filter("found", lambda x: x["n"] <= F.col("often")), lambda x: x["earlier"]))
+        pairs = found.withColumn("often", often).select("doc_id", F.explode(rare).alias("earlier"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

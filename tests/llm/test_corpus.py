@@ -253,6 +253,17 @@ def test_lines_match_brute_force(spark, awkward, nothing):
     assert remove_aligned_lines(nothing).count() == 0
 
 
+def test_lines_of_very_many_documents_find_their_first_holder(spark, checkpoints):
+    """One boilerplate line in 130 documents; each also shares a line with one other document only."""
+    often = "all rights to this text and its pictures are reserved by nobody"
+    rows = [(i, f"{often}\nown line {i} has words enough for it\nshared by a pair {i // 2} of documents and no other") for i in range(130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    columns = ["doc_id", "n_lines", "n_removed", "kept_text"]
+    got = sorted([tuple(r) for r in remove_aligned_lines(docs).select(*columns).collect()], key=repr)
+    assert got == lines_by_hand(rows, rare=len(rows))
+    assert [i for i, *_, t in got if often in t] == [0]
+
+
 def test_copies_lose_every_line(spark, checkpoints):
     text = "\n".join(f"line {i} of a text that has many lines" for i in range(10))
     rows = [(i, text) for i in range(40)] + [(99, "something else entirely that nobody copied")]
