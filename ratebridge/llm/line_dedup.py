@@ -7,7 +7,9 @@ corpus, not with the square of a group of copies.
 
 Each pair is aligned by patience diff over line digests: lines that occur once
 in both documents, in their longest common order, are matched first, then
-equal lines next to matched ones, then the gaps between by the same steps.
+equal lines next to matched ones, then the gaps between by the same steps. A gap
+without such a line is matched by a longest common subsequence: of lines that
+are a block alone, or else of all its lines.
 Matched lines that follow one another in both documents are a common block; the
 later document loses blocks of at least ``min_block_words`` words.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,6 +27,9 @@ from pyspark.sql import functions as F
 
 from ratebridge.llm.native import words_of
 
+#: Bits of a longest common subsequence's table held at a time; larger ones are split.
+TABLE_BITS = 1 << 26
+
 BLOCKS = pa.list_(pa.struct([("first", pa.int32()), ("lines", pa.int32()), ("earlier", pa.int64())]))
 
 
@@ -44,8 +50,54 @@ def longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return run[::-1]
 
 
-def patience_matches(a: list, b: list) -> list[tuple[int, int]]:
-    """Matched places (i, j), a[i] == b[j], rising in both."""
+def subsequence_rows(a: list, b: list) -> Iterator[int]:
+    """For each length i of a prefix of a, from 1: bit j is 0 where a[:i] has one more common line with b[:j + 1]
+    than with b[:j]."""
+    places: dict = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    row = every
+    for x in a:
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & every
+        yield row
+
+
+def prefix_lengths(a: list, b: list) -> list[int]:
+    """Length of the longest common subsequence of a and b[:j], for j from 0."""
+    *_, row = subsequence_rows(a, b)
+    bits = bin(row | 1 << len(b))[:2:-1]
+    return [0, *accumulate(x == "0" for x in bits)]
+
+
+def longest_common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places (i, j) of a longest common subsequence, rising; memory grows with the longer list."""
+    found, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        a0, i, b0, j = todo.pop()
+        if i - a0 > 1 and (i - a0) * (j - b0) > TABLE_BITS:
+            half = (a0 + i) // 2
+            head = prefix_lengths(a[a0:half], b[b0:j])
+            tail = prefix_lengths(a[half:i][::-1], b[b0:j][::-1])[::-1]
+            cut = b0 + max(range(j - b0 + 1), key=lambda k: head[k] + tail[k])
+            todo += [(a0, half, b0, cut), (half, i, cut, j)]
+            continue
+        rows = list(subsequence_rows(a[a0:i], b[b0:j]))
+        while i > a0 and j > b0:
+            if a[i - 1] == b[j - 1]:
+                i, j = i - 1, j - 1
+                found.append((i, j))
+            elif rows[i - 1 - a0] >> (j - 1 - b0) & 1:
+                j -= 1
+            else:
+                i -= 1
+    return sorted(found)
+
+
+def patience_matches(a: list, b: list, alone: frozenset = frozenset()) -> list[tuple[int, int]]:
+    """Matched places (i, j), a[i] == b[j], rising in both. Where no line occurs once in both, those in ``alone``
+    come before others."""
     matches, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
@@ -62,6 +114,11 @@ def patience_matches(a: list, b: list) -> list[tuple[int, int]]:
         once = [(i, place[a[i]]) for i in range(a0, a1) if in_a[a[i]] == 1 and a[i] in place]
         i0, j0 = a0, b0
         spine = longest_rising(once)
+        both = in_a.keys() & in_b.keys()
+        for of in () if spine else (both & alone, both):
+            if not spine and of:
+                at_a, at_b = [i for i in range(a0, a1) if a[i] in of], [j for j in range(b0, b1) if b[j] in of]
+                spine = [(at_a[i], at_b[j]) for i, j in longest_common([a[i] for i in at_a], [b[j] for j in at_b])]
         for i, j in spine:
             todo.append((i0, i, j0, j))
             matches.append((i, j))
@@ -74,7 +131,7 @@ def patience_matches(a: list, b: list) -> list[tuple[int, int]]:
 def common_blocks(a: list, b: list, words: list[int], least: int) -> list[tuple[int, int]]:
     """(first line, lines) in ``b`` of runs of matched lines with at least ``least`` words."""
     blocks: list[list[int]] = []
-    for i, j in patience_matches(a, b):
+    for i, j in patience_matches(a, b, frozenset(x for x, n in zip(b, words, strict=True) if n >= least)):
         if blocks and blocks[-1][0] + blocks[-1][2] == i and blocks[-1][1] + blocks[-1][2] == j:
             blocks[-1][2] += 1
         else:

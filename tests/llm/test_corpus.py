@@ -239,6 +239,30 @@ def test_patience_matches():
     assert patience_matches(["l"] * 5, ["l"] * 5) == [(i, i) for i in range(5)]
 
 
+def test_lines_that_one_document_repeats_are_matched(monkeypatch):
+    from ratebridge.llm import line_dedup
+
+    assert patience_matches(list("xPyPz"), list("uPv")) == [(3, 1)]
+    assert patience_matches(list("uPv"), list("xPyPz")) == [(1, 3)]
+    assert common_blocks(list("xPyPz"), list("uPv"), [9, 9, 9], 8) == [(1, 1)]
+    # Q and P are found though their first, second ... occurrences cross.
+    assert patience_matches(list("xPyQzPwQq"), list("uQvPtQsQ")) == [(3, 1), (5, 3), (7, 7)]
+    # Two blank lines do not outweigh a passage.
+    assert common_blocks(["", "", "P", "P"], ["P", "", ""], [9, 0, 0], 8) == [(0, 1)]
+    rng = random.Random(16)
+    for bits in (1 << 26, 40, 0):
+        monkeypatch.setattr(line_dedup, "TABLE_BITS", bits)
+        for _ in range(300):
+            a, b = ([rng.choice("abcde") for _ in range(rng.randint(0, 25))] for _ in range(2))
+            best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+            found = line_dedup.longest_common(a, b)
+            assert len(found) == best[-1][-1] and all(a[i] == b[j] for i, j in found)
+            assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(found, found[1:], strict=False))
+
+
 def test_lines_match_brute_force(spark, awkward, nothing):
     rng = random.Random(9)
     pool = [" ".join(f"w{rng.randrange(200)}" for _ in range(rng.randint(1, 12))) for _ in range(60)]
