@@ -4,7 +4,9 @@ A text is a vector of hashed character 1- to 3-grams of its letters, with
 sublinear term frequency and inverse document frequency, of length one. Each
 language keeps a few centroids, found by spherical k-means on a bounded sample
 of its labelled rows; a text gets the language of the centroid with the largest
-cosine, and is rejected if that cosine is below a bound.
+cosine, and is rejected if that cosine is below the language's bound. The bound
+is a share of a low quantile of the cosines that rows of the sample have to
+centroids of other rows of their language.
 """
 
 from __future__ import annotations
@@ -31,12 +33,14 @@ MIX = (2654435761, 2246822519, 3266489917)
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``languages[owner[i]]`` is the language of centroid i; ``idf`` weighs the features."""
+    """``languages[owner[i]]`` is the language of centroid i; ``idf`` weighs the features; a text
+    with a cosine below ``bounds[owner[i]]`` is not of that language."""
 
     languages: tuple[str, ...]
     owner: np.ndarray
     centroids: np.ndarray
     idf: np.ndarray
+    bounds: np.ndarray
 
 
 def letter_table() -> np.ndarray:
@@ -90,6 +94,14 @@ def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
+def unseen_cosines(rows: np.ndarray, k: int, folds: int = 5) -> np.ndarray:
+    """Each row's cosine to the nearest of the centroids of the other folds; none for a single row."""
+    folds, fold = min(folds, len(rows)), np.arange(len(rows)) % folds
+    if folds < 2:
+        return np.zeros(0, rows.dtype)
+    return np.concatenate([(rows[fold == f] @ spherical_kmeans(rows[fold != f], k).T).max(axis=1) for f in range(folds)])
+
+
 def literal_map(values: dict[str, int]) -> Column:
     """The value of the row's language; null for others."""
     if not values:
@@ -106,10 +118,14 @@ def fit_languages(
     max_languages: int = 500,
     centroids_per_language: int = 4,
     bits: int = 12,
+    bound_quantile: float = 0.05,
+    bound_share: float = 0.5,
 ) -> LanguageModel:
     """Centroids from at most ``sample_per_language`` rows of each language, those with the smallest
     hashes of their id; that bound and ``max_languages`` (the most frequent) bound the fit.
 
+    A language's bound is ``bound_share`` of the ``bound_quantile`` of its rows'
+    cosines to centroids fitted without them; a language of one row has none.
     Rows with a null id, text or language or without a letter teach nothing.
     With no row left the model is empty, and every text is undetermined.
     """
@@ -125,7 +141,7 @@ def fit_languages(
     ranked = few.withColumn("_rank", F.row_number().over(by_order)).filter(F.col("_rank") <= sample_per_language)
     cutoffs = {r["_lang"]: r["last"] for r in ranked.groupBy("_lang").agg(F.max("_order").alias("last")).collect()}
     if not cutoffs:
-        return LanguageModel((), np.zeros(0, int), np.zeros((0, 1 << bits), np.float32), np.ones(1 << bits, np.float32))
+        return LanguageModel((), np.zeros(0, int), np.zeros((0, 1 << bits), np.float32), np.ones(1 << bits, np.float32), np.zeros(0))
     sample = rows.filter(F.col("_order") <= literal_map(cutoffs)).select("_lang", "_text")
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,16 +168,19 @@ def fit_languages(
 
         def cluster(part: pd.DataFrame) -> pd.DataFrame:
             counts = np.stack([np.frombuffer(x, np.float32) for x in sorted(part["counts"])])
-            found = spherical_kmeans(unit_rows(np.log1p(counts) * idf), centroids_per_language)
-            return pd.DataFrame({"_lang": part["_lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in found]})
+            rows = unit_rows(np.log1p(counts) * idf)
+            found, unseen = spherical_kmeans(rows, centroids_per_language), unseen_cosines(rows, centroids_per_language)
+            bound = bound_share * float(np.quantile(unseen, bound_quantile)) if len(unseen) else 0.0
+            return pd.DataFrame({"_lang": part["_lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in found], "bound": bound})
 
-        clustered = featured.groupBy("_lang").applyInPandas(cluster, "_lang string, centroid binary").collect()
+        clustered = featured.groupBy("_lang").applyInPandas(cluster, "_lang string, centroid binary, bound double").collect()
     finally:
         featured.unpersist()
+    bound_of = {r["_lang"]: r["bound"] for r in clustered}
     clustered = sorted((r["_lang"], bytes(r["centroid"])) for r in clustered)
     languages = tuple(sorted({x for x, _ in clustered}))
     owner = np.array([languages.index(x) for x, _ in clustered])
-    return LanguageModel(languages, owner, np.stack([np.frombuffer(c, np.float32) for _, c in clustered]), idf)
+    return LanguageModel(languages, owner, np.stack([np.frombuffer(c, np.float32) for _, c in clustered]), idf, np.array([bound_of[x] for x in languages]))
 
 
 def identify_languages(
@@ -175,7 +194,8 @@ def identify_languages(
     """doc_id, the ``keep`` columns, lang_pred, score (cosine, 0 to 1), rejected.
 
     Reads whole texts and nothing else of a row. A null text, a text without a
-    letter, or any text under an empty model: ``und``, score 0, rejected. Equal
+    letter, or any text under an empty model: ``und``, score 0, rejected. Also
+    rejected are scores below ``min_similarity`` or the language's bound. Equal
     cosines go to the language first in order. Repeated rows give repeated rows,
     an empty table none; other columns are not read.
     """
@@ -191,7 +211,7 @@ def identify_languages(
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column(n_keep).to_pylist()
-                lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+                lang, score, least = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.full(len(texts), min_similarity)
                 counts = [None if not t or not model.languages else ngram_counts(t, bits) for t in texts]
                 known = [i for i, c in enumerate(counts) if c is not None]
                 if known:
@@ -199,9 +219,10 @@ def identify_languages(
                     near = rows @ model.centroids.T
                     best = np.argmax(near, axis=1)
                     score[known] = np.clip(near[np.arange(len(known)), best], 0, 1)
+                    least[known] = np.maximum(model.bounds[model.owner[best]], min_similarity)
                     for i, b in zip(known, best.tolist(), strict=True):
                         lang[i] = model.languages[model.owner[b]]
-                rejected = [x == UNDETERMINED or s < min_similarity for x, s in zip(lang, score.tolist(), strict=True)]
+                rejected = [x == UNDETERMINED or s < m for x, s, m in zip(lang, score.tolist(), least.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names=schema.fieldNames())
 
     return docs.select(docs[id_col], *[docs[c] for c in keep], docs[text_col]).mapInArrow(predict, schema)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -130,6 +131,24 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert 0 <= scores[0] and scores[1] <= 1
 
 
+def test_junk_and_unlearned_languages_are_rejected(spark):
+    rng = random.Random(21)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").persist()
+    model = fit_languages(docs)
+    letters = {"latin": "abcdefghijklmnopqrstuvwxyz     ", "base64": string.ascii_letters + string.digits + "+/",
+               "cyrillic": "".join(map(chr, range(0x430, 0x450))) + "    ", "cjk": "".join(map(chr, range(0x4E00, 0x9FA5)))}
+    junk = [(f"{kind} {n} {i}", "".join(rng.choices(chars, k=n))) for kind, chars in letters.items() for n in (60, 600, 3000) for i in range(10)]
+    found = identify_languages(spark.createDataFrame(junk, "doc_id string, text string"), model).collect()
+    assert [r["doc_id"] for r in found if not r["rejected"]] == []
+    clean = identify_languages(docs, model)
+    assert clean.filter("rejected").count() <= 0.005 * docs.count()
+    for lang in ("fr", "de", "es"):
+        left_out = docs.filter(F.col("lang") == lang)
+        others = fit_languages(docs.filter(F.col("lang") != lang))
+        assert identify_languages(left_out, others).filter("rejected").count() >= 0.95 * left_out.count()
+    docs.unpersist()
+
+
 def test_language_of_awkward_rows(awkward):
     model = fit_languages(awkward, sample_per_language=5, centroids_per_language=2)
     assert model.languages == ("de", "en")
