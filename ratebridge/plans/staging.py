@@ -29,13 +29,17 @@ def stage_rates(raw: DataFrame) -> DataFrame:
 RATE_KEYS = ["rate_date", "series_id"]
 
 
+#: When a row was delivered; kept in merged tables, so that an older delivery that comes late replaces nothing.
+DELIVERED = "delivered_at"
+
+
 def rate_order():
-    """Survivor order among duplicate observations (a total order)."""
-    return asc("value", "series_name", "category")
+    """Survivor order among deliveries of an observation (a total order): the newest delivery, within it as in ``stage_rates``."""
+    return desc(DELIVERED) + asc("value", "series_name", "category")
 
 
-def typed_rates(raw: DataFrame) -> DataFrame:
-    """Rows with a date, series and value; DATE, trimmed text, DECIMAL(10,4)."""
+def typed_rates(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with a date, series and value; DATE, trimmed text, DECIMAL(10,4), and the ``keep`` columns as they are."""
     return raw.where(
         F.col("rate_date").isNotNull() & F.col("series_id").isNotNull() & F.col("value").isNotNull()
     ).select(
@@ -44,6 +48,7 @@ def typed_rates(raw: DataFrame) -> DataFrame:
         F.trim("series_name").alias("series_name"),
         F.trim("category").alias("category"),
         F.col("value").cast(RATE_DECIMAL).alias("value"),
+        *keep,
     )
 
 

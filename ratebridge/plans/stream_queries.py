@@ -18,7 +18,7 @@ from ratebridge.plans import oracle as O
 from ratebridge.plans.generic_queries import EVENTS_AS_OF, LOOKBACK_DAYS
 from ratebridge.plans.registry import register
 from ratebridge.plans import staging as ST
-from ratebridge.plans.staging import RATE_KEYS, rate_order, typed_rates
+from ratebridge.plans.staging import DELIVERED, RATE_KEYS, rate_order, typed_rates
 from ratebridge.session import scratch_path
 from ratebridge.sources.fixtures import bank_listed_rates_raw, scb_mortgage_rates_raw, se_rates_raw, table
 from ratebridge.sources.raw import read_source
@@ -99,22 +99,33 @@ def q_stream_latest_orders(spark, sf_dir):
                 "CAST(value AS DOUBLE) AS value FROM stg_se_rates"),
 )
 def q_stream_stage_rates(spark, sf_dir):
-    """Rate observations landed as a full load plus an overlapping re-delivery of
-    the last year, streamed a few files per batch and merged by (date, series)
-    into a month-partitioned staged table: equals the batch staging."""
+    """Rate observations landed as a full load, in which the last year has other
+    values (lower or higher by series), plus a re-delivery of that year, streamed
+    a few files per batch and merged by (date, series) into a month-partitioned
+    staged table, newest delivery first: equals the batch staging."""
     base = _workdir(spark, "rates")
     raw = se_rates_raw(spark, sf_dir)
-    raw.repartition(8).write.json(f"{base}/landing/load=0")
-    raw.where(F.col("rate_date") >= "2000-08-01").repartition(4).write.json(f"{base}/landing/load=1")
-    stream = X.landed_stream(spark, f"{base}/landing", S.SE_RATES_RAW, max_files_per_trigger=6)
-    typed = typed_rates(stream).withColumn("month", F.date_format("rate_date", "yyyy-MM"))
-    merge = X.merge_by_key(f"{base}/staged", RATE_KEYS, rate_order(), "month")
-    X.run_available(typed, f"{base}/checkpoint", foreach_batch=merge)
-    return spark.read.parquet(f"{base}/staged").select(
+    revised = F.col("rate_date") >= "2000-08-01"
+    change = F.when(F.crc32("series_id") % 2 == 0, 0.25).otherwise(-0.25)
+    earlier = raw.withColumn("value", F.when(revised, F.col("value") + change).otherwise(F.col("value")))
+    earlier.withColumn(DELIVERED, F.lit("2001-07-01 06:00:00")).repartition(8).write.json(f"{base}/landing/load=0")
+    again = raw.where(revised).withColumn(DELIVERED, F.lit("2001-08-01 06:00:00"))
+    again.repartition(4).write.json(f"{base}/landing/load=1")
+    return staged_stream(spark, base).select(
         "rate_date", "series_id", "series_name", "category", F.col("value").cast("double").alias("value")
     )
 
 
+def staged_stream(spark, base):
+    """Streams what has landed under ``base`` since the last call into its staged table, and reads that."""
+    schema = T.StructType([*S.SE_RATES_RAW, T.StructField(DELIVERED, T.TimestampType())])
+    stream = X.landed_stream(spark, f"{base}/landing", schema, max_files_per_trigger=6)
+    typed = typed_rates(stream, keep=(DELIVERED,)).withColumn("month", F.date_format("rate_date", "yyyy-MM"))
+    merge = X.merge_by_key(f"{base}/staged", RATE_KEYS, rate_order(), "month")
+    X.run_available(typed, f"{base}/checkpoint", foreach_batch=merge)
+    return spark.read.parquet(f"{base}/staged")
+
+
 # ---- batch: landed JSON Lines -> declared-schema scan -> staging ----------------------------
 
 

@@ -134,3 +134,18 @@ def test_display_orders(spark):
     )
     got = [(r.bank, r.period_years) for r in for_display(df, "bank_margin").collect()]
     assert got == [("Nordea", 0.25), ("Nordea", 5.0), ("SBAB", 0.25), ("SBAB", None)]
+
+
+def test_newest_delivery_of_a_rate_wins(spark, tmp_path):
+    from ratebridge.plans.stream_queries import staged_stream
+
+    def deliver(load, at, *rates):
+        rows = [("2024-01-02", series, "n", "c", value, at) for series, value in rates]
+        frame = spark.createDataFrame(rows, "rate_date string, series_id string, series_name string, category string, value double, delivered_at string")
+        frame.write.json(f"{tmp_path}/landing/load={load}")
+        return {r["series_id"]: float(r["value"]) for r in staged_stream(spark, str(tmp_path)).collect()}
+
+    assert deliver(0, "2024-01-02 06:00:00", ("UP", 4.0), ("DOWN", 4.0), ("SAME", 1.0)) == {"UP": 4.0, "DOWN": 4.0, "SAME": 1.0}
+    assert deliver(1, "2024-01-03 06:00:00", ("UP", 4.25), ("DOWN", 3.75)) == {"UP": 4.25, "DOWN": 3.75, "SAME": 1.0}
+    # An older delivery that lands late replaces nothing.
+    assert deliver(2, "2024-01-02 18:00:00", ("UP", 4.5), ("DOWN", 3.0), ("SAME", 1.5)) == {"UP": 4.25, "DOWN": 3.75, "SAME": 1.5}
