@@ -6,6 +6,10 @@ import datetime as dt
 import decimal
 import math
 
+#: The driver's smaller tables.
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
 
 def norm(v):
     """Engine-neutral form of one value."""

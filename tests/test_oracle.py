@@ -3,9 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 from ratebridge.plans import catalogue
-from ratebridge.testing import diff_results, duckdb_connection
+from ratebridge.testing import SF_SMALL, diff_results, duckdb_connection
 
 # The optional queries have tests of their own.
 QUERIES = catalogue.queries()
