@@ -159,3 +159,56 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS
        AND sqrt(greatest({JS.format(p='word_p', q='word_shares')}, 0)) <= 0.45 AS kept
 FROM judged
 """
+
+SQL["op12_decontamination"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+    FROM items, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i)
+    WHERE len(w) > 0
+), doc_windows AS (
+    SELECT r, i, m, array_to_string(w[i:i + m - 1], ' ') AS gram
+    FROM docs, (SELECT DISTINCT m FROM windows) AS s, unnest(range(1, len(w) - m + 2)) AS t(i)
+), found AS (
+    SELECT r, i, m, item_id FROM doc_windows JOIN windows USING (m, gram)
+), hits AS (
+    SELECT r, count(DISTINCT i + j) AS n_hit FROM found, unnest(range(0, m)) AS t(j) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
+
+SQL["op13_hard_negatives"] = """
+WITH taking_part AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.r, q.vec_id AS anchor_id, x.vec_id, q.label = x.label AS alike,
+           CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i])) AS BIGINT) AS score
+    FROM taking_part q JOIN taking_part x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+    WHERE q.vec_id % 100 = 0
+), positives AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM scored WHERE alike) WHERE place <= 5
+), paired AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.r, p.place ORDER BY n.score DESC, n.vec_id) AS place
+    FROM positives p JOIN scored n ON n.r = p.r AND NOT n.alike
+     AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM paired WHERE place <= 10
+"""

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebridge.llm import oracle
+from ratebridge.llm.decontamination import decontaminate
 from ratebridge.llm.divergence_rules import divergence_rules
+from ratebridge.llm.hard_negatives import mine_hard_negatives
 from ratebridge.llm.harmonic_packing import harmonic_packing
 from ratebridge.llm.language_id import crc_fold, fit_languages, identify_languages
 from ratebridge.llm.line_dedup import remove_aligned_lines
@@ -18,6 +20,7 @@ from ratebridge.llm.source_mixing import mix_sources, words_taken
 from ratebridge.llm.substring_dedup import remove_repeats
 from ratebridge.llm.token_counts import prefix_token_table
 from ratebridge.llm.topk_search import segment_topk
+from ratebridge.llm.whitening import whiten
 from ratebridge.llm.workers import WORD_PATTERN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +111,29 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(table(spark, sf_dir, "embeddings"), scale=64.0, shift=1_000_000, top=16)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of")
+    each = white.select("vec_id", "n", "deviation", "identity_error", each)
+    component = (F.col("place") + 1).alias("component")
+    return each.select("vec_id", component, "n", "deviation", "of.whitened", "of.explained", "identity_error")
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
+    ids = F.array_join(F.array_sort("items"), ",")
+    n_items = F.size("items").cast("long").alias("n_items")
+    return found.select("doc_id", "n_words", "n_hit", n_items, F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label, scale=256.0)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
