@@ -201,27 +201,28 @@ def identify_languages(
     """
     fields = [T.StructField("doc_id", docs.schema[id_col].dataType), *(docs.schema[c] for c in keep)]
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the parameters of the fit
+    # Plain values: a broadcast is read on workers that may lack this package. Bounded by the parameters of the fit.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.owner, model.centroids, model.idf, model.bounds))
     bits = model.centroids.shape[1].bit_length() - 1
     n_keep = len(fields)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        languages, owner, centroids, idf, bounds = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column(n_keep).to_pylist()
                 lang, score, least = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.full(len(texts), min_similarity)
-                counts = [None if not t or not model.languages else ngram_counts(t, bits) for t in texts]
+                counts = [None if not t or not languages else ngram_counts(t, bits) for t in texts]
                 known = [i for i, c in enumerate(counts) if c is not None]
                 if known:
-                    rows = unit_rows(np.log1p(np.stack([counts[i] for i in known])) * model.idf)
-                    near = rows @ model.centroids.T
+                    rows = unit_rows(np.log1p(np.stack([counts[i] for i in known])) * idf)
+                    near = rows @ centroids.T
                     best = np.argmax(near, axis=1)
                     score[known] = np.clip(near[np.arange(len(known)), best], 0, 1)
-                    least[known] = np.maximum(model.bounds[model.owner[best]], min_similarity)
+                    least[known] = np.maximum(bounds[owner[best]], min_similarity)
                     for i, b in zip(known, best.tolist(), strict=True):
-                        lang[i] = model.languages[model.owner[b]]
+                        lang[i] = languages[owner[b]]
                 rejected = [x == UNDETERMINED or s < m for x, s, m in zip(lang, score.tolist(), least.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names=schema.fieldNames())
 

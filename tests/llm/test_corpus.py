@@ -302,21 +302,19 @@ def test_topk_matches_brute_force(spark):
     vectors = [(i, [rng.choice([0.1, -0.2, 0.25, rng.uniform(-1, 1)]) for _ in range(12)]) for i in range(300)]
     vectors += [(400 + i, vectors[3][1]) for i in range(20)]
     vectors += [(1000, [0.5, float("nan")] + [0.0] * 10), (1100, None), (1200, [float("inf")] + [0.0] * 11), (1300, [None] + [0.0] * 11), (None, [0.1] * 12),
-                (1400, [0.5, 0.5]), (1500, [0.25, 1.0]), (1600, []), vectors[5]]
+                (1400, [0.5, 0.5]), (1500, [0.25, 1.0]), (1600, []), vectors[5], vectors[200], (1, vectors[2][1]), (100, vectors[7][1])]
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("dim", F.lit("clash")).repartition(4)
     got = segment_topk(frame, F.col("vec_id") % 100 == 0, k=7, scale=64.0, levels=(2, 5), query_block=2, row_block=64).collect()
-    whole = {}
     import math
 
     import numpy as np
-    for i, v in vectors:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole[i] = [math.floor(64.0 * float(np.float32(x))) for x in v]
+    whole = [(i, [math.floor(64.0 * float(np.float32(x))) for x in v]) for i, v in vectors
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     expected = []
-    for q in whole:
-        if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
-            expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:7])]
+    for i, q in whole:
+        if i % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in whole if j != i and len(v) == len(q))
+            expected += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored[:7])]
     assert sorted(map(tuple, got)) == sorted(expected)
     assert segment_topk(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
