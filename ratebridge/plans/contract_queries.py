@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-
 from ratebridge.plans import contracts as C
 from ratebridge.plans.registry import register
 from ratebridge.sources import landing as LD
@@ -11,6 +9,29 @@ from ratebridge.sources import landing as LD
 _B = LD.CONTRACT_BLOCK
 _CTX_CASE = "CASE st " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LD.STATUS_CONTEXT.items()) + " END"
 
+#: Findings that the faults of LD.CONTRACT_EDITS must give: (number, rule, subject, message).
+EDIT_FINDINGS = [
+    (0, "schema", "version", "'one' is not of type 'integer'"),
+    (1, "schema", "version", "1.5 is not of type 'integer'"),
+    (2, "schema", "version", "0.5 is not of type 'integer'"),
+    (2, "schema", "version", "0.5 is less than the minimum of 1"),
+    (3, "schema", "terminal", "'zzz' is not of type 'array'"),
+    (4, "schema", "context_schema.loan_amount.type", "5 is not of type 'string'"),
+    (4, "schema", "context_schema.loan_amount.type", "5 is not one of ['string', 'number', 'integer', 'boolean', 'date']"),
+    (5, "schema", "context_schema.loan_amount", "Additional properties are not allowed ('range', 'scale' were unexpected)"),
+    (5, "schema", "context_schema.loan_amount.sensitive", "'yes' is not of type 'boolean'"),
+    (5, "schema", "context_schema.loan_amount.enum", "[null,1,1] has non-unique elements"),
+    (5, "schema", "context_schema.loan_amount.enum.0", "None is not of type 'string', 'number', 'integer', 'boolean'"),
+    (6, "schema", "data_products.p3.owner", "[\"webapp\"] is not of type 'string'"),
+    (6, "schema", "data_products.p3.owner", "[\"webapp\"] is not one of ['dbt', 'webapp', 'superset']"),
+    (7, "schema", "states", "[] is not of type 'object'"),
+    (8, "unreadable", "<root>", "the document is not JSON"),
+    (9, "schema", "initial", "None is not of type 'string'"),
+    (10, "schema", "<root>", "[] is not of type 'object'"),
+    (12, "schema", "states.broken", "5 is not of type 'object'"),
+]
+_EDITED = ", ".join("({}, {})".format(n, ", ".join("'" + t.replace("'", "''") + "'" for t in texts)) for n, *texts in EDIT_FINDINGS)
+
 _BASE = f"""
 WITH o AS (
   SELECT o_custkey AS ck, o_orderkey // {_B} AS blk, o_orderkey AS k, o_orderstatus AS st, o_orderpriority AS pr,
@@ -28,12 +49,24 @@ schema_errs AS (
   FROM docs WHERE ck % 17 = 0
   UNION ALL
   SELECT path, 'schema', 'states.' || name, '''purpose'' is a required property' FROM o2 WHERE k % 101 = 0),
-ok AS (SELECT * FROM docs WHERE path NOT IN (SELECT path FROM schema_errs)),
+plain AS (SELECT *, ck % {LD.CONTRACT_EDIT_CYCLE} AS edit FROM docs WHERE path NOT IN (SELECT path FROM schema_errs)),
+type_errs AS (
+  SELECT path, rule, subject, message FROM plain JOIN (VALUES {_EDITED}) AS e(edit, rule, subject, message) USING (edit)
+  UNION ALL
+  SELECT path, 'schema', 'states.' || name || '.transitions.' || CASE WHEN nk IS NOT NULL AND nst <> 'P' THEN '1' ELSE '0' END || '.event',
+         '7 is not of type ''string''' FROM o2 JOIN plain USING (path) WHERE edit = 11 AND pk IS NOT NULL
+  UNION ALL
+  SELECT path, 'schema', 'states.s' || k0 || '.label', k0 || ' is not of type ''string''' FROM plain WHERE edit = {len(LD.CONTRACT_EDITS)}
+  UNION ALL
+  SELECT path, 'schema', 'states.s' || k0 || '.transitions', '{{}} is not of type ''array''' FROM plain WHERE edit = {len(LD.CONTRACT_EDITS) + 1}),
+ok AS (SELECT * FROM plain WHERE path NOT IN (SELECT path FROM type_errs)),
 okst AS (SELECT o2.* FROM o2 JOIN ok USING (path))"""
 
 _VIOLATIONS = _BASE + f"""
 SELECT path, rule, subject, message FROM schema_errs
 UNION ALL
+SELECT path, rule, subject, message FROM type_errs
+UNION ALL
 SELECT path, 'initial_state', 'start', 'initial state ''start'' does not exist' FROM ok WHERE ck % 13 = 0
 UNION ALL
 SELECT path, 'terminal_state', 'closed', 'terminal state ''closed'' does not exist'
@@ -70,16 +103,14 @@ GROUP BY path"""
 
 @register("contract_violations", _VIOLATIONS)
 def q_contract_violations(spark, sf_dir):
-    """Structure and integrity findings for every synthesised contract."""
-    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
-    return C.schema_errors(parsed).unionByName(C.integrity_errors(C.valid_documents(parsed).persist()))
+    """Structure and reference findings for every synthesised contract."""
+    return C.contract_findings(LD.contract_documents(spark, sf_dir), [C.reference_findings])
 
 
 @register("contract_unreachable", _UNREACHABLE)
 def q_contract_unreachable(spark, sf_dir):
     """States no path from the initial state reaches, one row per contract."""
-    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
-    return C.unreachable_states(C.valid_documents(parsed).persist())
+    return C.contract_findings(LD.contract_documents(spark, sf_dir), [C.unreachable_findings]).where("rule = 'unreachable'")
 
 
 # Relations the contracts may reference, with their columns (the marts' declared outputs).
@@ -114,8 +145,6 @@ WHERE EXISTS (SELECT 1 FROM cat c WHERE c.relation = p.relation)
 @register("contract_data_products", _PRODUCTS)
 def q_contract_data_products(spark, sf_dir):
     """Model-owned data products must resolve to a relation with their freshness field."""
-    parsed = C.parse_contracts(LD.contract_documents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
-    ok = C.valid_documents(parsed).persist()
     cols = spark.createDataFrame([(r, c) for r, cs in MODEL_COLUMNS.items() for c in cs],
                                  "relation string, column string")
-    return C.data_product_errors(ok, cols)
+    return C.data_product_errors(LD.contract_documents(spark, sf_dir), cols)

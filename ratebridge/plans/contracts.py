@@ -3,311 +3,366 @@
 Input: ``contracts(path STRING, doc STRING)``, one JSON document per row.
 Output rows: ``(path, rule, subject, message)``.
 
-* ``schema`` rules (structure): required members, no unknown members, enums,
-  the id pattern, version minimum, non-empty states, unique array items.
-* integrity rules, only for documents without schema errors: initial and
+* ``unreadable``: the text is null or not JSON.
+* ``schema`` rules: the type of every value, required members, no unknown members,
+  enums, the id pattern, the version minimum, non-empty states, unique array items.
+* integrity rules, only for documents without schema findings: initial and
   terminal states exist, referenced context keys / data products / transition
   targets exist, every state is reachable from the initial state.
 
-Documents are parsed with ``from_json`` into maps of structs and exploded into
-relations (states, references, edges); each rule is an anti-join or a column
-predicate, and reachability is one iterative frontier join over all documents.
+A document is parsed once, to a VARIANT, whose types are checked where they stand
+(a typed parse would turn wrong types into nulls). All findings of a document are
+one array, computed in its own row, reachability included, and exploded once: one
+narrow pass, without shuffle, cache or checkpoint. Only data products, which refer
+to the catalog, need a join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ratebridge.operators.graph import reachable
-
-STR = T.StringType()
-STRS = T.ArrayType(STR)
-TRANSITION = T.StructType([T.StructField(n, STR) for n in ("event", "target", "label", "guard")])
-STATE = T.StructType(
-    [
-        *[T.StructField(n, STR) for n in ("label", "component", "purpose")],
-        *[T.StructField(n, STRS) for n in ("requires_context", "writes_context", "data", "guards")],
-        T.StructField("analytics_event", STR),
-        T.StructField("transitions", T.ArrayType(TRANSITION)),
-    ]
-)
-CONTEXT = T.StructType(
-    [
-        T.StructField("type", STR),
-        T.StructField("description", STR),
-        T.StructField("sensitive", T.BooleanType()),
-        T.StructField("unit", STR),
-        T.StructField("enum", STRS),
-    ]
-)
-PRODUCT = T.StructType([T.StructField(n, STR) for n in ("owner", "relation", "description", "freshness_field")])
-CONTRACT = T.StructType(
-    [
-        T.StructField("$schema", STR),
-        T.StructField("id", STR),
-        T.StructField("version", T.LongType()),
-        T.StructField("description", STR),
-        T.StructField("initial", STR),
-        T.StructField("terminal", STRS),
-        T.StructField("context_schema", T.MapType(STR, CONTEXT)),
-        T.StructField("data_products", T.MapType(STR, PRODUCT)),
-        T.StructField("states", T.MapType(STR, STATE)),
-    ]
-)
-# Same documents with every nested entry as a map of member -> raw JSON text:
-# its keys are the members present (for required / unknown-member checks).
-RAW_NESTED = T.StructType(
-    [T.StructField(n, T.MapType(STR, T.MapType(STR, STR))) for n in ("context_schema", "data_products", "states")]
-)
-RAW_TRANSITIONS = T.ArrayType(T.MapType(STR, STR))
 
-# --- fixed values of the contract schema -------------------------------------------------
-ROOT_KEYS = ["$schema", "id", "version", "description", "initial", "terminal", "context_schema", "data_products",
-             "states"]
-ROOT_REQUIRED = ["id", "version", "initial", "states"]
+# --- fixed values of the contract schema: members and their types, limits ------------------
+MEMBERS = {
+    "root": {"$schema": "string", "id": "string", "version": "integer", "description": "string", "initial": "string",
+             "terminal": "array", "context_schema": "object", "data_products": "object", "states": "object"},
+    "context": {"type": "string", "description": "string", "sensitive": "boolean", "unit": "string", "enum": "array"},
+    "product": {"owner": "string", "relation": "string", "description": "string", "freshness_field": "string"},
+    "state": {"label": "string", "component": "string", "purpose": "string", "requires_context": "array",
+              "writes_context": "array", "data": "array", "guards": "array", "analytics_event": "string", "transitions": "array"},
+    "transition": {"event": "string", "target": "string", "label": "string", "guard": "string"},
+}
+REQUIRED = {
+    "root": ["id", "version", "initial", "states"],
+    "context": ["type", "description"],
+    "product": ["owner", "relation", "description"],
+    "state": ["label", "component", "purpose", "transitions"],
+    "transition": ["event", "target"],
+}
+#: What the items of a list or the entries of an object with free names are.
+CHILDREN = {
+    "root.terminal": "name", "root.context_schema": "context", "root.data_products": "product", "root.states": "state",
+    "context.enum": "item", "state.requires_context": "name", "state.writes_context": "name", "state.data": "name",
+    "state.guards": "name", "state.transitions": "transition",
+}
+UNIQUE = ["root.terminal", "context.enum", "state.requires_context", "state.writes_context", "state.data", "state.guards"]
+NOT_EMPTY = "root.states"
+ENUMS = {"context.type": ["string", "number", "integer", "boolean", "date"], "product.owner": ["dbt", "webapp", "superset"]}
+ITEM_TYPES = ["string", "number", "integer", "boolean"]
 ID_PATTERN = "^[a-z][a-z0-9_-]*$"
-CONTEXT_KEYS = ["type", "description", "sensitive", "unit", "enum"]
-CONTEXT_REQUIRED = ["type", "description"]
-CONTEXT_TYPES = ["string", "number", "integer", "boolean", "date"]
-PRODUCT_KEYS = ["owner", "relation", "description", "freshness_field"]
-PRODUCT_REQUIRED = ["owner", "relation", "description"]
-PRODUCT_OWNERS = ["dbt", "webapp", "superset"]
-STATE_KEYS = ["label", "component", "purpose", "requires_context", "writes_context", "data", "guards",
-              "analytics_event", "transitions"]
-STATE_REQUIRED = ["label", "component", "purpose", "transitions"]
-STATE_UNIQUE = ["requires_context", "writes_context", "data", "guards"]
-TRANSITION_KEYS = ["event", "target", "label", "guard"]
-TRANSITION_REQUIRED = ["event", "target"]
+LEAST_VERSION = 1
+#: Levels of a document below its root: members, entries, their members, items, their members.
+DEPTH = 5
 
 OUT = ["path", "rule", "subject", "message"]
 
+#: A valid document as a typed value; members in order of their names, as VARIANT keeps them.
+TYPED = (
+    "struct<`$schema`:string,"
+    "context_schema:map<string,struct<description:string,enum:array<variant>,sensitive:boolean,type:string,unit:string>>,"
+    "data_products:map<string,struct<description:string,freshness_field:string,owner:string,relation:string>>,"
+    "description:string,id:string,initial:string,"
+    "states:map<string,struct<analytics_event:string,component:string,data:array<string>,guards:array<string>,label:string,"
+    "purpose:string,requires_context:array<string>,"
+    "transitions:array<struct<event:string,guard:string,label:string,target:string>>,writes_context:array<string>>>,"
+    "terminal:array<string>,version:long>"
+)
+FINDINGS = "array<struct<rule:string,subject:string,message:string>>"
+
 
-def _q(c: Column) -> Column:
-    """'text' quoted as in the messages."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _quoted(c: Column) -> Column:
     return F.concat(F.lit("'"), c, F.lit("'"))
 
 
-def parse_contracts(docs: DataFrame) -> DataFrame:
-    """(path, doc) -> (path, c: CONTRACT struct, keys: root members, raw: member maps of nested entries)."""
-    return docs.select(
-        "path",
-        F.from_json("doc", CONTRACT).alias("c"),
-        F.json_object_keys("doc").alias("keys"),
-        F.from_json("doc", RAW_NESTED).alias("raw"),
-    )
+def _none() -> Column:
+    return F.array().cast(FINDINGS)
 
 
-def _finding(subject: Column, message: Column) -> Column:
-    return F.struct(subject.alias("subject"), message.alias("message"))
+def _finding(rule: str, subject: Column, message: Column) -> Column:
+    return F.struct(F.lit(rule).alias("rule"), subject.alias("subject"), message.alias("message"))
 
 
-def _when(cond: Column, subject: Column, message: Column) -> Column:
-    """A one-element array holding the finding when ``cond`` holds, else empty."""
-    return F.when(cond, F.array(_finding(subject, message))).otherwise(F.array())
+# --- the typed walk ----------------------------------------------------------------------
+# A node is a value of a document: its place (``at``), the name of the rules that hold for it
+# (``is``: "state" for an entry of states, "state.label" for its member), the type ``wanted`` of
+# it (null for a member that is not known), the value and its kind.
 
 
-def _member_findings(keys: Column, location: Column, allowed: Sequence[str], required: Sequence[str]) -> Column:
-    """Unknown and missing members of one JSON object (``keys`` = its member
-    names; NULL when the value is not an object, reported as all missing)."""
-    keys = F.coalesce(keys, F.array().cast("array<string>"))
-    unknown = F.transform(
-        F.filter(keys, lambda k: ~k.isin(list(allowed))),
-        lambda k: _finding(location, F.concat(F.lit("Additional properties are not allowed ("), _q(k),
-                                              F.lit(" was unexpected)"))),
-    )
-    missing = F.transform(
-        F.array_except(F.array(*[F.lit(r) for r in required]), keys),
-        lambda k: _finding(location, F.concat(_q(k), F.lit(" is a required property"))),
-    )
-    return F.concat(unknown, missing)
+def _as_map(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
 
-def _not_unique(arr: Column, location: Column) -> Column:
-    return _when(F.coalesce(F.size(F.array_distinct(arr)) < F.size(arr), F.lit(False)), location,
-                 F.concat(F.to_json(arr), F.lit(" has non-unique elements")))
+def _as_array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _all(*parts: Column) -> Column:
-    """Concatenate finding arrays; a NULL part counts as no findings."""
-    return F.concat(*[F.coalesce(p, F.array().cast(_FINDINGS)) for p in parts])
+def _text(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "string")
 
 
-_FINDINGS = "array<struct<subject:string,message:string>>"
+def _number(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "double")
 
 
-def _root_findings(c: Column, keys: Column) -> Column:
-    return _all(
-        _member_findings(keys, F.lit("<root>"), ROOT_KEYS, ROOT_REQUIRED),
-        _when(c["id"].isNotNull() & ~c["id"].rlike(ID_PATTERN), F.lit("id"),
-              F.concat(_q(c["id"]), F.lit(f" does not match '{ID_PATTERN}'"))),
-        _when(F.coalesce(c["version"] < 1, F.lit(False)), F.lit("version"),
-              F.concat(c["version"].cast("string"), F.lit(" is less than the minimum of 1"))),
-        _when(c["states"].isNotNull() & (F.size(c["states"]) == 0), F.lit("states"), F.lit("{} should be non-empty")),
-        _not_unique(c["terminal"], F.lit("terminal")),
-    )
+def kind_of(v: Column) -> Column:
+    """object, array, string, boolean, null or number."""
+    names = _literal_map({"STRING": "string", "BOOLEAN": "boolean", "VOID": "null"})
+    scalar = F.coalesce(names[F.schema_of_variant(v)], F.lit("number"))
+    return F.when(_as_map(v).isNotNull(), "object").when(_as_array(v).isNotNull(), "array").otherwise(scalar)
 
 
-def _context_findings(name: Column, raw: Column, e: Column) -> Column:
-    loc = F.concat(F.lit("context_schema."), name)
-    return _all(
-        _member_findings(F.map_keys(raw), loc, CONTEXT_KEYS, CONTEXT_REQUIRED),
-        _when(e["type"].isNotNull() & ~e["type"].isin(CONTEXT_TYPES), F.concat(loc, F.lit(".type")),
-              F.concat(_q(e["type"]), F.lit(f" is not one of {CONTEXT_TYPES}"))),
-        _not_unique(e["enum"], F.concat(loc, F.lit(".enum"))),
-    )
+def _literal_map(values: dict) -> Column:
+    def lit(x):
+        return F.array(*[F.lit(i) for i in x]) if isinstance(x, list) else F.lit(x)
 
+    return F.create_map(*[c for k, v in values.items() for c in (F.lit(k), lit(v))])
 
-def _product_findings(name: Column, raw: Column, e: Column) -> Column:
-    loc = F.concat(F.lit("data_products."), name)
-    return _all(
-        _member_findings(F.map_keys(raw), loc, PRODUCT_KEYS, PRODUCT_REQUIRED),
-        _when(e["owner"].isNotNull() & ~e["owner"].isin(PRODUCT_OWNERS), F.concat(loc, F.lit(".owner")),
-              F.concat(_q(e["owner"]), F.lit(f" is not one of {PRODUCT_OWNERS}"))),
-    )
 
+def _node(at: Column, rules: Column, wanted: Column, v: Column) -> Column:
+    return F.struct(at.alias("at"), rules.alias("is"), wanted.alias("wanted"), v.alias("v"), kind_of(v).alias("kind"))
 
-def _state_findings(name: Column, raw: Column, e: Column) -> Column:
-    loc = F.concat(F.lit("states."), name)
-    raw_transitions = F.from_json(raw["transitions"], RAW_TRANSITIONS)
-    transitions = F.flatten(F.transform(
-        F.coalesce(raw_transitions, F.array().cast("array<map<string,string>>")),
-        lambda t, i: _member_findings(F.map_keys(t), F.concat(loc, F.lit(".transitions."), i.cast("string")),
-                                      TRANSITION_KEYS, TRANSITION_REQUIRED),
-    ))
-    return _all(
-        _member_findings(F.map_keys(raw), loc, STATE_KEYS, STATE_REQUIRED),
-        *[_not_unique(e[a], F.concat(loc, F.lit(f".{a}"))) for a in STATE_UNIQUE],
-        transitions,
-    )
 
+def _record_members() -> Column:
+    return F.create_map(*[c for record, members in MEMBERS.items() for c in (F.lit(record), _literal_map(members))])
+
+
+def children(n: Column) -> Column:
+    """Nodes directly below a node that has rules, as an array; null below one that has none."""
+    below = F.when(n["is"] == "root", F.lit("")).otherwise(F.concat(n["at"], F.lit(".")))
+    child = _literal_map({k: [c, "object" if c in MEMBERS else "string" if c == "name" else "scalar"] for k, c in CHILDREN.items()})[n["is"]]
+
+    def of_record(known: Column) -> Column:
+        return F.transform(F.map_entries(_as_map(n["v"])), lambda e: _node(
+            F.concat(below, e["key"]), F.concat(n["is"], F.lit("."), e["key"]), known[e["key"]], e["value"]))
+
+    def of_named(child: Column) -> Column:
+        return F.transform(F.map_entries(_as_map(n["v"])), lambda e: _node(F.concat(below, e["key"]), child[0], child[1], e["value"]))
+
+    def of_list(child: Column) -> Column:
+        return F.transform(_as_array(n["v"]), lambda x, i: _node(F.concat(below, i.cast("string")), child[0], child[1], x))
+
+    is_object = (n["kind"] == "object") & (n["wanted"] == "object")
+    record = let(_record_members()[n["is"]], lambda known: F.when(known.isNull(), let(child, of_named)).otherwise(of_record(known)))
+    return F.when(is_object, record).when((n["kind"] == "array") & (n["wanted"] == "array"), let(child, of_list))
 
-ENTRY_RULES = [
-    ("context_schema", _context_findings),
-    ("data_products", _product_findings),
-    ("states", _state_findings),
-]
 
+def nodes(v: Column) -> Column:
+    """All nodes of a document, level by level."""
+    def deeper(acc: Column, _: Column) -> Column:
+        ahead = F.flatten(F.filter(F.transform(acc["last"], children), lambda c: c.isNotNull()))
+        return let(ahead, lambda x: F.struct(F.concat(acc["all"], x).alias("all"), x.alias("last")))
 
-def _entries(member: str) -> Column:
-    """Typed and raw entries of one map member zipped by key: name -> (raw, e)."""
-    return F.map_zip_with(F.col(f"raw.{member}"), F.col(f"c.{member}"),
-                          lambda k, r, t: F.struct(r.alias("raw"), t.alias("e")))
+    root = F.array(_node(F.lit("<root>"), F.lit("root"), F.lit("object"), v))
+    return F.aggregate(F.array(*[F.lit(i) for i in range(DEPTH)]), F.struct(root.alias("all"), root.alias("last")), deeper, lambda acc: acc["all"])
 
 
-def _explode_findings(df: DataFrame, findings: Column) -> DataFrame:
-    return df.select("path", F.explode(findings).alias("f")).select(
-        "path", F.lit("schema").alias("rule"), F.col("f.subject").alias("subject"), F.col("f.message").alias("message")
+def _shown(n: Column) -> Column:
+    """A value as messages show it: texts quoted, lists and objects as JSON."""
+    as_json = F.to_json(n["v"])
+    return F.when(n["kind"] == "string", _quoted(_text(n["v"]))).when(n["kind"] == "null", "None").when(
+        n["kind"] == "boolean", F.initcap(as_json)).otherwise(as_json)
+
+
+def _alike(items: Column) -> Column:
+    """Two items of a list are equal (1 and 1.0 are, 1 and true are not)."""
+    same_as = F.transform(items, lambda x: F.when(kind_of(x) == "number", F.concat(F.lit("n"), _number(x).cast("string"))).otherwise(F.to_json(x)))
+    return F.size(F.array_distinct(same_as)) < F.size(items)
+
+
+def suspect(n: Column) -> Column:
+    """Not simply a text or boolean where one is wanted."""
+    plain = (n["kind"] == n["wanted"]) & n["kind"].isin("string", "boolean") & ~n["is"].isin(*ENUMS, "root.id")
+    return n["wanted"].isNotNull() & ~plain
+
+
+def complaints(n: Column) -> Column:
+    """What is wrong with a node itself: an array of messages, those that do not apply null."""
+    rules, wanted, kind, v = n["is"], n["wanted"], n["kind"], n["v"]
+    fits = (F.when(wanted == "integer", (kind == "number") & (_number(v) % 1 == 0))
+            .when(wanted == "scalar", kind.isin("string", "number", "boolean")).otherwise(kind == wanted))
+    type_name = F.when(wanted == "scalar", ", ".join(f"'{t}'" for t in ITEM_TYPES)).otherwise(_quoted(wanted))
+    no_option = [F.when((rules == name) & ~F.coalesce((kind == "string") & _text(v).isin(options), F.lit(False)),
+                        F.concat(_shown(n), F.lit(f" is not one of {options}"))) for name, options in ENUMS.items()]
+
+    def of_record(keys: Column) -> Column:
+        known = F.map_keys(_record_members()[rules])
+        unexpected = let(F.array_sort(F.array_except(keys, known)), lambda u: F.when(F.size(u) > 0, F.concat(
+            F.lit("Additional properties are not allowed ("), F.array_join(F.transform(u, _quoted), ", "),
+            F.when(F.size(u) == 1, " was unexpected)").otherwise(" were unexpected)"))))
+        missing = F.transform(F.array_except(_literal_map(REQUIRED)[rules], keys), lambda k: F.concat(_quoted(k), F.lit(" is a required property")))
+        empty = F.when((rules == NOT_EMPTY) & (F.size(keys) == 0), "{} should be non-empty")
+        return F.concat(F.array(empty), F.when(rules.isin(*MEMBERS), F.concat(F.array(unexpected), missing)).otherwise(F.array(F.lit(None).cast("string"))))
+
+    of_value = F.array(
+        F.when(~F.coalesce(fits, F.lit(False)), F.concat(_shown(n), F.lit(" is not of type "), type_name)),
+        *no_option,
+        F.when((rules == "root.id") & (kind == "string") & ~_text(v).rlike(ID_PATTERN), F.concat(_shown(n), F.lit(f" does not match '{ID_PATTERN}'"))),
+        F.when((rules == "root.version") & (kind == "number") & (_number(v) < LEAST_VERSION), F.concat(_shown(n), F.lit(f" is less than the minimum of {LEAST_VERSION}"))),
+        F.when((kind == "array") & rules.isin(UNIQUE) & _alike(_as_array(v)), F.concat(F.to_json(v), F.lit(" has non-unique elements"))),
     )
+    return F.when((kind == "object") & (wanted == "object"), let(F.map_keys(_as_map(v)), of_record)).otherwise(of_value)
+
+
+# --- findings of a document --------------------------------------------------------------
+
 
+def schema_findings(v: Column) -> Column:
+    """Findings of a parsed document (VARIANT) about its structure."""
+    judged = F.transform(F.filter(nodes(v), suspect), lambda n: F.transform(F.filter(complaints(n), lambda m: m.isNotNull()), lambda m: _finding("schema", n["at"], m)))
+    return F.flatten(F.filter(judged, lambda found: F.size(found) > 0))
 
-def schema_errors(parsed: DataFrame) -> DataFrame:
-    """Structure findings: four passes (root, context entries, data products,
-    states with their transitions), each exploding one array of findings.
-    Exploding the zipped entries keeps each generated row to its own entry."""
-    out = [_explode_findings(parsed, _root_findings(F.col("c"), F.col("keys")))]
-    for member, rule in ENTRY_RULES:
-        ent = parsed.select("path", F.explode(_entries(member)).alias("name", "v"))
-        out.append(_explode_findings(ent, rule(F.col("name"), F.col("v.raw"), F.col("v.e"))))
-    result = out[0]
-    for o in out[1:]:
-        result = result.unionByName(o)
-    return result.select(*OUT)
-
-
-def finding_count() -> Column:
-    """Number of structure findings of a parsed document, computed in place with
-    higher-order functions (no explode, no shuffle)."""
-    total = F.size(_root_findings(F.col("c"), F.col("keys")))
-    for member, rule in ENTRY_RULES:
-        sizes = F.transform(F.map_entries(_entries(member)),
-                            lambda kv: F.size(rule(kv["key"], kv["value"]["raw"], kv["value"]["e"])))
-        total = total + F.coalesce(F.aggregate(sizes, F.lit(0), lambda acc, n: acc + n), F.lit(0))
-    return total
-
-
-def valid_documents(parsed: DataFrame) -> DataFrame:
-    """Documents without structure findings (the integrity rules assume a valid
-    shape): one narrow pass over the parsed documents, no join.
-
-    Pass a persisted ``parsed``: otherwise predicate pushdown substitutes the
-    ``from_json`` expressions into this filter once per reference and every
-    document is parsed many times over."""
-    return parsed.where(finding_count() == 0).select("path", "c")
-
-
-def integrity_errors(ok: DataFrame) -> DataFrame:
-    """Initial / terminal states, context keys, data products and transition
-    targets of valid documents (``valid_documents``) that are not declared.
-
-    Every reference becomes a row (path, kind, ref, rule, state) and every
-    declaration a row (path, kind, name); one anti-join on (path, kind, name)
-    finds all missing references at once - one shuffle, not one per rule.
+
+def typed(v: Column) -> Column:
+    return F.try_variant_get(v, "$", TYPED)
+
+
+def plainly_valid(v: Column, c: Column) -> Column:
+    """A quick test, true only for valid documents: ``c``, the typed value of ``v``, is written as the same text.
+
+    Then every member is known and of its type; required members, limits and unique items are
+    looked at in the typed value. Documents that fail (also rare valid ones: 1e0 for 1, say) take the walk.
     """
-    def names(member: str, kind: str) -> DataFrame:
-        return ok.select("path", F.lit(kind).alias("kind"), F.explode(F.map_keys(f"c.{member}")).alias("name"))
-
-    declared = names("states", "state").unionByName(names("context_schema", "context")).unionByName(
-        names("data_products", "product"))
-
-    def refs(df: DataFrame, kind: str, rule: str, ref: Column, state: Column) -> DataFrame:
-        return df.select("path", F.lit(kind).alias("kind"), ref.alias("ref"), F.lit(rule).alias("rule"),
-                         state.alias("state"))
-
-    none = F.lit(None).cast("string")
-    st = ok.select("path", F.explode("c.states").alias("state", "s"))
-    empty = F.array().cast("array<string>")
-    referenced = (
-        refs(ok, "state", "initial_state", F.col("c.initial"), none)
-        .unionByName(refs(ok.select("path", F.explode(F.coalesce("c.terminal", empty)).alias("t")),
-                          "state", "terminal_state", F.col("t"), none))
-        .unionByName(refs(st.select("path", "state", F.explode(F.concat(F.coalesce("s.requires_context", empty),
-                                                                          F.coalesce("s.writes_context", empty)))
-                                    .alias("k")), "context", "context_key", F.col("k"), F.col("state")))
-        .unionByName(refs(st.select("path", "state", F.explode(F.coalesce("s.data", empty)).alias("k")),
-                          "product", "data_product", F.col("k"), F.col("state")))
-        .unionByName(refs(_edges(ok).withColumnRenamed("src", "state"), "state", "transition_target",
-                          F.col("dst"), F.col("state")))
-    )
-    d = declared.select(F.col("path").alias("__p"), F.col("kind").alias("__k"), F.col("name").alias("__n"))
-    missing = referenced.join(
-        d, (F.col("path") == F.col("__p")) & (F.col("kind") == F.col("__k")) & (F.col("ref") == F.col("__n")),
-        "left_anti")
-    rule, ref, state = F.col("rule"), _q(F.col("ref")), _q(F.col("state"))
-    message = (
-        F.when(rule == "initial_state", F.concat(F.lit("initial state "), ref, F.lit(" does not exist")))
-        .when(rule == "terminal_state", F.concat(F.lit("terminal state "), ref, F.lit(" does not exist")))
-        .when(rule == "context_key", F.concat(F.lit("state "), state, F.lit(" references unknown context key "), ref))
-        .when(rule == "data_product", F.concat(F.lit("state "), state, F.lit(" references unknown data product "), ref))
-        .otherwise(F.concat(F.lit("state "), state, F.lit(" transitions to unknown state "), ref))
-    )
-    return missing.where(F.col("ref").isNotNull()).select("path", "rule", F.col("ref").alias("subject"),
-                                                          message.alias("message"))
+    def whole(a: Column) -> Column:
+        return F.coalesce((F.size(F.array_distinct(a)) == F.size(a)) & ~F.exists(a, lambda x: x.isNull()), F.lit(True))
 
+    def required(e: Column, record: str) -> Column:
+        return reduce(and_, (e[name].isNotNull() for name in REQUIRED[record]))
 
-def _edges(ok: DataFrame) -> DataFrame:
-    st = ok.select("path", F.explode("c.states").alias("src", "s"))
-    return st.select("path", "src", F.explode(F.coalesce("s.transitions", F.array())).alias("t")).select(
-        "path", "src", F.col("t.target").alias("dst")
-    )
+    def state(_: Column, e: Column) -> Column:
+        lists = [name.split(".")[1] for name in UNIQUE if name.startswith("state.")]
+        return required(e, "state") & F.forall(e["transitions"], lambda t: required(t, "transition")) & reduce(and_, (whole(e[n]) for n in lists))
+
+    def context(_: Column, e: Column) -> Column:
+        items = F.forall(e["enum"], lambda x: kind_of(x).isin("string", "number", "boolean")) & ~_alike(e["enum"])
+        return required(e, "context") & e["type"].isin(ENUMS["context.type"]) & F.coalesce(items, F.lit(True))
+
+    def product(_: Column, e: Column) -> Column:
+        return required(e, "product") & e["owner"].isin(ENUMS["product.owner"])
+
+    def every(entries: Column, holds) -> Column:
+        return F.coalesce(F.forall(F.map_entries(entries), lambda e: holds(e["key"], e["value"])), F.lit(True))
 
+    rules = (required(c, "root") & (F.to_json(v) == F.to_json(c)) & c["id"].rlike(ID_PATTERN) & (c["version"] >= LEAST_VERSION)
+             & (F.size(c["states"]) > 0) & whole(c["terminal"]) & every(c["states"], state)
+             & every(c["context_schema"], context) & every(c["data_products"], product))
+    return F.coalesce(rules, F.lit(False))
 
-def unreachable_states(ok: DataFrame) -> DataFrame:
-    """One row per valid document with states not reachable from an existing initial state."""
-    states = ok.select("path", F.explode(F.map_keys("c.states")).alias("node"))
-    starts = ok.select("path", F.col("c.initial").alias("node")).join(states, ["path", "node"], "left_semi")
-    edges = _edges(ok).join(states.withColumnRenamed("node", "dst"), ["path", "dst"], "left_semi")
-    reached = reachable(edges, starts, ["path"])
-    lost = states.join(starts.select("path"), "path", "left_semi").join(reached, ["path", "node"], "left_anti")
-    grouped = lost.groupBy("path").agg(F.array_join(F.sort_array(F.collect_list("node")), ", ").alias("names"))
-    return grouped.select(
-        "path", F.lit("unreachable").alias("rule"), F.lit("").alias("subject"),
-        F.concat(F.lit("unreachable states: "), F.col("names")).alias("message"),
+
+def judged(v: Column, of_valid: Callable[[Column], Column]) -> Column:
+    """Schema findings of a parsed document, or ``of_valid`` of its typed value where there are none."""
+    def walked(c: Column) -> Column:
+        return let(schema_findings(v), lambda found: F.when(F.size(found) > 0, found).otherwise(of_valid(c)))
+
+    return let(typed(v), lambda c: F.when(plainly_valid(v, c), of_valid(c)).otherwise(walked(c)))
+
+
+def _names(c: Column) -> Column:
+    return F.coalesce(c, F.array().cast("array<string>"))
+
+
+def reference_findings(c: Column) -> Column:
+    """Initial and terminal states, context keys, data products and transition targets of a valid
+    document (``TYPED``) that it does not declare.
+
+    Declarations and references carry the kind of name in front, so one set difference finds all
+    that is missing; only references to those are looked up again.
+    """
+
+    def ref(kind: str, rule: str, name: Column, message: Column) -> Column:
+        return F.struct(F.concat(F.lit(f"{kind}:"), name).alias("key"), _finding(rule, name, message).alias("finding"))
+
+    def each(names: Column, kind: str, rule: str, before: Column) -> Column:
+        return F.transform(_names(names), lambda k: ref(kind, rule, k, F.concat(before, _quoted(k))))
+
+    def of_state(e: Column) -> Column:
+        state, body = F.concat(F.lit("state "), _quoted(e["key"])), e["value"]
+        unknown = F.concat(state, F.lit(" references unknown context key "))
+        return F.concat(
+            each(body["requires_context"], "context", "context_key", unknown),
+            each(body["writes_context"], "context", "context_key", unknown),
+            each(body["data"], "product", "data_product", F.concat(state, F.lit(" references unknown data product "))),
+            each(body["transitions"]["target"], "state", "transition_target", F.concat(state, F.lit(" transitions to unknown state "))),
+        )
+
+    def absent(what: str, name: Column) -> Column:
+        return F.concat(F.lit(f"{what} state "), _quoted(name), F.lit(" does not exist"))
+
+    def keyed(members: Column, kind: str) -> Column:
+        return F.transform(_names(F.map_keys(members)), lambda k: F.concat(F.lit(f"{kind}:"), k))
+
+    refs = F.concat(
+        F.array(ref("state", "initial_state", c["initial"], absent("initial", c["initial"]))),
+        F.transform(_names(c["terminal"]), lambda t: ref("state", "terminal_state", t, absent("terminal", t))),
+        F.flatten(F.transform(F.map_entries(c["states"]), of_state)),
     )
+    declared = F.concat(keyed(c["states"], "state"), keyed(c["context_schema"], "context"), keyed(c["data_products"], "product"))
+
+    def missing(refs: Column) -> Column:
+        return let(F.array_except(refs["key"], declared), lambda gone: F.filter(refs, lambda r: F.array_contains(gone, r["key"]))["finding"])
+
+    return let(refs, missing)
+
+
+def reached_states(c: Column) -> Column:
+    """States of a valid document (``TYPED``) that transitions lead to from the initial state, itself included.
+
+    A fixpoint over (visited, frontier) inside the row, as many steps as there are states; steps
+    after the last frontier do nothing.
+    """
+    targets = F.transform_values(c["states"], lambda _, s: _names(s["transitions"]["target"]))
+
+    def walk(targets: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            ahead = F.flatten(F.transform(acc["frontier"], lambda s: _names(targets[s])))
+            further = let(F.array_except(ahead, acc["visited"]), lambda new: F.struct(F.concat(acc["visited"], new).alias("visited"), new.alias("frontier")))
+            return F.when(F.size(acc["frontier"]) == 0, acc).otherwise(further)
+
+        start = F.array(c["initial"])
+        return F.aggregate(F.map_keys(c["states"]), F.struct(start.alias("visited"), start.alias("frontier")), step, lambda acc: acc["visited"])
+
+    return let(targets, walk)
+
+
+def unreachable_findings(c: Column) -> Column:
+    """One finding that names the states of a valid document that are not reached; none without an initial state."""
+    lost = F.array_sort(F.array_except(F.map_keys(c["states"]), reached_states(c)))
+    message = lambda names: F.concat(F.lit("unreachable states: "), F.array_join(names, ", "))
+    found = let(lost, lambda names: F.when(F.size(names) > 0, F.array(_finding("unreachable", F.lit(""), message(names)))).otherwise(_none()))
+    return F.when(F.array_contains(F.map_keys(c["states"]), c["initial"]), found).otherwise(_none())
+
+
+INTEGRITY = (reference_findings, unreachable_findings)
+
+
+def document_findings(doc: Column, integrity: Sequence[Callable[[Column], Column]] = INTEGRITY) -> Column:
+    """All findings of the text of a document."""
+
+    def of_valid(c: Column) -> Column:
+        return F.concat(_none(), *[rule(c).cast(FINDINGS) for rule in integrity])
+
+    unreadable = F.array(_finding("unreadable", F.lit("<root>"), F.lit("the document is not JSON")))
+    return let(F.try_parse_json(doc), lambda v: F.when(v.isNull(), unreadable).otherwise(judged(v, of_valid)))
+
+
+def contract_findings(docs: DataFrame, integrity: Sequence[Callable[[Column], Column]] = INTEGRITY) -> DataFrame:
+    """(path, rule, subject, message) of a table of documents (path, doc); one narrow pass.
+
+    ``integrity`` are the rules that run on documents without schema findings.
+    A member that stands twice in an object makes the document unreadable.
+    """
+    return docs.select("path", F.inline(document_findings(F.col("doc"), integrity))).select(*OUT)
+
+
+# --- data products and the catalog -------------------------------------------------------
 
 
 def catalog_columns(spark, relations: dict) -> DataFrame:
@@ -317,35 +372,35 @@ def catalog_columns(spark, relations: dict) -> DataFrame:
     return spark.createDataFrame(rows, "relation string, column string")
 
 
-def data_product_errors(ok: DataFrame, columns: DataFrame, owners: Sequence[str] = ("dbt",)) -> DataFrame:
+def data_products(docs: DataFrame) -> DataFrame:
+    """(path, product, owner, relation, freshness_field) of the documents without schema findings."""
+
+    def of(v: Column) -> Column:
+        def products(c: Column) -> Column:
+            return F.transform(F.map_entries(c["data_products"]), lambda e: F.struct(e["key"].alias("product"), e["value"]["owner"].alias("owner"),
+                               e["value"]["relation"].alias("relation"), e["value"]["freshness_field"].alias("freshness_field")))
+
+        return let(typed(v), lambda c: F.when(plainly_valid(v, c), products(c)).otherwise(F.when(F.size(schema_findings(v)) == 0, products(c))))
+
+    return docs.select("path", F.inline(let(F.try_parse_json("doc"), of)))
+
+
+def data_product_errors(docs: DataFrame, columns: DataFrame, owners: Sequence[str] = ("dbt",)) -> DataFrame:
     """Data products owned by the model layer must name an existing relation
     that has the declared freshness field (when one is declared). ``columns``
-    is the catalog's (relation, column) list: bounded by the catalog, broadcast."""
-    dp = ok.select("path", F.explode("c.data_products").alias("product", "d")).where(F.col("d.owner").isin(list(owners)))
-    rels = columns.select(F.col("relation").alias("__r")).distinct()
-    cols = columns.select(F.col("relation").alias("__r"), F.col("column").alias("__c"))
-    missing_rel = dp.join(F.broadcast(rels), F.col("d.relation") == F.col("__r"), "left_anti").select(
-        "path", F.lit("data_product_relation").alias("rule"), F.col("product").alias("subject"),
-        F.concat(F.lit("data product "), _q(F.col("product")), F.lit(" names unknown relation "),
-                 _q(F.col("d.relation"))).alias("message"))
-    with_field = dp.where(F.col("d.freshness_field").isNotNull()).join(
-        F.broadcast(rels), F.col("d.relation") == F.col("__r"), "left_semi")
-    missing_col = with_field.join(
-        F.broadcast(cols), (F.col("d.relation") == F.col("__r")) & (F.col("d.freshness_field") == F.col("__c")),
-        "left_anti").select(
-        "path", F.lit("data_product_freshness").alias("rule"), F.col("product").alias("subject"),
-        F.concat(F.lit("data product "), _q(F.col("product")), F.lit(" freshness field "),
-                 _q(F.col("d.freshness_field")), F.lit(" is not a column of "), _q(F.col("d.relation")))
-        .alias("message"))
-    return missing_rel.unionByName(missing_col).select(*OUT)
+    is the catalog's (relation, column) list, one row a relation in the join."""
+    catalog = columns.groupBy(F.col("relation").alias("__relation")).agg(F.collect_set("column").alias("__columns"))
+    dp = data_products(docs).where(F.col("owner").isin(list(owners)))
+    dp = dp.join(catalog, F.col("relation") == F.col("__relation"), "left")
+    product, relation, field = (F.col(c) for c in ("product", "relation", "freshness_field"))
+    no_relation = F.concat(F.lit("data product "), _quoted(product), F.lit(" names unknown relation "), _quoted(relation))
+    no_field = F.concat(F.lit("data product "), _quoted(product), F.lit(" freshness field "), _quoted(field), F.lit(" is not a column of "), _quoted(relation))
+    found = (F.when(F.col("__columns").isNull(), _finding("data_product_relation", product, no_relation))
+             .when(field.isNotNull() & ~F.array_contains("__columns", field), _finding("data_product_freshness", product, no_field)))
+    return dp.select("path", found.alias("f")).where("f IS NOT NULL").select("path", "f.*").select(*OUT)
 
 
 def validate(docs: DataFrame, columns: DataFrame | None = None) -> DataFrame:
-    """All findings (schema, integrity, reachability) for a table of contract documents."""
-    parsed = parse_contracts(docs).persist(StorageLevel.DISK_ONLY)
-    errs = schema_errors(parsed)
-    ok = valid_documents(parsed).persist()
-    out = errs.unionByName(integrity_errors(ok)).unionByName(unreachable_states(ok))
-    if columns is not None:
-        out = out.unionByName(data_product_errors(ok, columns))
-    return out
+    """All findings for a table of contract documents; with ``columns`` those of data products too."""
+    out = contract_findings(docs)
+    return out if columns is None else out.unionByName(data_product_errors(docs, columns))

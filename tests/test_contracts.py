@@ -77,6 +77,89 @@ def test_schema_findings_suppress_integrity(spark):
     assert not any("initial state" in m for m in msgs)   # integrity skipped for invalid documents
 
 
+def test_every_type_rule(spark):
+    """A wrong type in each section, alone in its document: that finding and no other, no integrity rules."""
+    item = "'string', 'number', 'integer', 'boolean'"
+    cases = [
+        (("version",), "one", "'one' is not of type 'integer'"),
+        (("version",), 1.5, "1.5 is not of type 'integer'"),
+        (("version",), True, "True is not of type 'integer'"),
+        (("terminal",), "zzz", "'zzz' is not of type 'array'"),
+        (("terminal",), ["done", None], "None is not of type 'string'"),
+        (("terminal",), ["done", 3], "3 is not of type 'string'"),
+        (("id",), 5, "5 is not of type 'string'"),
+        (("$schema",), [], "[] is not of type 'string'"),
+        (("initial",), None, "None is not of type 'string'"),
+        (("states",), [], "[] is not of type 'object'"),
+        (("states",), {}, "{} should be non-empty"),
+        (("states", "done"), None, "None is not of type 'object'"),
+        (("states", "done", "label"), 12, "12 is not of type 'string'"),
+        (("states", "done", "analytics_event"), False, "False is not of type 'string'"),
+        (("states", "done", "transitions"), {}, "{} is not of type 'array'"),
+        (("states", "done", "guards"), ["a", "a"], '["a","a"] has non-unique elements'),
+        (("states", "done", "transitions"), ["x"], "'x' is not of type 'object'"),
+        (("states", "done", "transitions"), [{"event": "e", "target": 7}], "7 is not of type 'string'"),
+        (("context_schema",), "none", "'none' is not of type 'object'"),
+        (("context_schema", "amount"), [], "[] is not of type 'object'"),
+        (("context_schema", "amount", "sensitive"), "yes", "'yes' is not of type 'boolean'"),
+        (("context_schema", "amount", "enum"), [1, "1", True, None], f"None is not of type {item}"),
+        (("context_schema", "amount", "enum"), [1, 1.0], "[1,1] has non-unique elements"),
+        (("context_schema", "amount", "enum"), [["a"]], f'["a"] is not of type {item}'),
+        (("data_products", "rates", "freshness_field"), {"a": 1}, '{"a":1} is not of type \'string\''),
+        (("data_products", "rates", "relation"), 1e30, "1.0E30 is not of type 'string'"),
+    ]
+    docs = []
+    for path, value, _ in cases:
+        d = doc(initial="nowhere")
+        at = d
+        for key in path[:-1]:
+            at = at[key]
+        at[path[-1]] = value
+        d["initial"] = value if path == ("initial",) else "nowhere"
+        docs.append(d)
+    out = run(spark, docs)
+    assert [(p, m) for p, _, m in out] == sorted((f"c{i}.json", m) for i, (*_, m) in enumerate(cases))
+
+
+def test_valid_documents_of_unusual_form(spark):
+    whole = doc(version=1.0, terminal=[], context_schema={}, data_products={})
+    for state in whole["states"].values():
+        for name in ("writes_context", "requires_context", "data"):
+            state.pop(name, None)
+    odd = doc()
+    odd["context_schema"]["amount"].update(enum=[1, "1", True, 2.5], unit="kr \u00e5\n\"q\"")
+    far = doc(version=10**20)
+    assert run(spark, [whole, odd, far]) == []
+
+
+def test_unreadable_and_other_roots(spark):
+    df = spark.createDataFrame([("a", '{"id": '), ("b", None), ("c", "[]"), ("d", "7"), ("e", ""), ("f", '{"id":1,"id":2}')], "path string, doc string")
+    got = sorted((r.path, r.rule, r.subject, r.message) for r in C.validate(df).collect())
+    unreadable = ("unreadable", "<root>", "the document is not JSON")
+    assert got == [("a", *unreadable), ("b", *unreadable), ("c", "schema", "<root>", "[] is not of type 'object'"),
+                   ("d", "schema", "<root>", "7 is not of type 'object'"), ("e", *unreadable), ("f", *unreadable)]
+
+
+def test_unknown_members_are_one_finding(spark):
+    d = doc(zeta=1, alpha=2)
+    assert run(spark, [d]) == [("c0.json", "schema", "Additional properties are not allowed ('alpha', 'zeta' were unexpected)")]
+
+
+def test_long_chain_inside_a_document(spark):
+    n = 60
+    names = [f"s{i:03}" for i in range(n)]
+    states = {s: {"label": "L", "component": "A", "purpose": "p", "transitions": [{"event": "n", "target": names[(i + 1) % n]}]} for i, s in enumerate(names)}
+    states["lost"] = {"label": "L", "component": "A", "purpose": "p", "transitions": [{"event": "n", "target": "s000"}]}
+    d = doc(initial="s007", terminal=[], states=states)
+    assert run(spark, [d]) == [("c0.json", "unreachable", "unreachable states: lost")]
+
+
+def test_validation_is_one_narrow_pass(spark):
+    df = spark.createDataFrame([("c.json", json.dumps(doc()))], "path string, doc string")
+    plan = C.validate(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "InMemory" not in plan and plan.count("Generate") == 1
+
+
 def test_missing_required_root_members(spark):
     d = doc()
     del d["states"], d["version"]
