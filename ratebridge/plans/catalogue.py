@@ -5,6 +5,7 @@ from __future__ import annotations
 from ratebridge.plans import (  # noqa: F401
     contract_queries,
     generic_queries,
+    ingest_queries,
     model_queries,
     payload_queries,
     quality_queries,

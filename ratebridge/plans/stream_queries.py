@@ -21,7 +21,8 @@ from ratebridge.plans import staging as ST
 from ratebridge.plans.staging import DELIVERED, RATE_KEYS, rate_order, typed_rates
 from ratebridge.session import scratch_path
 from ratebridge.sources.fixtures import bank_listed_rates_raw, scb_mortgage_rates_raw, se_rates_raw, table
-from ratebridge.sources.raw import read_source
+from ratebridge.sources.published import PublishedTable
+from ratebridge.sources.raw import ddl_columns, read_source
 from ratebridge.sources.sinks import DAY, MONTH, write_periods
 from ratebridge.streaming import incremental as X
 
@@ -45,6 +46,11 @@ ORDERS_SCHEMA = T.StructType(
 )
 
 
+def _table_name(name: str) -> str:
+    """A table of this call alone."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def _workdir(spark, name: str) -> str:
     return scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex}")
 
@@ -86,9 +92,11 @@ def q_stream_latest_orders(spark, sf_dir):
     )
     o.withColumn("yr", F.year("o_orderdate")).repartition("yr").write.partitionBy("yr").json(f"{base}/landing")
     stream = X.landed_stream(spark, f"{base}/landing", ORDERS_SCHEMA, max_files_per_trigger=2)
-    merge = X.latest_state(f"{base}/state", ["o_custkey"], desc("o_orderdate", "o_orderkey"), buckets=16)
+    columns = "o_orderkey long, o_custkey long, o_orderdate date, o_totalprice double, o_orderstatus string, state_bucket int"
+    state = PublishedTable(spark, _table_name("latest_orders"), f"{base}/state", columns, ("state_bucket",)).create()
+    merge = X.latest_state(state, ["o_custkey"], desc("o_orderdate", "o_orderkey"), buckets=16)
     X.run_available(stream, f"{base}/checkpoint", foreach_batch=merge)
-    return spark.read.parquet(f"{base}/state").select(
+    return state.read().select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus"
     )
 
@@ -111,19 +119,19 @@ def q_stream_stage_rates(spark, sf_dir):
     earlier.withColumn(DELIVERED, F.lit("2001-07-01 06:00:00")).repartition(8).write.json(f"{base}/landing/load=0")
     again = raw.where(revised).withColumn(DELIVERED, F.lit("2001-08-01 06:00:00"))
     again.repartition(4).write.json(f"{base}/landing/load=1")
-    return staged_stream(spark, base).select(
+    return staged_stream(spark, base, _table_name("staged_rates")).select(
         "rate_date", "series_id", "series_name", "category", F.col("value").cast("double").alias("value")
     )
 
 
-def staged_stream(spark, base):
+def staged_stream(spark, base, name):
     """Streams what has landed under ``base`` since the last call into its staged table, and reads that."""
     schema = T.StructType([*S.SE_RATES_RAW, T.StructField(DELIVERED, T.TimestampType())])
     stream = X.landed_stream(spark, f"{base}/landing", schema, max_files_per_trigger=6)
     typed = typed_rates(stream, keep=(DELIVERED,)).withColumn("month", F.date_format("rate_date", "yyyy-MM"))
-    merge = X.merge_by_key(f"{base}/staged", RATE_KEYS, rate_order(), "month")
-    X.run_available(typed, f"{base}/checkpoint", foreach_batch=merge)
-    return spark.read.parquet(f"{base}/staged")
+    staged = PublishedTable(spark, name, f"{base}/staged", ddl_columns(typed.schema), ("month",)).create()
+    X.run_available(typed, f"{base}/checkpoint", foreach_batch=X.merge_by_key(staged, RATE_KEYS, rate_order()))
+    return staged.read()
 
 
 # ---- batch: landed JSON Lines -> declared-schema scan -> staging ----------------------------

@@ -14,8 +14,9 @@ in one of three ways:
 * ``latest_state`` - per micro-batch, keep one latest row per key in a
   bucketed state table, rewriting only the buckets the batch touches.
 
-All writes of a micro-batch are idempotent for its batch id, so a retried batch
-after an executor or driver failure gives the same table.
+A micro-batch that merges is written to a folder of its own and published by
+partition location under its batch id (``sources/published.py``), so a batch that is
+retried after an executor or driver failure, wherever it stopped, gives the same table.
 """
 
 from __future__ import annotations
@@ -28,9 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ratebridge.operators.topk import first_per_key
-from ratebridge.session import ensure_checkpoint_dir
-from ratebridge.sources.sinks import rebalanced
+from ratebridge.sources.published import PublishedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -92,62 +91,36 @@ def run_available(
     return q
 
 
-def merge_by_key(
-    target: str,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    partition_col: str,
-    fmt: str = "parquet",
-) -> Callable[[DataFrame, int], None]:
+def merge_by_key(target: PublishedTable, keys: Sequence[str], order: Sequence[Column], writer: str = "stream") -> Callable[[DataFrame, int], None]:
     """foreachBatch function: merge each batch into ``target`` by ``keys``.
 
-    For the partitions the batch touches (``partition_col`` values; a small,
-    bounded list), the old rows and the batch are unioned and reduced to the
-    first row per key under ``order``; the result is checkpointed (so the old
-    files are no longer read) and written over exactly those partitions.
+    For the periods the batch touches, old rows and batch are reduced to the first
+    row per key under ``order``, written once to the batch's folder and published by
+    partition location (``PublishedTable.merge``): a batch that stops anywhere and is
+    replayed under its id gives the same table.
     """
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        ensure_checkpoint_dir(spark)
-        touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
-        if not touched:
-            return
-        merged = batch
-        try:
-            old = spark.read.schema(batch.schema).format(fmt).load(target).where(F.col(partition_col).isin(touched))
-            merged = old.unionByName(batch)
-        except Exception as exc:  # first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-                raise
-        result = first_per_key(merged, keys, order).checkpoint(eager=True)
-        (
-            rebalanced(result, [partition_col])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col)
-            .format(fmt)
-            .save(target)
-        )
+        target.merge(batch, batch_id, keys, order, writer=writer)
 
     return fn
 
 
-def latest_state(
-    target: str,
-    keys: Sequence[str],
-    order_desc: Sequence[Column],
-    buckets: int = 64,
-    fmt: str = "parquet",
-) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: keep the latest row per key in a table bucketed by
-    ``pmod(xxhash64(keys), buckets)``; only the buckets a batch touches are read
-    and rewritten, so a batch costs O(batch + touched buckets), not O(state)."""
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-    inner = merge_by_key(target, keys, order_desc, "state_bucket", fmt)
+def state_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a state table, by hash of the keys."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def latest_state(target: PublishedTable, keys: Sequence[str], order_desc: Sequence[Column], buckets: int = 64, writer: str = "stream") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: keep the latest row per key in a table partitioned by
+    ``state_bucket``; only the buckets a batch touches are read and written, so a batch
+    costs O(batch + touched buckets), not O(state). ``buckets`` is fixed for the table's
+    life: choose it so that a bucket of the full state is about one file."""
+    if target.by != ("state_bucket",):
+        raise ValueError("the state table must be partitioned by state_bucket")
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        inner(batch.withColumn("state_bucket", bucket), batch_id)
+        target.merge(batch.withColumn("state_bucket", state_bucket(keys, buckets)), batch_id, keys, order_desc, writer=writer)
 
     return fn
 

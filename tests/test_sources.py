@@ -143,7 +143,7 @@ def test_newest_delivery_of_a_rate_wins(spark, tmp_path):
         rows = [("2024-01-02", series, "n", "c", value, at) for series, value in rates]
         frame = spark.createDataFrame(rows, "rate_date string, series_id string, series_name string, category string, value double, delivered_at string")
         frame.write.json(f"{tmp_path}/landing/load={load}")
-        return {r["series_id"]: float(r["value"]) for r in staged_stream(spark, str(tmp_path)).collect()}
+        return {r["series_id"]: float(r["value"]) for r in staged_stream(spark, str(tmp_path), "newest_delivery").collect()}
 
     assert deliver(0, "2024-01-02 06:00:00", ("UP", 4.0), ("DOWN", 4.0), ("SAME", 1.0)) == {"UP": 4.0, "DOWN": 4.0, "SAME": 1.0}
     assert deliver(1, "2024-01-03 06:00:00", ("UP", 4.25), ("DOWN", 3.75)) == {"UP": 4.25, "DOWN": 3.75, "SAME": 1.0}
