@@ -8,10 +8,10 @@ into one result row per check. Nothing is collected to the driver.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratebridge import schemas as S
@@ -70,14 +70,56 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return df.where(check.failing())
 
 
+def _counts(checks: Sequence[Check]) -> list[Column]:
+    return [F.count_if(c.failing()).alias(f"c{i}") for i, c in enumerate(checks)]
+
+
+class CountedWrites:
+    """Counts failing rows while relations are written, so that no check reads a model again.
+
+    ``counted`` attaches the checks of a relation to a frame; the first action on the
+    frame, its write, fills them in. ``batches`` does the same for each micro-batch of a
+    stream, and adds up. ``results`` has the rows of ``run_checks``; a relation that was
+    never written is an error, a stream without batches has none failing.
+    """
+
+    def __init__(self, spark: SparkSession, checks: Sequence[Check]):
+        self.spark, self.checks = spark, list(checks)
+        self.seen: dict[str, list[Observation]] = {}
+
+    def of(self, relation: str) -> list[Check]:
+        return [c for c in self.checks if c.relation == relation]
+
+    def counted(self, relation: str, df: DataFrame) -> DataFrame:
+        if not self.of(relation):
+            return df
+        watch = Observation()
+        self.seen.setdefault(relation, []).append(watch)
+        return df.observe(watch, *_counts(self.of(relation)))
+
+    def batches(self, relation: str, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+        """A foreachBatch function that writes counted batches; ``write`` must read each batch as a whole."""
+        self.seen.setdefault(relation, [])
+        return lambda batch, number: write(self.counted(relation, batch), number)
+
+    def results(self) -> DataFrame:
+        rows = []
+        for relation in dict.fromkeys(c.relation for c in self.checks):
+            if relation not in self.seen:
+                raise ValueError(f"{relation} was not written")
+            found = [watch.get for watch in self.seen[relation]]
+            for i, c in enumerate(self.of(relation)):
+                failures = sum(f[f"c{i}"] for f in found)
+                rows.append((c.relation, c.column, c.kind, failures, "fail" if failures else "pass"))
+        return self.spark.createDataFrame(rows, "relation string, column_name string, check_name string, failures long, status string")
+
+
 def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: (relation, column_name, check_name, failures, status)."""
     parts: list[DataFrame] = []
     for rel in dict.fromkeys(c.relation for c in checks):
         mine = [c for c in checks if c.relation == rel]
-        counts = relations[rel].agg(
-            *[F.count_if(c.failing()).alias(f"c{i}") for i, c in enumerate(mine)]
-        )
+        counts = relations[rel].agg(*_counts(mine))
         rows = F.array(
             *[
                 F.struct(
@@ -161,3 +203,23 @@ DECLARED_COLUMNS: dict[str, list[str]] = {
 def missing_columns(relations: Mapping[str, DataFrame], declared: Mapping[str, list[str]] = DECLARED_COLUMNS) -> list[tuple[str, str]]:
     """(relation, column) pairs declared but absent; schema-only, no job runs."""
     return [(rel, c) for rel, cols in declared.items() if rel in relations for c in cols if c not in relations[rel].columns]
+
+
+def column_contract(relations: Mapping[str, DataFrame], declared: Mapping[str, list[str]] = DECLARED_COLUMNS) -> DataFrame:
+    """(relation, column_name, status, filled) for every declared column: ``present`` with the number of its
+    non-null values, or ``missing`` (filled null). One pass over each relation; a relation not given is missing."""
+    parts = []
+    spark = next(iter(relations.values())).sparkSession
+    for name, columns in declared.items():
+        held = [c for c in columns if name in relations and c in relations[name].columns]
+        gone = [(name, c, "missing", None) for c in columns if c not in held]
+        if held:
+            counts = relations[name].agg(*[F.count(c).alias(c) for c in held])
+            rows = [F.struct(F.lit(name).alias("relation"), F.lit(c).alias("column_name"), F.lit("present").alias("status"), F.col(c).alias("filled")) for c in held]
+            parts.append(counts.select(F.inline(F.array(*rows))))
+        if gone:
+            parts.append(spark.createDataFrame(gone, "relation string, column_name string, status string, filled long"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

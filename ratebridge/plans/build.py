@@ -107,3 +107,27 @@ def build_models(
     for name, (text, cols) in DOCS.items():
         persist_docs(spark, ns.table("marts", name), text, cols)
     return out
+
+
+def build_counted(spark, raw: Mapping[str, DataFrame], ns, checks, as_of: str | dt.date | None = None, fmt: str = "parquet"):
+    """(models, results of ``checks``): every model stored as a table, each built from the stored ones before
+    it and counted while it is written, so that neither a model nor a check is computed twice."""
+    from ratebridge.operators.quality import CountedWrites
+    from ratebridge.sources.catalog import as_table
+
+    ns.create(spark)
+    writes, out = CountedWrites(spark, checks), {}
+
+    def store(layer: str, name: str, df: DataFrame) -> DataFrame:
+        out[name] = as_table(writes.counted(name, df), ns, layer, name, fmt)
+        return out[name]
+
+    rates = store("staging", "stg_se_rates", ST.stage_rates(raw["se_rates_raw"]))
+    bank = store("staging", "stg_bank_listed_rates", ST.stage_bank(raw["bank_listed_rates_raw"]))
+    scb = store("staging", "stg_scb_mortgage_rates", ST.stage_scb(raw["scb_mortgage_rates_raw"]))
+    latest_bank = store("intermediate", "int_latest_bank_listed_rates", L.latest_bank(bank, as_of))
+    latest_scb = store("intermediate", "int_latest_scb_mortgage_rates", L.latest_scb(scb, as_of))
+    daily = store("marts", "rates_daily", M.rates_daily(rates))
+    store("marts", "bank_margin_analysis", M.bank_margin(daily, latest_bank))
+    store("marts", "bank_vs_market_analysis", M.bank_vs_market(daily, latest_bank, latest_scb))
+    return out, writes.results()

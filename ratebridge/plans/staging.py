@@ -14,6 +14,8 @@ from ratebridge.functions.dates import month_start
 from ratebridge.operators.topk import asc, dedup_by_min, dedup_keep_first, desc
 
 RATE_DECIMAL = T.DecimalType(10, 4)
+#: Characters that are white space at the ends of a text.
+BLANKS = " \t\n\r\f\v"
 
 
 def stage_rates(raw: DataFrame) -> DataFrame:
@@ -44,9 +46,7 @@ def typed_rates(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("rate_date").isNotNull() & F.col("series_id").isNotNull() & F.col("value").isNotNull()
     ).select(
         F.col("rate_date").cast("date").alias("rate_date"),
-        F.trim("series_id").alias("series_id"),
-        F.trim("series_name").alias("series_name"),
-        F.trim("category").alias("category"),
+        *[F.btrim(c, F.lit(BLANKS)).alias(c) for c in ("series_id", "series_name", "category")],
         F.col("value").cast(RATE_DECIMAL).alias("value"),
         *keep,
     )

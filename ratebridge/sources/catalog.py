@@ -52,7 +52,8 @@ def as_table(df: DataFrame, ns: Namespace, layer: str, name: str, fmt: str = "pa
     return df.sparkSession.table(full)
 
 
-def _sql_text(text: str) -> str:
+def sql_text(text: str) -> str:
+    """The text as an SQL literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -61,6 +62,6 @@ def persist_docs(
 ) -> None:
     """Store table and column descriptions in the catalog."""
     if description:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_sql_text(description)}")
+        spark.sql(f"COMMENT ON TABLE {table} IS {sql_text(description)}")
     for col, text in (columns or {}).items():
-        spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{col}` COMMENT {_sql_text(text)}")
+        spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{col}` COMMENT {sql_text(text)}")
