@@ -15,15 +15,17 @@ from pyspark.sql import types as T
 from ratebridge import schemas as S
 from ratebridge.operators.topk import desc
 from ratebridge.plans import oracle as O
+from ratebridge.plans.environment import build_environment
 from ratebridge.plans.generic_queries import EVENTS_AS_OF, LOOKBACK_DAYS
 from ratebridge.plans.registry import register
 from ratebridge.plans import staging as ST
 from ratebridge.plans.staging import DELIVERED, RATE_KEYS, rate_order, typed_rates
 from ratebridge.session import scratch_path
+from ratebridge.sources.catalog import Namespace
 from ratebridge.sources.fixtures import bank_listed_rates_raw, scb_mortgage_rates_raw, se_rates_raw, table
 from ratebridge.sources.published import PublishedTable
 from ratebridge.sources.raw import ddl_columns, read_source
-from ratebridge.sources.sinks import DAY, MONTH, write_periods
+from ratebridge.sources.sinks import DAY, MONTH, nest_periods, write_periods
 from ratebridge.streaming import incremental as X
 
 EVENTS_SCHEMA = T.StructType(
@@ -164,3 +166,50 @@ def q_landed_stage_scb(spark, sf_dir):
     write_periods(scb_mortgage_rates_raw(spark, sf_dir), base, F.col("period_month"), MONTH)
     raw = read_source(spark, "scb_mortgage_rates_raw", base, layout="hive").drop("year", "month")
     return ST.stage_scb(raw)
+
+
+# ---- batch: the collectors' own folders, read by period --------------------------------------
+
+_PERIOD = ("1997-11-01", "1999-02-01")
+
+
+@register("period_scan", O.with_ctes(["stg_se_rates"], f"""SELECT rate_date, series_id, series_name, category,
+CAST(value AS DOUBLE) AS value FROM stg_se_rates WHERE rate_date BETWEEN DATE '{_PERIOD[0]}' AND DATE '{_PERIOD[1]}'"""))
+def q_period_scan(spark, sf_dir):
+    """Rates landed as ``YYYY/MM/DD`` folders, of which only those of a range are listed and read;
+    codes and names come with white space around them."""
+    base = _workdir(spark, "nested-rates")
+    padded = {c: F.concat(F.lit("\t "), F.col(c), F.lit(" \r\n")) for c in ("series_id", "series_name", "category")}
+    nest_periods(se_rates_raw(spark, sf_dir).withColumns(padded), base, F.col("rate_date"), DAY)
+    raw = read_source(spark, "se_rates_raw", base, between=_PERIOD)
+    return ST.stage_rates(raw).select("rate_date", "series_id", "series_name", "category", F.col("value").cast("double").alias("value"))
+
+
+def _ci_sql() -> str:
+    """The oracle chain of latest listed rates, once over all raw rows and once over those below a rate."""
+    chain = [O.RAW["bank_listed_rates_raw"], O.MODELS["stg_bank"], O.MODELS["latest_bank"]]
+    short = [m.replace("stg_bank", "stg_bank_ci").replace("latest_bank AS", "latest_bank_ci AS").replace("list_rate IS NOT NULL", f"list_rate < {_CI_BELOW}")
+             for m in chain[1:]]
+    return "WITH " + ",".join([*chain, *short]) + "\nSELECT 'prod' AS env, * FROM latest_bank UNION ALL SELECT 'ci' AS env, * FROM latest_bank_ci"
+
+
+#: The environment of the trial run holds listed rates below this only.
+_CI_BELOW = 4.0
+
+
+@register("environments_apart", _ci_sql())
+def q_environments_apart(spark, sf_dir):
+    """Two environments in one session, each with raw tables, views and marts over its own landing folders."""
+    base, run = _workdir(spark, "environments"), uuid.uuid4().hex
+    listed = bank_listed_rates_raw(spark, sf_dir)
+    shared = {"se_rates_raw": se_rates_raw(spark, sf_dir), "scb_mortgage_rates_raw": scb_mortgage_rates_raw(spark, sf_dir)}
+    for name, rows in shared.items():
+        rows.write.json(f"{base}/{name}")
+    out = []
+    for env, rows in (("prod", listed), ("ci", listed.where(F.col("list_rate") < _CI_BELOW))):
+        rows.write.json(f"{base}/{env}/bank_listed_rates_raw")
+        places = {**{name: f"{base}/{name}" for name in shared}, "bank_listed_rates_raw": f"{base}/{env}/bank_listed_rates_raw"}
+        ns = Namespace(env=env, run_id=run, base=f"rates_{run[:12]}")
+        build_environment(spark, ns, places, O.AS_OF)
+        out.append(spark.table(ns.table("intermediate", "int_latest_bank_listed_rates")).select(F.lit(env).alias("env"), "*"))
+    return out[0].unionByName(out[1])

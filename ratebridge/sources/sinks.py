@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -54,3 +55,26 @@ def write_periods(
         .format(fmt)
         .save(path)
     )
+
+
+def nest_periods(df: DataFrame, path: str, date_text: Column, by: Sequence[str] = DAY, fmt: str = "json") -> None:
+    """Write ``df`` as the collectors land it: ``path/YYYY/MM[/DD]``, each period in ``df`` replaced as a whole.
+
+    The periods are written beside the landing folder first; then each folder takes
+    its place, a metadata operation a period. A write that stops before that changes
+    nothing; one that stops in between has replaced some periods and not the others,
+    and running it again ends the work.
+    """
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    write_periods(df, beside, date_text, by, fmt)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for at in files.globStatus(hadoop.Path(beside + "/" + "/".join(f"{c}=*" for c in by))):
+        names = str(at.getPath()).rsplit("/", len(by))[1:]
+        target = hadoop.Path("/".join([path, *(n.split("=", 1)[1] for n in names)]))
+        files.mkdirs(target.getParent())
+        files.delete(target, True)
+        if not files.rename(at.getPath(), target):
+            raise OSError(f"{target} could not be replaced")
+    files.delete(hadoop.Path(beside), True)
