@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ratebridge import schemas as S
 from ratebridge.functions.dates import lookback_start
 from ratebridge.operators.gates import missing_members
+from ratebridge.operators.graph import reachable
 from ratebridge.operators.reshape import ffill, pivot_series
 from ratebridge.operators.status import with_freshness, worst_status
 from ratebridge.operators.topk import asc, dedup_keep_first, desc, latest_per_key
@@ -240,3 +241,35 @@ def q_lookback_filter(spark, sf_dir):
     start = lookback_start(EVENTS_AS_OF, LOOKBACK_DAYS)
     ev = table(spark, sf_dir, "events").where(F.col("ts") >= start)
     return ev.select("event_id", "user_id", "event_type", "value", F.to_date("ts").alias("event_date"))
+
+
+# ---- reachability across rows (J6) --------------------------------------------------------
+
+#: Shipments of this size are the edges.
+_EDGE_QUANTITY, _START_NATION = 50, 0
+
+_REACHED_SQL = f"""
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT strftime(CAST(l_shipdate AS DATE), '%Y-%m') AS month, c.c_nationkey AS src, s.s_nationkey AS dst
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer c ON o_custkey = c.c_custkey JOIN supplier s ON l_suppkey = s.s_suppkey
+  WHERE l_quantity = {_EDGE_QUANTITY}
+), reached(month, node) AS (
+  SELECT DISTINCT month, {_START_NATION} FROM edges
+  UNION
+  SELECT e.month, e.dst FROM reached r JOIN edges e ON e.month = r.month AND e.src = r.node
+)
+SELECT month, CAST(node AS BIGINT) AS nation FROM reached"""
+
+
+@register("nations_reached", _REACHED_SQL)
+def q_nations_reached(spark, sf_dir):
+    """Nations that each month's largest shipments lead to from one nation, customer's to supplier's; one graph a month."""
+    t = lambda name, *columns: table(spark, sf_dir, name).select(*columns)
+    shipped = t("lineitem", "l_orderkey", "l_suppkey", "l_shipdate", "l_quantity").where(F.col("l_quantity") == _EDGE_QUANTITY)
+    placed = shipped.join(t("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    placed = placed.join(t("customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    placed = placed.join(t("supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    month = F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM").alias("month")
+    edges = placed.select(month, F.col("c_nationkey").cast("long").alias("src"), F.col("s_nationkey").cast("long").alias("dst"))
+    starts = edges.select("month", F.lit(_START_NATION).cast("long").alias("node"))
+    return reachable(edges, starts, ["month"]).withColumnRenamed("node", "nation")

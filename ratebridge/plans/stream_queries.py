@@ -75,6 +75,30 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type", "value")
 
 
+#: One event in so many is withheld from the first load, if it is that many days older than the newest.
+_WITHHELD, _BACK_FILL_DAYS = 40, 15
+_LATE_SQL = f"""event_id % {_WITHHELD} = 0 AND CAST(ts AS TIMESTAMP) < (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL {_BACK_FILL_DAYS} DAYS"""
+
+
+@register("stream_first_copies", f"SELECT event_id, user_id, event_type, value, {_LATE_SQL} AS late FROM events")
+def q_stream_first_copies(spark, sf_dir):
+    """Events landed in three loads, each streamed when it has landed: most, then the look-back window
+    again, then a back-fill of older events that are seen for the first time. All are kept, those of
+    the back-fill as late."""
+    base = _workdir(spark, "first-copies")
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    newest = ev.agg(F.max("ts")).first()[0]
+    withheld = (F.col("event_id") % _WITHHELD == 0) & (F.col("ts") < F.lit(newest) - F.expr(f"INTERVAL {_BACK_FILL_DAYS} DAYS"))
+    again = F.col("ts") >= F.lit(EVENTS_AS_OF).cast("timestamp") - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")
+    columns = "event_id long, ts timestamp, user_id long, event_type string, value double, late boolean, day string"
+    kept = PublishedTable(spark, _table_name("first_copies"), f"{base}/kept", columns, ("day",)).create()
+    for load, part in enumerate((~withheld, again & ~withheld, withheld)):
+        ev.where(part).write.json(f"{base}/landing/load={load}")
+        stream = X.landed_stream(spark, f"{base}/landing", EVENTS_SCHEMA).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+        X.run_available(stream, f"{base}/checkpoint", foreach_batch=X.first_copies(kept, ["event_id"], "ts", LOOKBACK_DAYS))
+    return kept.read().select("event_id", "user_id", "event_type", "value", "late")
+
+
 _LATEST_ORDERS_SQL = """
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice, o_orderstatus FROM (
   SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice, o_orderstatus,

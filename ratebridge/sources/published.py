@@ -69,8 +69,10 @@ class PublishedTable:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").where(F.col("key") == f"{step}.{writer}").collect()
         return int(rows[0]["value"]) if rows else None
 
-    def _note(self, step: str, writer: str, batch_id: int) -> None:
-        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{step}.{writer}' = '{batch_id}')")
+    def _note(self, step: str, writer: str, batch_id: int, **more: object) -> None:
+        """Notes a step, and what else the writer must know, by one command."""
+        noted = ", ".join(f"'{name}.{writer}' = '{value}'" for name, value in {step: batch_id, **more}.items())
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({noted})")
 
     def is_published(self, writer: str, batch_id: int) -> bool:
         last = self.journal("published", writer)
@@ -78,13 +80,14 @@ class PublishedTable:
 
     # --- steps -----------------------------------------------------------------------
 
-    def stage(self, rows: Callable[[], DataFrame], batch_id: int, writer: str) -> DataFrame:
-        """The batch, written to its folder unless that is done; ``rows`` makes what is to be written."""
+    def stage(self, rows: Callable[[], DataFrame], batch_id: int, writer: str, more: Callable[[], dict] = dict) -> DataFrame:
+        """The batch, written to its folder unless that is done; ``rows`` makes what is to be written,
+        ``more`` what is noted with it."""
         folder = self.batch_folder(writer, batch_id)
         if self.journal("staged", writer) != batch_id:
             frame = rows().select(*[F.col(f"`{c}`") for c in self.read().columns])
             rebalanced(frame, self.by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*self.by).parquet(folder)
-            self._note("staged", writer, batch_id)
+            self._note("staged", writer, batch_id, **more())
         types = {f.name: f for f in self.read().schema.fields}
         order = [*[c for c in types if c not in self.by], *self.by]
         return self.spark.read.schema(T.StructType([types[c] for c in order])).parquet(folder)
@@ -124,7 +127,7 @@ class PublishedTable:
 
     def replace(self, batch: DataFrame, batch_id: int, audits: Sequence[Audit] = (), writer: str = "batch") -> bool:
         """The periods in ``batch`` become its rows, others stay. False where the batch was published before."""
-        return self._run(lambda: batch, batch_id, audits, writer)
+        return self.apply(lambda: batch, batch_id, audits, writer)
 
     def merge(self, batch: DataFrame, batch_id: int, keys: Sequence[str], order: Sequence[Column], audits: Sequence[Audit] = (), writer: str = "stream") -> bool:
         """Of the batch and the rows of the periods it touches, the first of each key under ``order``.
@@ -138,7 +141,7 @@ class PublishedTable:
             return reduced if old is None else first_per_key(old.unionByName(reduced), keys, order)
 
         try:
-            return self._run(merged, batch_id, audits, writer)
+            return self.apply(merged, batch_id, audits, writer)
         finally:
             reduced.unpersist()
 
@@ -158,10 +161,11 @@ class PublishedTable:
             listed = F.struct(*self.by).isin([F.struct(*[F.lit(r[c]).alias(c) for c in self.by]) for r in some])
         return self.read().where(listed)
 
-    def _run(self, rows: Callable[[], DataFrame], batch_id: int, audits: Sequence[Audit], writer: str) -> bool:
+    def apply(self, rows: Callable[[], DataFrame], batch_id: int, audits: Sequence[Audit] = (), writer: str = "batch", more: Callable[[], dict] = dict) -> bool:
+        """Written, audited, published: the periods in ``rows()`` become those rows. False where it was published before."""
         if self.is_published(writer, batch_id):
             return False
-        staged = self.stage(rows, batch_id, writer)
+        staged = self.stage(rows, batch_id, writer, more)
         self.audit(staged, audits, writer)
         self.publish(staged, batch_id, writer)
         return True

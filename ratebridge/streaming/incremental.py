@@ -4,10 +4,12 @@ The collectors keep a high-water mark and re-fetch an overlapping look-back
 window, so the same observation lands several times. Here the landing folder
 is a streaming file source (``trigger(availableNow=True)`` processes what has
 landed and stops, with progress in the checkpoint), and overlaps are resolved
-in one of three ways:
+in one of four ways:
 
 * ``dedup_stream`` - drop repeats of a key within a watermark
   (``dropDuplicatesWithinWatermark``; state kept for the look-back window);
+* ``first_copies`` - per micro-batch, keep the first copy of every key in a
+  period-partitioned table, late ones too, marked as such;
 * ``merge_by_key`` - per micro-batch, merge the batch into a period-partitioned
   table by key (replace-on-overlap per key, never per whole period, so a
   re-delivery missing one series does not erase it);
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ratebridge.operators.topk import first_per_key
 from ratebridge.sources.published import PublishedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -106,6 +109,42 @@ def merge_by_key(target: PublishedTable, keys: Sequence[str], order: Sequence[Co
     return fn
 
 
+def first_copies(target: PublishedTable, keys: Sequence[str], event_time: str, delay_days: int, writer: str = "stream") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: the first copy of every key, however late it comes.
+
+    A watermark drops what is older than it, unseen first copies too. Here the table
+    itself is the state: a batch is compared with the periods it touches and no others,
+    so a late first copy costs one old period and is kept, with ``late`` true where it
+    is more than ``delay_days`` older than the newest row of earlier batches. Kept rows
+    and repeats add up to what came in; late ones are counted by their column.
+
+    The period of a row must hang on its event time alone. The newest event time is
+    noted with the staged batch, so a batch that is replayed finds the same rows late.
+    """
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        order = [F.col(c).asc_nulls_last() for c in (event_time, *sorted(set(batch.columns) - {event_time, *keys}))]
+        reduced = first_per_key(batch, keys, order).persist()
+        newest = target.journal("newest", writer)
+
+        def rows() -> DataFrame:
+            old = target.touched(reduced)
+            late = F.lit(False) if newest is None else F.unix_seconds(event_time) < newest - delay_days * 86400
+            new = (reduced if old is None else reduced.join(old.select(*keys), list(keys), "left_anti")).withColumn("late", late)
+            return new if old is None else old.unionByName(new)
+
+        def last() -> dict:
+            seen = reduced.agg(F.max(F.unix_seconds(event_time))).first()[0]
+            return {"newest": max(x for x in (seen, newest) if x is not None)} if seen is not None or newest is not None else {}
+
+        try:
+            target.apply(rows, batch_id, writer=writer, more=last)
+        finally:
+            reduced.unpersist()
+
+    return fn
+
+
 def state_bucket(keys: Sequence[str], buckets: int) -> Column:
     """Bucket of a state table, by hash of the keys."""
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
