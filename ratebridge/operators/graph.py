@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratebridge.session import ensure_checkpoint_dir
+from ratebridge.session import ensure_checkpoint_dir, scratch_path
 
 CHECKPOINT_EVERY = 8
 
@@ -28,12 +29,29 @@ def reachable(
     nodes never re-enter the frontier). Each frontier is written with a
     reliable checkpoint to the session's checkpoint folder (the visited set is
     compacted every few rounds), so plans stay flat and a lost executor
-    recomputes at most one round.
+    recomputes at most one round. The edges are stored once, bucketed by (graph,
+    src), so a round shuffles its frontier and not the edges.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     keys = list(keys)
     ek = [f"__e_{k}" for k in keys]
-    e = edges.select(*[F.col(k).alias(a) for k, a in zip(keys, ek)], "src", "dst").distinct().checkpoint(eager=True)
+    e, stored = bucketed(edges.select(*[F.col(k).alias(a) for k, a in zip(keys, ek)], "src", "dst").distinct(), [*ek, "src"])
+    try:
+        return _reached(e, ek, starts, keys, max_rounds)
+    finally:
+        edges.sparkSession.sql(f"DROP TABLE {stored}")
+
+
+def bucketed(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, str]:
+    """The rows stored in as many buckets as a shuffle has partitions, and the table's name."""
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(n, *by).write.bucketBy(n, *by).sortBy(*by).format("parquet")
+    rows.option("path", scratch_path(spark, "bucketed", name)).saveAsTable(name)
+    return spark.table(name), name
+
+
+def _reached(e: DataFrame, ek: list[str], starts: DataFrame, keys: list[str], max_rounds: int | None) -> DataFrame:
     # Every round's frontier is checkpointed: its plan becomes a flat scan, so
     # the plan of `visited` (a union of frontiers) grows linearly, not
     # exponentially, with the number of rounds.
