@@ -13,150 +13,141 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import types as T
-
-_FIELDS = [
-    ("page_id", T.LongType(), pa.int64()),
-    ("table_idx", T.IntegerType(), pa.int32()),
-    ("kind", T.StringType(), pa.string()),
-    ("section", T.StringType(), pa.string()),
-    ("section_idx", T.IntegerType(), pa.int32()),
-    ("row_idx", T.IntegerType(), pa.int32()),
-    ("cells", T.ArrayType(T.StringType()), pa.list_(pa.string())),
-    ("cells_spaced", T.ArrayType(T.StringType()), pa.list_(pa.string())),
-    ("text_raw", T.StringType(), pa.string()),
-]
-ROW_SCHEMA = T.StructType([T.StructField(n, t) for n, t, _ in _FIELDS])
-_ARROW_SCHEMA = pa.schema([(n, a) for n, _, a in _FIELDS])
+
 SECTIONS = ("thead", "tbody", "tfoot")
+ROW_FIELDS = [("section", "string"), ("section_idx", "int"), ("cells", "array<string>"), ("cells_spaced", "array<string>")]
+_ROW = "struct<" + ",".join(f"{n}:{t}" for n, t in ROW_FIELDS) + ">"
+#: One page: its tables in document order, each with its text, first caption, heads of its first thead and rows.
+TABLES = f"array<struct<text:string,caption:string,heads:array<string>,rows:array<{_ROW}>>>"
+_ARROW_ROW = pa.struct([("section", pa.string()), ("section_idx", pa.int32()), ("cells", pa.list_(pa.string())), ("cells_spaced", pa.list_(pa.string()))])
+_ARROW_TABLES = pa.list_(pa.struct([("text", pa.string()), ("caption", pa.string()), ("heads", pa.list_(pa.string())), ("rows", pa.list_(_ARROW_ROW))]))
+#: Characters of pages parsed before a batch of results leaves.
+FLUSH_AT = 4 << 20
 
 
-class _TableParser(HTMLParser):
-    """Collects captions, first-thead headers and rows of every table in a page."""
+def _joined(fragments: list[str], sep: str) -> str:
+    parts = (f.strip() for f in fragments)
+    return sep.join(p for p in parts if p).replace("\xa0", " ")
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.out: list[tuple] = []
-        self.stack: list[dict] = []
-        self.n_tables = 0
-
-    # -- helpers --
-    @staticmethod
-    def _joined(frags: list[str], sep: str) -> str:
-        parts = [f.strip() for f in frags]
-        return sep.join(p for p in parts if p).replace("\xa0", " ")
-
-    def _close_cell(self, t: dict) -> None:
-        cell = t.get("cell")
-        if cell is None:
-            return
-        t["cell"] = None
-        kind, frags = cell
-        row = t.get("row")
-        if kind == "caption":
-            self.out.append((t["idx"], "caption", "", -1, -1, None, None, "".join(frags)))
-        elif kind == "th" and t["section"] == "thead" and t["sec_idx"] == 0:
-            t["heads"].append(self._joined(frags, ""))
-        if row is not None and kind in ("td", "th"):
-            row["raw"].extend(frags)
-            if kind == "td":
-                row["td"].append(self._joined(frags, ""))
-                row["td_sp"].append(self._joined(frags, " "))
-
-    def _close_row(self, t: dict) -> None:
-        self._close_cell(t)
-        row = t.get("row")
-        if row is None:
-            return
-        t["row"] = None
-        self.out.append((t["idx"], "row", row["section"], row["sec_idx"], row["idx"], row["td"], row["td_sp"],
-                         "".join(row["raw"])))
 
-    def _close_table(self) -> None:
-        t = self.stack.pop()
-        self._close_row(t)
-        if t["has_head"]:
-            self.out.append((t["idx"], "head", "thead", 0, -1, t["heads"], t["heads"], ""))
+class _Table:
+    """A table being read. ``heads`` stays None without a thead, ``caption`` without a caption."""
 
-    # -- parser callbacks --
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            if self.stack:
-                self._close_cell(self.stack[-1])
-            self.stack.append({"idx": self.n_tables, "rows": 0, "row": None, "cell": None, "section": "",
-                               "sec_idx": -1, "counts": dict.fromkeys(SECTIONS, 0), "heads": [], "has_head": False})
-            self.n_tables += 1
-            return
-        if not self.stack:
+    def __init__(self) -> None:
+        self.text: list[str] = []
+        self.caption = self.heads = self.row = self.cell = None
+        self.rows: list[dict] = []
+        self.section, self.section_idx = "", -1
+        self.counts = dict.fromkeys(SECTIONS, 0)
+
+    def close_cell(self) -> None:
+        if self.cell is None:
             return
-        t = self.stack[-1]
+        (kind, fragments), self.cell = self.cell, None
+        if kind == "caption" and self.caption is None:
+            self.caption = "".join(fragments)
+        elif kind == "th" and self.section == "thead" and self.section_idx == 0:
+            self.heads.append(_joined(fragments, ""))
+        elif kind == "td" and self.row is not None:
+            self.row["cells"].append(_joined(fragments, ""))
+            self.row["cells_spaced"].append(_joined(fragments, " "))
+
+    def close_row(self) -> None:
+        self.close_cell()
+        self.row = None
+
+    def open(self, tag: str) -> None:
         if tag in SECTIONS:
-            self._close_row(t)
-            t["section"], t["sec_idx"] = tag, t["counts"][tag]
-            t["counts"][tag] += 1
-            if tag == "thead" and t["sec_idx"] == 0:
-                t["has_head"] = True
+            self.close_row()
+            self.section, self.section_idx = tag, self.counts[tag]
+            self.counts[tag] += 1
+            if tag == "thead" and self.heads is None:
+                self.heads = []
         elif tag == "tr":
-            self._close_row(t)
-            t["row"] = {"idx": t["rows"], "section": t["section"], "sec_idx": t["sec_idx"], "td": [], "td_sp": [],
-                        "raw": []}
-            t["rows"] += 1
+            self.close_row()
+            self.row = {"section": self.section, "section_idx": self.section_idx, "cells": [], "cells_spaced": []}
+            self.rows.append(self.row)
         elif tag in ("td", "th", "caption"):
-            self._close_cell(t)
-            t["cell"] = (tag, [])
+            self.close_cell()
+            self.cell = (tag, [])
+
+    def shut(self, tag: str) -> None:
+        if tag in ("td", "th", "caption"):
+            self.close_cell()
+        elif tag == "tr" or tag in SECTIONS:
+            self.close_row()
+            if tag in SECTIONS:
+                self.section, self.section_idx = "", -1
+
+    def record(self) -> dict:
+        self.close_row()
+        return {"text": "".join(self.text), "caption": self.caption, "heads": self.heads, "rows": self.rows}
+
+
+class _TableParser(HTMLParser):
+    """Collects the tables of a page; one inside another is a table of its own."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.tables: list[_Table] = []
+        self.open_tables: list[_Table] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            if self.open_tables:
+                self.open_tables[-1].close_cell()
+            self.open_tables.append(_Table())
+            self.tables.append(self.open_tables[-1])
+        elif self.open_tables:
+            self.open_tables[-1].open(tag)
 
     def handle_endtag(self, tag):
-        if not self.stack:
+        if not self.open_tables:
             return
-        t = self.stack[-1]
         if tag == "table":
-            self._close_table()
-        elif tag in ("td", "th", "caption"):
-            self._close_cell(t)
-        elif tag == "tr":
-            self._close_row(t)
-        elif tag in SECTIONS:
-            self._close_row(t)
-            t["section"], t["sec_idx"] = "", -1
+            self.open_tables.pop().close_row()
+        else:
+            self.open_tables[-1].shut(tag)
 
     def handle_data(self, data):
-        if self.cdata_elem is None and self.stack and self.stack[-1]["cell"] is not None:  # no script or style text
-            self.stack[-1]["cell"][1].append(data)
-
-    def finish(self) -> list[tuple]:
-        self.close()
-        while self.stack:
-            self._close_table()
-        return self.out
+        if self.cdata_elem is None and self.open_tables:  # no script or style text
+            self.open_tables[-1].text.append(data)
+            if self.open_tables[-1].cell is not None:
+                self.open_tables[-1].cell[1].append(data)
 
 
-def parse_tables(html: str | None) -> list[tuple]:
-    """Records (table_idx, kind, section, section_idx, row_idx, cells, cells_spaced, text_raw) of one page."""
+def parse_tables(html: str | None) -> list[dict]:
+    """The tables of one page (see ``TABLES``)."""
     if not html:
         return []
-    p = _TableParser()
-    p.feed(html)
-    return p.finish()
+    parser = _TableParser()
+    parser.feed(html)
+    parser.close()
+    return [t.record() for t in parser.tables]
 
 
-def _rows_fn(carry: tuple[str, ...]):
-    schema = pa.schema([*_ARROW_SCHEMA, *[(c, pa.string()) for c in carry]])
+def pages_fn(n_carry: int):
+    """(carried columns, html) -> (carried columns, tables), a row a page, in batches of bounded size."""
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[] for _ in schema]
-            extra = [batch.column(c).to_pylist() for c in carry]
-            for n, (pid, html) in enumerate(zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist())):
-                for rec in parse_tables(html):
-                    cols[0].append(pid)
-                    for i, v in enumerate(rec, start=1):
-                        cols[i].append(v)
-                    for j, e in enumerate(extra, start=len(_FIELDS)):
-                        cols[j].append(e[n])
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
+            start, size, tables = 0, 0, []
+            for html in batch.column(n_carry):
+                text = html.as_py()
+                tables.append(parse_tables(text))
+                size += len(text or "")
+                if size >= FLUSH_AT:
+                    yield _tables_batch(batch.slice(start, len(tables)), n_carry, tables)
+                    start, size, tables = start + len(tables), 0, []
+            if tables:
+                yield _tables_batch(batch.slice(start, len(tables)), n_carry, tables)
 
     return fn
 
 
+def _tables_batch(pages: pa.RecordBatch, n_carry: int, tables: list) -> pa.RecordBatch:
+    names = [*pages.schema.names[:n_carry], "tables"]
+    return pa.RecordBatch.from_arrays([*pages.columns[:n_carry], pa.array(tables, _ARROW_TABLES)], names=names)
+
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -31,12 +31,39 @@ def pages(spark, rows):
 
 
 def test_parser_records():
-    recs = H.parse_tables(SECTIONED)
-    heads = [r for r in recs if r[1] == "head"]
-    assert heads[0][5] == ["Bindningstid", "Snitträntaapril", "Listränta från 5 maj 2024"]
-    rows = [r for r in recs if r[1] == "row" and r[2] == "tbody"]
-    assert rows[0][5] == ["3 mån", "3,95 %", "4,25%"] and rows[0][6] == ["3 mån", "3,95 %", "4,25 %"]
-    assert H.parse_tables("") == [] and H.parse_tables("<p>no tables</p>") == []
+    (table,) = H.parse_tables(SECTIONED)
+    assert table["caption"] == "Aktuella bolåneräntor" and "4,25 %" in table["text"]
+    assert table["heads"] == ["Bindningstid", "Snitträntaapril", "Listränta från 5 maj 2024"]
+    rows = [r for r in table["rows"] if r["section"] == "tbody"]
+    assert rows[0]["cells"] == ["3 mån", "3,95 %", "4,25%"] and rows[0]["cells_spaced"] == ["3 mån", "3,95 %", "4,25 %"]
+    assert H.parse_tables("") == [] and H.parse_tables("<p>no tables</p>") == [] and H.parse_tables(None) == []
+
+
+def test_nested_and_unclosed_tables():
+    outer, inner = H.parse_tables("<table><caption>a</caption><caption>b</caption><tr><td>1<table><tr><td>2 %</table><td>3</tr><tr><td>4")
+    assert outer["caption"] == "a" and [r["cells"] for r in outer["rows"]] == [["1", "3"], ["4"]] and "%" not in outer["text"]
+    assert [r["cells"] for r in inner["rows"]] == [["2 %"]] and inner["heads"] is None and inner["caption"] is None
+
+
+def test_percent_outside_cells_chooses_a_table(spark):
+    html = """<table><tr><td>a</td><td>b</td></tr></table><table>Ränta i %<tr><th>x</th></tr><tr><td>5 år</td><td>3,5</td></tr></table>
+    <table><tr><td>h</td></tr><tr><td>1 år</td><td>9 %</td></tr></table>"""
+    df = pages(spark, [(1, "Nordea", "T", html), (2, "Nordea", "T", "<table><script>var p = '%';</script><tr><td>1 år</td><td>1</td></tr></table>")])
+    assert [(r.period_label, r.list_rate) for r in H.extract_bank_pages(df).collect()] == [("5Y", 3.5)]
+
+
+def test_pages_are_not_shuffled_and_leave_in_batches(spark, monkeypatch):
+    from ratebridge.sources import html_parse
+
+    df = pages(spark, [(i, "Nordea", f"T{i}", PLAIN) for i in range(40)]).coalesce(1)
+    plan = H.extract_bank_pages(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    monkeypatch.setattr(html_parse, "FLUSH_AT", 2000)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(40)), "html": [PLAIN] * 40})
+    out = list(html_parse.pages_fn(1)([batch]))
+    assert len(out) >= 10 and [i for b in out for i in b.column(0).to_pylist()] == list(range(40))
 
 
 def test_plain_table_caption_fallback_skips_and_ffill(spark):
