@@ -115,10 +115,8 @@ _FUNDING_COLS = ["funding_model", "funding_weight_2y", "funding_weight_5y", *FN.
     "funding_components",
     O.with_ctes(
         ["latest_bank", "market"],
-        "SELECT f.bank, f.period_label, f.period_years, f.list_rate, f.funding_date, "
-        + ", ".join(f"f.{c}" for c in _FUNDING_COLS)
-        + f", round({O.COMPONENT_SUM}, 4) AS funding_cost FROM funding f",
-        extra=[O.funding_cte("l.bank, l.period_label, l.period_years, l.list_rate")],
+        f"SELECT bank, period_label, period_years, list_rate, funding_date, {', '.join(_FUNDING_COLS)}, round(cost, 4) AS funding_cost FROM priced",
+        extra=[O.tenor_cte("latest_bank"), O.priced_cte("latest_bank")],
     ),
 )
 def q_funding_components(spark, sf_dir):
@@ -137,15 +135,14 @@ def _part_tenors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PART_YEARS = "SELECT p_partkey, CAST(p_size AS DOUBLE) / 4 AS period_years FROM part"
-_fs = O.funding_sql("period_years")
 
 
-@register(
-    "curve_weights",
-    f"SELECT p_partkey, period_years, {_fs['funding_model']} AS funding_model, "
-    f"{_fs['funding_weight_2y']} AS funding_weight_2y, {_fs['funding_weight_5y']} AS funding_weight_5y "
-    f"FROM ({_PART_YEARS}) p",
-)
+def _of_parts(columns: str) -> str:
+    """Those columns for every part, from the relation of its tenor."""
+    return f"WITH parts AS ({_PART_YEARS}),{O.tenor_cte('parts')}\nSELECT p_partkey, period_years, {columns} FROM parts JOIN tenor ON tenor_years IS NOT DISTINCT FROM period_years"
+
+
+@register("curve_weights", _of_parts("funding_model, funding_weight_2y, funding_weight_5y"))
 def q_curve_weights(spark, sf_dir):
     y = F.col("period_years")
     return _part_tenors(spark, sf_dir).select(
@@ -156,18 +153,12 @@ def q_curve_weights(spark, sf_dir):
     )
 
 
-@register(
-    "tenor_labels",
-    f"SELECT p_partkey, period_years, {O.tenor_label_sql('period_years')} AS period_label FROM ({_PART_YEARS}) p",
-)
+@register("tenor_labels", _of_parts("tenor_label AS period_label"))
 def q_tenor_labels(spark, sf_dir):
     return _part_tenors(spark, sf_dir).select("p_partkey", "period_years", FN.tenor_label("period_years").alias("period_label"))
 
 
-@register(
-    "market_buckets",
-    f"SELECT p_partkey, period_years, {O.market_bucket_sql('period_years')} AS scb_bucket FROM ({_PART_YEARS}) p",
-)
+@register("market_buckets", _of_parts("scb_bucket"))
 def q_market_buckets(spark, sf_dir):
     return _part_tenors(spark, sf_dir).select("p_partkey", "period_years", FN.market_bucket("period_years").alias("scb_bucket"))
 
@@ -176,9 +167,8 @@ def q_market_buckets(spark, sf_dir):
     "part_funding_curve",
     O.with_ctes(
         ["market"],
-        "SELECT p.p_partkey, p.period_years, "
-        + ", ".join(f"{O.funding_sql('p.period_years')[c]} AS {c}" for c in FN.COMPONENT_COLUMNS)
-        + f" FROM ({_PART_YEARS}) p CROSS JOIN market m",
+        f"SELECT p_partkey, period_years, {', '.join(FN.COMPONENT_COLUMNS)} FROM priced",
+        extra=[f"\nparts AS ({_PART_YEARS})", O.tenor_cte("parts"), O.priced_cte("parts")],
     ),
 )
 def q_part_funding_curve(spark, sf_dir):
@@ -198,7 +188,7 @@ def q_scb_by_bucket(spark, sf_dir):
     return M.scb_by_bucket(latest_market_avg(spark, sf_dir))
 
 
-_BM_SQL = O.with_ctes(["latest_bank", "market"], O.bank_margin_select(), extra=[O.funding_cte(O.BM_LISTED)])
+_BM_SQL = O.with_ctes(["latest_bank", "market"], O.bank_margin_select(), extra=[O.tenor_cte("latest_bank"), O.priced_cte("latest_bank")])
 
 
 @register("bank_margin", _BM_SQL)
@@ -207,7 +197,7 @@ def q_bank_margin(spark, sf_dir):
 
 
 _BVM_SQL = O.with_ctes(
-    ["latest_bank", "market", "scb_buckets"], O.bank_vs_market_select(), extra=[O.funding_cte(O.BVM_LISTED)]
+    ["latest_bank", "market", "scb_buckets"], O.bank_vs_market_select(), extra=[O.tenor_cte("latest_bank"), O.priced_cte("latest_bank")]
 )
 
 
