@@ -29,13 +29,20 @@ ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents near some language; those the model rejects go. A null language takes the one found."""
+    """Documents near some language; those the model rejects go. A null language takes the one found.
+
+    A null text, or one without a letter, is rejected. Repeated rows stay repeated; an empty table gives none.
+    """
     found = identify_languages(docs, fit_languages(docs), keep=COLUMNS[1:])
     return found.filter(~F.col("rejected")).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without blocks of lines that an earlier one has; those left without a word by that go."""
+    """Documents without blocks of lines that an earlier one has; those left without a word by that go.
+
+    Documents that lose nothing stay as they are, null and empty texts too. A repeated row counts as a later
+    document of the same id. An empty table gives none.
+    """
     cut = remove_aligned_lines(docs, keep=("lang", "source", "n_chars"))
     cut = cut.filter((F.col("n_removed") == 0) | has_words(F.col("kept_text")))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
@@ -43,17 +50,26 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once; rows without an id stay."""
+    """The document with the smallest id of each group of near duplicates; rows without an id stay.
+
+    Of rows with one id and one text the first stays, by source, language and length; an
+    id that stands for several texts keeps one row of each. Null and empty texts are in
+    no group, so they stay. An empty table gives none.
+    """
     groups = similar_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
     rows = docs.select(*COLUMNS)
     kept = rows.join(groups, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
+    first = Window.partitionBy("doc_id", "text").orderBy("source", "lang", "n_chars")
     kept = kept.withColumn("_row", F.row_number().over(first)).filter("_row = 1").drop("_row")
     return kept.unionByName(rows.filter("doc_id IS NULL")).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document once for each epoch that takes it, cut to the words taken where the mix ends in it."""
+    """The mix: a document once for each epoch that takes it, cut to the words taken where the mix ends in it.
+
+    Documents without a word, null texts among them, are in no mix. Repeated rows take part one by one; a null
+    source is a source of its own. An empty table gives none.
+    """
     size = word_count("text").cast("long")
     _, sources, taken = mix_sources(docs, size)
     parts = taken.groupBy("place", "doc_id", "size", "copy", "epoch").agg(F.sum("n_words").alias("words"))
@@ -70,7 +86,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences, with their token ids."""
+    """Pieces of packed sequences, with their token ids.
+
+    A null or empty text is a document of the end id alone; repeated rows are packed as often as they stand. An
+    empty table gives no piece.
+    """
     return harmonic_packing(docs, tokenizer_path("byte_bpe_50k.json"), end_id=1)
 
 
