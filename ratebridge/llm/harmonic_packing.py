@@ -37,7 +37,9 @@ STRETCH = rf" ?[^{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+(?![^{UNICODE_SPACE}])|[{UN
 class IdEncoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    A text is the concatenation of its stretches (a visible run with the space
+    Texts of Latin letters are encoded at once by the merge ranks of the same vocabulary:
+    its ids are its ranks, and up to ``LATIN`` the pattern means the same to both
+    libraries. For the others, a text is the concatenation of its stretches (a visible run with the space
     before it, or white space), and no pre-token spans two stretches, so ids of a
     text are those of its stretches in order. Stretches and pre-tokens are cached;
     the library's model encodes a pre-token that is not. Texts that hold a
@@ -46,10 +48,15 @@ class IdEncoder:
 
     def __init__(self, tokenizer_path: str, cache_entries: int):
         import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        byte_of = {c: i for i, c in enumerate(byte_alphabet())}
+        ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t not in self.special}
+        self.ranked = tiktoken.Encoding(tokenizer_path, pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+        self.beyond = re.compile(rf"[^\x00-{LATIN}]")
         self.stretch, self.pre_token = re.compile(STRETCH), regex.compile(PRE_TOKEN)
         self.alphabet = byte_alphabet()
         self.stretches = TwoGenerationCache(self.encode_stretch, cache_entries)
@@ -71,6 +78,11 @@ class IdEncoder:
         if any(s in text for s in self.special):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return b"".join([i.to_bytes(4, "little") for i in ids])
+        if not self.beyond.search(text):
+            try:
+                return self.ranked.encode_to_numpy(text, disallowed_special=()).tobytes()
+            except ValueError:  # white space without end exhausts its pattern engine
+                pass
         known = self.stretches
         return b"".join([known[s] if len(s) <= 64 else self.encode_stretch(s) for s in self.stretch.findall(text)])
 

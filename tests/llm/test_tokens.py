@@ -48,6 +48,18 @@ def test_ids_are_the_librarys():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_of_latin_texts_are_the_librarys():
+    """Every code point up to the last Latin block, in all neighbourhoods, and runs without end."""
+    library, encoder = tokenizers.Tokenizer.from_file(BYTES), IdEncoder(BYTES, 1000)
+    rng = random.Random(4)
+    points = [chr(c) for c in range(0x250)]
+    texts = ["".join(rng.choices(points, k=rng.randint(1, 12))) for _ in range(6000)]
+    texts += [a + b + c for a in " a1.\n" for b in points for c in " a1.\n'"] + ["a" * 30_000, "#" * 5000, " \n" * 3000, chr(0x250) + "x" * 300, "a <|endoftext|> b"]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:50]
+    assert len(encoder.encode(" " * 1_500_000)) == 4 * len(library.encode(" " * 1_500_000, add_special_tokens=False).ids)
+
+
 def test_prefix_table_answers_budgets(awkward):
     library = tokenizers.Tokenizer.from_file(WORDS)
     found = prefix_token_table(awkward, WORDS)
