@@ -40,12 +40,17 @@ def winnow(hashes: np.ndarray, counts: np.ndarray, window: int, anchor: int):
     runs = rolling(hashes, anchor, ROLL_A)
     n = max(0, len(hashes) - window + 1)
     owner, inside = places(counts, window, n)
-    best, at = runs[:n].copy(), np.arange(n)
-    for j in range(1, window - anchor + 1):
-        ahead = runs[j:j + n]
-        lower = ahead <= best  # of equal ones the last, so choices of neighbouring windows agree
-        best[lower] = ahead[lower]
-        at[lower] = np.flatnonzero(lower) + j
+    if not n:
+        return owner, inside, np.zeros(0, np.int64), runs
+    # The low bits give way to the place, from the right: one minimum finds the smallest
+    # run and, of equal ones, the last, so that choices of neighbouring windows agree.
+    offsets = window - anchor
+    low = np.uint64((1 << offsets.bit_length()) - 1)
+    ranked = runs & ~low
+    best = ranked[:n] + np.uint64(offsets)
+    for j in range(1, offsets + 1):
+        np.minimum(best, ranked[j:j + n] + np.uint64(offsets - j), out=best)
+    at = np.arange(n) + (offsets - (best & low).astype(np.int64))
     return owner, inside, at, runs
 
 
