@@ -12,7 +12,7 @@ ROLL_A, ROLL_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
-def word_hashes(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes | None], lower: bool = False, cached: int = 250_000) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of all words, number of words of each text); texts in UTF-8.
 
     Splitting bytes at white space splits at the space and U+0009 to U+000D only, and
@@ -20,7 +20,7 @@ def word_hashes(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndar
     """
     import xxhash
 
-    cache = per_worker("word hashes", lambda: TwoGenerationCache(xxhash.xxh3_64_intdigest, 250_000))
+    cache = per_worker(("word hashes", cached), lambda: TwoGenerationCache(xxhash.xxh3_64_intdigest, cached))
     arrays, counts = [], np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         words = (text.lower() if lower else text).split() if text else ()

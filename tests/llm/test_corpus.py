@@ -120,6 +120,16 @@ def test_group_of_near_copies_around_no_hub(spark):
     assert sorted(map(tuple, similar_components(docs).collect()), key=repr) == components_by_hand(rows)
 
 
+def test_texts_that_share_an_id_all_link(spark):
+    """Two texts of one id, equally long, each similar to another document."""
+    rng = random.Random(5)
+    one, two = ([f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(2))
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join([*one, "more"])), (3, " ".join([*two, "more"])), (4, "alone " * 30)]
+    for repeated in (rows, rows + rows[:2]):
+        docs = spark.createDataFrame(repeated, "doc_id long, text string")
+        assert {r["doc_id"]: r["component_id"] for r in similar_components(docs).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_frequent_shingles_are_ordered_last(spark, monkeypatch):
     from ratebridge.llm import ngram_join
 
@@ -369,3 +379,13 @@ def test_pipeline_decisions(spark, checkpoints):
         words[i] += len(WORD.findall(t))
     taken = words_taken(*mix_sources(docs, word_count("text"))).collect()
     assert dict(words) == {r["doc_id"]: r["taken"] for r in taken if r["taken"]}
+
+
+def test_different_texts_of_one_id_stay_in_the_pipeline(spark, checkpoints):
+    import corpus_pipeline as P
+
+    one, two = "a river of stone and a quiet window over the garden " * 3, "nothing here is like that other text at all, not a word " * 3
+    rows = [(1, one, "en", "a", 1), (1, two, "en", "a", 1), (1, one, "en", "b", 1), (2, one + "too", "en", "a", 1), (None, one, "en", "a", 1), (3, None, None, "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(P.STAGES)["ngram_join"](spark, docs, "").collect()
+    assert sorted([(r["doc_id"], r["text"], r["source"]) for r in kept], key=repr) == sorted([(1, one, "a"), (1, two, "a"), (None, one, "a"), (3, None, "a")], key=repr)
