@@ -16,9 +16,13 @@ Equal sets are one node. Groups of similar nodes are not expanded into pairs:
 2. only pairs of nodes that are not yet connected and not yet tried are counted,
    filtered and verified, all of them. So the components are those of all links.
 
-A pair is filtered exactly: by min(l, l'), and by sizes less the prefix shingles
-that no other node has, which cannot be shared. In a round only the shingles of the
-hub count, so a pair that fails there may come again in the second step.
+A pair is filtered exactly: by min(l, l'), and by sizes less what cannot be shared.
+Of the prefix shingles of a set that no other prefix has, a partner holds none, or,
+where its prefix ends earlier, at most as many as its ceil(t * m) - l' exceeds the
+set's own ceil(t * n) - l. In a round only the shingles of the hub count, so a pair
+that fails there may come again in the second step.
+
+The sets of one id belong together, so their nodes are linked without a comparison.
 """
 
 from __future__ import annotations
@@ -229,27 +233,35 @@ def similar_components(
     members = shingled.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left")
     own = nodes.toDF("own_key", "node")
     firsts = shingled.join(own, (F.col("set_key") == F.col("own_key")) & (F.col("doc_id") == F.col("node")))
-    firsts = firsts.select("node", F.col("n_shingles").alias("n"), "asked", "prefix", "set_key").dropDuplicates(["node", "set_key"]).drop("set_key")
-    # Shingles that the same nodes hold are one: the smallest stands for all, with their number as its weight.
-    # Their nodes are told by number, smallest and an exclusive or of hashes.
-    held = firsts.select("node", F.explode("prefix").alias("shingle")).groupBy("shingle").agg(
-        F.count("*").alias("n"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("mark")).filter("n > 1")
+    firsts = firsts.select("node", F.col("n_shingles").alias("n"), "asked", "prefix", F.xxhash64("set_key").alias("set")).dropDuplicates(["node", "set"])
+    # Shingles that the same sets hold are one: the smallest stands for all, with their number as its weight.
+    # The sets are told by number, smallest node and an exclusive or of hashes (of sets, as a node may have several).
+    held = firsts.select("node", "set", F.explode("prefix").alias("shingle")).groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node", "set")).alias("mark")).filter("n > 1")
     alike = written(held.groupBy("n", "low", "mark").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight")).select("shingle", "weight"))
-    few = with_some(firsts, "prefix", Marks(alike, "shingle"), firsts.schema)
+    few = firsts.select("node", "prefix")
+    few = with_some(few, "prefix", Marks(alike, "shingle"), few.schema)
     postings = written(few.select("node", F.explode("prefix").alias("shingle")).join(alike, "shingle"))
-    # Prefix shingles that no other node has cannot be shared.
+    # Prefix shingles that no other set has there; of a node with several sets none counts.
     found = postings.groupBy("node").agg(F.sum("weight").alias("held"))
     facts = firsts.select("node", "n", "asked", F.size("prefix").alias("long")).join(found, "node").withColumn("alone", F.col("long") - F.col("held"))
-    facts = facts.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("least"), F.min("asked").alias("asked"), F.min("alone").alias("alone"), F.min("long").alias("long"))
+    facts = facts.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("least"), F.min("asked").alias("asked"), F.when(F.count("*") == 1, F.min("alone")).otherwise(0).alias("alone"), F.min("long").alias("long"))
     facts = written(facts)
     near = with_some(rows.filter("doc_id IS NOT NULL AND text IS NOT NULL"), "doc_id", Marks(facts, "node"), rows.schema)
     near = near.join(facts.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text")
     texts, stored = bucketed(near, ["node"])  # so that no verification shuffles the texts as they lie
 
+    def after(c: str) -> Column:
+        """How many shingles follow the prefix, less those that may be missing: ceil(t * n) - l, at most."""
+        return F.ceil(F.col(f"n_{c}") * percent / 100) - F.col(f"asked_{c}")
+
     def reaches(x: str, y: str) -> Column:
         """Sizes less what cannot be shared allow the threshold."""
-        could = F.least(*[F.col(f"n_{c}") - F.col(f"alone_{c}") for c in (x, y)])
-        return could * (100 + percent) >= (F.col(f"least_{x}") + F.col(f"least_{y}")) * percent
+        def could(c: str, other: str) -> Column:
+            beyond = F.greatest(F.lit(0), after(other) - after(c))
+            return F.col(f"n_{c}") - F.greatest(F.lit(0), F.col(f"alone_{c}") - beyond)
+
+        return F.least(could(x, y), could(y, x)) * (100 + percent) >= (F.col(f"least_{x}") + F.col(f"least_{y}")) * percent
 
     told = ("node", "component", "n", "least", "asked", "alone")
     links = tried = None
@@ -279,6 +291,9 @@ def similar_components(
     left = pairs.filter("n >= asked").join(tried, (tried["x"] == pairs["a"]) & (tried["y"] == pairs["b"]), "left_anti").select("a", "b")
     links = links.unionByName(written(verified(left, texts, width, percent)))
     spark.sql(f"DROP TABLE {stored}")
+    in_graph = members.filter("node IS NOT NULL").select("doc_id", "node")
+    several = in_graph.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
+    links = links.unionByName(in_graph.join(several, "doc_id").filter("a < node").select("a", F.col("node").alias("b")).distinct())
     components = connected_components(links)
 
     placed = members.join(components, "node", "left")

@@ -130,6 +130,31 @@ def test_texts_that_share_an_id_all_link(spark):
         assert {r["doc_id"]: r["component_id"] for r in similar_components(docs).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
 
 
+def test_a_document_inside_a_longer_one_links(spark, monkeypatch):
+    """80 shingles of 100: shared prefix shingles of the shorter one lie behind the prefix of the longer one."""
+    from ratebridge.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "OFTEN_IN_BATCH", 2)
+    rng, rows = random.Random(9), []
+    for i in range(40):
+        text = [f"y{rng.randrange(10**6)}" for _ in range(84 + i)]
+        more = [f"z{rng.randrange(10**6)}" for _ in range((80 + i) // 4)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join([*text, *more]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = components_by_hand(rows)
+    assert all(c == i - i % 2 for i, _, c in expected)
+    assert sorted(map(tuple, similar_components(docs).collect()), key=repr) == expected
+
+
+def test_texts_of_one_id_link_across_copies(spark):
+    """Document 2 holds the text of 1 and the text of 3, which are not similar: all three are one component."""
+    rng = random.Random(6)
+    one, two = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(2))
+    rows = [(1, one), (2, one), (2, two), (3, two), (4, "alone " * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, similar_components(docs).collect()), key=repr) == [(1, 56, 1), (2, 56, 1), (2, 56, 1), (3, 56, 1), (4, 1, 4)]
+
+
 def test_frequent_shingles_are_ordered_last(spark, monkeypatch):
     from ratebridge.llm import ngram_join
 
