@@ -18,13 +18,18 @@ from ratebridge import schemas as S
 from ratebridge.plans import marts as M
 from ratebridge.plans.build import DOCS
 from ratebridge.plans.staging import BLANKS
+from ratebridge.session import ensure_checkpoint_dir
 from ratebridge.sources.catalog import Namespace, as_table, persist_docs, sql_text
 from ratebridge.sources.raw import ensure_raw_tables
 
 
 @dataclass(frozen=True)
 class View:
-    """One row a key: of the rows of ``source`` the first in ``order``, then the ``added`` columns."""
+    """One row a key: of the rows of ``source`` the first in ``order``, then the ``added`` columns.
+
+    ``least`` names the first column of a rising order: rows alike in all others are first reduced to the
+    smallest of it, so that heavily repeated rows are aggregated as they are read, and not sorted.
+    """
 
     layer: str
     source: tuple[str, str]
@@ -33,6 +38,7 @@ class View:
     keys: Sequence[str]
     order: Sequence[str]
     dropped: Sequence[str] = ()
+    least: str | None = None
     added: Mapping[str, str] | None = None
     description: str = ""
     texts: Mapping[str, str] | None = None
@@ -67,7 +73,7 @@ VIEWS: dict[str, View] = {
         "staging", ("raw", "se_rates_raw"),
         {"rate_date": "CAST(rate_date AS DATE)", **{c: _trimmed(c) for c in ("series_id", "series_name", "category")}, "value": "CAST(value AS DECIMAL(10, 4))"},
         "rate_date IS NOT NULL AND series_id IS NOT NULL AND value IS NOT NULL",
-        ("rate_date", "series_id"), _rising("value", "series_name", "category"),
+        ("rate_date", "series_id"), _rising("value", "series_name", "category"), least="value",
         description="Rate observations with proper types, one a series and day, however often they were delivered.",
         texts={"rate_date": "Day observed.", "series_id": "Code of the series at its source.", "value": "Percent."},
     ),
@@ -121,9 +127,13 @@ def view_sql(ns: Namespace, view: View, as_of: str | dt.date | None = None) -> s
     names = {"as_of": f"DATE '{as_of}'" if as_of else "current_date()", "freshness": ns.table("intermediate", "freshness")}
     inner = ", ".join(f"{text} AS {name}" for name, text in view.columns.items())
     outer = [*(c for c in view.columns if c not in view.dropped), *(f"{text.format(**names)} AS {name}" for name, text in (view.added or {}).items())]
+    rows = f"SELECT {inner} FROM {ns.table(*view.source)} WHERE {view.where}"
+    if view.least:
+        rest = ", ".join(c for c in view.columns if c != view.least)
+        rows = f"SELECT {rest}, min({view.least}) AS {view.least} FROM ({rows}) GROUP BY {rest}"
     return (
         f"SELECT {', '.join(outer)} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(view.keys)} ORDER BY {', '.join(view.order)}) AS place "
-        f"FROM (SELECT {inner} FROM {ns.table(*view.source)} WHERE {view.where})) WHERE place = 1"
+        f"FROM ({rows})) WHERE place = 1"
     )
 
 
@@ -146,7 +156,8 @@ def build_environment(spark: SparkSession, ns: Namespace, locations: Mapping[str
     ensure_raw_tables(spark, ns.database("raw"), dict(locations))
     out = create_views(spark, ns, as_of)
     daily = out["rates_daily"] = as_table(M.rates_daily(out["stg_se_rates"]), ns, "marts", "rates_daily", fmt)
-    bank, scb = out["int_latest_bank_listed_rates"], out["int_latest_scb_mortgage_rates"]
+    ensure_checkpoint_dir(spark)
+    bank, scb = out["int_latest_bank_listed_rates"].checkpoint(), out["int_latest_scb_mortgage_rates"]
     out["bank_margin_analysis"] = as_table(M.bank_margin(daily, bank), ns, "marts", "bank_margin_analysis", fmt)
     out["bank_vs_market_analysis"] = as_table(M.bank_vs_market(daily, bank, scb), ns, "marts", "bank_vs_market_analysis", fmt)
     for name, (text, columns) in DOCS.items():
