@@ -191,3 +191,21 @@ def test_data_product_resolution(spark):
         ("data_product_freshness", "data product 'bad_col' freshness field 'funding_date' is not a column of 'rates_daily'"),
         ("data_product_relation", "data product 'bad_rel' names unknown relation 'nope'"),
     ]
+
+
+def test_sections_told_by_their_schema(spark):
+    """Odd names are quoted as schemas quote them; a null beside texts, which a schema hides, is still found."""
+    from pyspark.sql import functions as F
+
+    odd = doc(**{"$schema": "x"})
+    odd["states"].update({"a-b": dict(odd["states"]["done"]), "1`2": dict(odd["states"]["done"]), "\u00e9 .": dict(odd["states"]["done"])})
+    unknown = doc(more=1)
+    hidden = doc()
+    hidden["states"]["review"]["transitions"][0]["guard"] = None
+    hidden["states"]["review"]["transitions"][1]["guard"] = "g"
+    frame = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate([odd, unknown, hidden])], "i int, doc string")
+    got = frame.select("i", C.let(F.try_parse_json("doc"), lambda v: C.let(C.typed(v), lambda c: F.struct(
+        C.plainly_valid(v, c, F.col("doc")).alias("valid"), C.valid_sections(v, c, F.col("doc")).alias("sections")))).alias("r"))
+    sections = ["root.context_schema", "root.data_products", "root.states"]
+    assert [(r["i"], r["r"]["valid"], sorted(r["r"]["sections"])) for r in got.orderBy("i").collect()] == [(0, True, sections), (1, False, sections), (2, False, [])]
+    assert [(p, m) for p, r, m in run(spark, [hidden]) if r == "schema"] == [("c0.json", "None is not of type 'string'")]

@@ -166,3 +166,12 @@ def test_white_space_is_trimmed(spark):
 
     rows = spark.createDataFrame([("2024-01-01", "\tA \n", "\u000b n\r", " c\f", 1.0)], S.SE_RATES_RAW)
     assert [tuple(r)[1:4] for r in stage_rates(rows).collect()] == [("A", "n", "c")]
+
+
+def test_repeated_rates_are_aggregated_before_they_are_ranked(spark):
+    """Rows alike but for the value are reduced as they are read, so that the ranking sorts few."""
+    from ratebridge.plans.environment import VIEWS, view_sql
+    from ratebridge.sources.catalog import Namespace
+
+    sql = view_sql(Namespace(env="dev"), VIEWS["stg_se_rates"])
+    assert "min(value) AS value" in sql and "GROUP BY rate_date, series_id, series_name, category" in sql
