@@ -16,6 +16,11 @@ Equal sets are one node. Groups of similar nodes are not expanded into pairs:
 2. only pairs of nodes that are not yet connected and not yet tried are counted,
    filtered and verified, all of them. So the components are those of all links.
 
+Two nodes compared with one and the same hub share at most what the smaller share of
+the hub is, and what both have beside it. So such a pair is met at a shingle only if
+the first alone would do; else the two must have a shingle beside the hub in common,
+and there they are met instead, those shingles being rare in a group of near copies.
+
 A pair is filtered exactly: by min(l, l'), and by sizes less what cannot be shared.
 Of the prefix shingles of a set that no other prefix has, a partner holds none, or,
 where its prefix ends earlier, at most as many as its ceil(t * m) - l' exceeds the
@@ -105,23 +110,39 @@ def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndar
     return shingles[order], top["n"].to_numpy(np.int64)[order]
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the threshold; ``texts`` has (node, text)."""
+def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes: linked (the sets reach the threshold), shared shingles, and those of a that b lacks.
+
+    These are null where a shares less than 2 * ``percent`` - 100 percent of its own. ``texts`` has (node, text).
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 left, right = (shingle_sets(utf8(part.column(i)), width) for i in (2, 3))
-                keep = []
+                linked, shared, beside = [], [], []
                 for x, y in zip(left, right, strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in part.columns[:2]], names=["a", "b"])
+                    own = np.setdiff1d(x, y, assume_unique=True)
+                    both = len(x) - len(own)
+                    linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+                    shared.append(both)
+                    beside.append(own.view(np.int64) if 100 * both >= (2 * percent - 100) * len(x) else None)
+                yield pa.RecordBatch.from_arrays([
+                    *part.columns[:2],
+                    pa.array(linked, pa.bool_()),
+                    pa.array(shared, pa.int64()),
+                    pa.array(beside, pa.list_(pa.int64())),
+                ], names=["a", "b", "linked", "shared", "beside"])
 
     left, right = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long, linked boolean, shared long, beside array<long>")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the threshold."""
+    return compared(pairs, texts, width, percent).filter("linked").select("a", "b")
 
 
 class Marks:
@@ -187,6 +208,33 @@ def still_open(postings: DataFrame, components: DataFrame) -> DataFrame:
     return placed.join(apart.select("shingle"), "shingle", "left_semi")
 
 
+def near_hubs(results: DataFrame) -> DataFrame:
+    """(node, hub, inside, beside) of nodes compared with a hub: how many shingles they share, and the node's others.
+
+    A node whose rows give different results (its id stands for several texts) has none here.
+    """
+    result = F.struct("b", "shared", "beside")
+    told = results.groupBy("a").agg(F.min(result).alias("low"), F.max(result).alias("high")).filter("low <=> high AND low.beside IS NOT NULL")
+    return told.select(F.col("a").alias("node"), F.col("low.b").alias("hub"), F.col("low.shared").alias("inside"), F.col("low.beside").alias("beside"))
+
+
+def sharing_beside(nodes: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different components near one hub that share a shingle beside it, and enough in all.
+
+    ``nodes`` has (node, component, least, hub, inside), ``near`` what ``near_hubs`` gives.
+    """
+    held = nodes.join(near.select("node", "beside"), "node").withColumn("others", F.size("beside")).withColumn("shingle", F.explode("beside")).drop("beside")
+    apart = held.groupBy("hub", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    held = written(held.join(apart.select("hub", "shingle"), ["hub", "shingle"], "left_semi"))
+    one, two = (held.select([F.col(c).alias(f"{c}_{x}") for c in held.columns]) for x in "ab")
+    most = F.least("inside_a", "inside_b")
+    sizes = (F.col("least_a") + F.col("least_b")) * percent
+    met = one.join(two, (F.col("hub_a") == F.col("hub_b")) & (F.col("shingle_a") == F.col("shingle_b")) & (F.col("node_a") < F.col("node_b"))
+                   & (F.col("component_a") != F.col("component_b")) & ((most + F.least("others_a", "others_b")) * (100 + percent) >= sizes))
+    met = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), most.alias("most"), sizes.alias("sizes")).agg(F.count("*").alias("n"))
+    return met.filter((F.col("most") + F.col("n")) * (100 + percent) >= F.col("sizes")).select("a", "b")
+
+
 def similar_components(
     docs: DataFrame,
     width: int = 5,
@@ -264,7 +312,7 @@ def similar_components(
         return F.least(could(x, y), could(y, x)) * (100 + percent) >= (F.col(f"least_{x}") + F.col(f"least_{y}")) * percent
 
     told = ("node", "component", "n", "least", "asked", "alone")
-    links = tried = None
+    links = tried = near = None
     open_ = written(postings.join(facts.withColumn("alone_part", F.col("alone") / F.col("long")).drop("long"), "node").withColumn("component", F.col("node")))
     for turn in range(HUB_ROUNDS):
         pick = F.struct("alone_part", "node") if not turn else F.struct(F.xxhash64("node", F.lit(turn)), "node")
@@ -277,7 +325,9 @@ def similar_components(
         if tried is not None:
             to_hub = to_hub.join(tried, (tried["x"] == F.least("a", "b")) & (tried["y"] == F.greatest("a", "b")), "left_anti")
         to_hub = written(to_hub.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
-        found = written(verified(to_hub, texts, width, percent))
+        results = written(compared(to_hub, texts, width, percent))
+        near = written(near_hubs(results)) if near is None else near
+        found = results.filter("linked").select("a", "b")
         now = to_hub.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         tried = now if tried is None else tried.unionByName(now)
         links = found if links is None else links.unionByName(found)
@@ -285,10 +335,16 @@ def similar_components(
             break
         open_ = written(still_open(open_, connected_components(links)))
 
+    open_ = open_.join(near.select("node", "hub", "inside"), "node", "left")
+    told = (*told, "hub", "inside")
     one, two = (open_.select("shingle", "weight", *[F.col(c).alias(f"{c}_{x}") for c in told]) for x in "ab")
-    pairs = one.join(two, (one["shingle"] == two["shingle"]) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & reaches("a", "b"))
+    enough = F.least("inside_a", "inside_b") * (100 + percent) >= (F.col("least_a") + F.col("least_b")) * percent
+    met_here = F.coalesce((F.col("hub_a") != F.col("hub_b")) | enough, F.lit(True))
+    pairs = one.join(two, (one["shingle"] == two["shingle"]) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & reaches("a", "b") & met_here)
     pairs = pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.least("asked_a", "asked_b").alias("asked")).agg(F.sum(one["weight"]).alias("n"))
-    left = pairs.filter("n >= asked").join(tried, (tried["x"] == pairs["a"]) & (tried["y"] == pairs["b"]), "left_anti").select("a", "b")
+    grouped = open_.filter("hub IS NOT NULL").select("node", "component", "least", "hub", "inside").distinct()
+    left = pairs.filter("n >= asked").select("a", "b").unionByName(sharing_beside(grouped, near, percent)).distinct()
+    left = left.join(tried, (tried["x"] == left["a"]) & (tried["y"] == left["b"]), "left_anti")
     links = links.unionByName(written(verified(left, texts, width, percent)))
     spark.sql(f"DROP TABLE {stored}")
     in_graph = members.filter("node IS NOT NULL").select("doc_id", "node")

@@ -166,6 +166,33 @@ def test_frequent_shingles_are_ordered_last(spark, monkeypatch):
     assert sorted(map(tuple, similar_components(docs).collect()), key=repr) == components_by_hand(rows)
 
 
+def test_near_copies_of_one_text_are_not_all_compared(spark, monkeypatch):
+    """Copies far from all others of their group are told by what they share beside the hub; those that do link stay."""
+    from ratebridge.llm import ngram_join
+
+    rng, tried = random.Random(10), []
+    base = [f"b{i}" for i in range(150)]
+
+    def edited(text, places, word=lambda at: f"v{rng.randrange(10**9)}"):
+        return [word(at) if at in places else w for at, w in enumerate(text)]
+
+    texts = [edited(base, {rng.randrange(5, 145)}) for _ in range(60)]
+    for _ in range(30):  # 20 shingles of 146 are other ones, 5 of them held by one other document
+        twin = edited(base, {first := rng.randrange(5, 25)})
+        texts += [edited(twin, {first + 12 * k + rng.randrange(5) for k in (2, 5, 8)}) for _ in range(2)]
+    far = edited(base, set(range(6, 140, 30)))
+    texts += [edited(far, {at}) for at in (20, 50, 80, 110)]  # link with one another only
+    rows = [(0, " ".join(base)), *[(i + 1, " ".join(t)) for i, t in enumerate(texts)], (7, " ".join(far)), (31, "one more text")]
+
+    verified = ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *a: tried.append(pairs.count()) or verified(pairs, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    expected = components_by_hand(rows)
+    assert 20 < len({c for _, _, c in expected}) < 100
+    assert sorted(map(tuple, similar_components(docs).collect()), key=repr) == expected
+    assert sum(tried) < 3 * len(rows)
+
+
 def test_connected_components(spark, checkpoints):
     links = [(i, i + 1) for i in range(1, 14)] + [(100, 100), (200, 201), (201, 200), (300, 7), (None, 4)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))
