@@ -11,7 +11,8 @@ centroids of other rows of their language.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,6 +75,22 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in a fraction of their bytes, as most are zero."""
+    return zlib.compress(counts.tobytes(), 1)
+
+
+def unit_features(counts: Iterable[bytes], idf: np.ndarray) -> np.ndarray:
+    """Weighted rows of length one of packed counts, ordered by the counts; made in place, little more is held."""
+    counts = sorted(counts, key=zlib.decompress)
+    rows = np.empty((len(counts), len(idf)), np.float32)
+    for i, x in enumerate(counts):
+        rows[i] = np.frombuffer(zlib.decompress(x), np.float32)
+    for at in range(0, len(rows), 64):
+        rows[at:at + 64] = unit_rows(np.log1p(rows[at:at + 64]) * idf)
+    return rows
+
+
 def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """At most k unit centroids; seeds are the row nearest the mean, then ever the farthest row."""
     seeds = [int(np.argmax(rows @ rows.mean(axis=0)))]
@@ -150,7 +167,7 @@ def fit_languages(
                 counts = ngram_counts(text.as_py(), bits)
                 if counts is None:  # letters of a newer Unicode version
                     continue
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([counts.tobytes()], pa.binary())], names=["_lang", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([packed(counts)], pa.binary())], names=["_lang", "counts"])
 
     featured = sample.mapInArrow(featurize, "_lang string, counts binary").persist()
     try:
@@ -159,7 +176,7 @@ def fit_languages(
             for batch in batches:
                 for x in batch.column(0):
                     n += 1
-                    seen += np.frombuffer(x.as_py(), np.float32) > 0
+                    seen += np.frombuffer(zlib.decompress(x.as_py()), np.float32) > 0
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([seen.tolist()], pa.list_(pa.int64()))], names=["n", "seen"])
 
         parts = featured.select("counts").coalesce(8).mapInArrow(document_frequency, "n long, seen array<long>").collect()
@@ -167,8 +184,7 @@ def fit_languages(
         idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
         def cluster(part: pd.DataFrame) -> pd.DataFrame:
-            counts = np.stack([np.frombuffer(x, np.float32) for x in sorted(part["counts"])])
-            rows = unit_rows(np.log1p(counts) * idf)
+            rows = unit_features(part["counts"], idf)
             found, unseen = spherical_kmeans(rows, centroids_per_language), unseen_cosines(rows, centroids_per_language)
             bound = bound_share * float(np.quantile(unseen, bound_quantile)) if len(unseen) else 0.0
             return pd.DataFrame({"_lang": part["_lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in found], "bound": bound})

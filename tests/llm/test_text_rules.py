@@ -5,12 +5,14 @@ import math
 import random
 import re
 import string
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ratebridge.llm.divergence_rules import divergence_rules, histogram, js_distance
-from ratebridge.llm.language_id import fit_languages, identify_languages
+from ratebridge.llm.language_id import fit_languages, identify_languages, ngram_counts, packed, unit_features
 from ratebridge.llm.native import occurrences
 from ratebridge.llm.secret_scan import fit_markov, joined_spans, ordinary_samples, random_samples, secret_spans
 
@@ -183,6 +185,23 @@ def test_nearest_centroid_matches_plain_python(spark):
             assert found[i]["rejected"] == (near[best] < max(0.1, model.bounds[model.owner[best]]))
 
 
+def test_rows_of_the_language_fit_take_little_memory():
+    rng = random.Random(8)
+    counts = [ngram_counts(" ".join("".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(rng.randint(1, 300))), 12) for _ in range(600)]
+    idf = np.linspace(1, 5, 1 << 12, dtype=np.float32)
+    small = [packed(c) for c in counts]
+    assert sum(map(len, small)) < 0.3 * sum(c.nbytes for c in counts)
+    tracemalloc.start()
+    try:
+        rows = unit_features(small, idf)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    whole = np.log1p(np.stack(sorted(counts, key=lambda c: c.tobytes()))) * idf
+    whole = whole / np.linalg.norm(whole, axis=1, keepdims=True)
+    assert np.array_equal(rows, whole) and most < 2 * rows.nbytes
+
+
 def test_junk_and_unlearned_languages_are_rejected(spark):
     rng = random.Random(21)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").persist()
