@@ -51,15 +51,13 @@ FREQUENT = 1 << 16
 BATCH, OFTEN_IN_BATCH = 2500, 4
 #: Cost of verifying a pair, in postings read; largest number of shared prefix shingles asked for.
 VERIFY_COST, MOST_SHARED = 50, 4
-#: Words whose hashes a worker keeps, twice so many at most; steps here share an executor's memory.
-WORDS_CACHED = 80_000
 #: Rounds of verification against hubs, at most; they only spare pairs in the step that tries all.
 HUB_ROUNDS = 2
 
 
 def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text; a text with fewer words is one shingle, one without none."""
-    hashes, counts = word_hashes(texts, lower=True, cached=WORDS_CACHED)
+    hashes, counts = word_hashes(texts, lower=True)
     runs = rolling(hashes, width, ROLL_A)
     _, inside = places(counts, width, len(runs))
     begins = np.cumsum(counts) - counts
@@ -97,7 +95,7 @@ def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndar
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (b.slice(at, BATCH) for b in batches for at in range(0, b.num_rows, BATCH)):
-            hashes, counts = word_hashes(utf8(part.column(0)), lower=True, cached=WORDS_CACHED)
+            hashes, counts = word_hashes(utf8(part.column(0)), lower=True)
             runs = rolling(hashes, width, ROLL_A)
             found, n = np.unique(runs[places(counts, width, len(runs))[1]], return_counts=True)
             often = n >= OFTEN_IN_BATCH

@@ -5,28 +5,26 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from ratebridge.llm.workers import TwoGenerationCache, per_worker
-
 #: Odd multipliers of rolling and mixing hashes (fixed values).
 ROLL_A, ROLL_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
-def word_hashes(texts: list[bytes | None], lower: bool = False, cached: int = 250_000) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of all words, number of words of each text); texts in UTF-8.
 
     Splitting bytes at white space splits at the space and U+0009 to U+000D only, and
-    lower case of bytes changes A to Z only.
+    lower case of bytes changes A to Z only. Hashing a word costs less than looking it up
+    in a bounded cache that rare words keep turning over.
     """
-    import xxhash
+    from xxhash import xxh3_64_intdigest
 
-    cache = per_worker(("word hashes", cached), lambda: TwoGenerationCache(xxhash.xxh3_64_intdigest, cached))
     arrays, counts = [], np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         words = (text.lower() if lower else text).split() if text else ()
         counts[i] = len(words)
         if words:
-            arrays.append(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)))
+            arrays.append(np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)))
     return np.concatenate(arrays) if arrays else np.zeros(0, np.uint64), counts
 
 

@@ -63,6 +63,25 @@ def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def has_smaller(seed: np.ndarray, whole: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Of windows known by two hashes: whether one with a smaller id is equal. Only those that meet another are sorted by both."""
+    order = np.argsort(whole)
+    same = whole[order[1:]] == whole[order[:-1]]
+    meets = np.zeros(len(order), bool)
+    meets[1:] |= same
+    meets[:-1] |= same
+    order = order[meets]
+    order = order[np.lexsort((seed[order], whole[order]))]
+    out = np.zeros(len(whole), bool)
+    if len(order):
+        new = np.ones(len(order), bool)
+        new[1:] = (seed[order[1:]] != seed[order[:-1]]) | (whole[order[1:]] != whole[order[:-1]])
+        first = np.flatnonzero(new)
+        least = np.minimum.reduceat(ids[order], first)
+        out[order] = ids[order] > np.repeat(least, np.diff(first, append=len(order)))
+    return out
+
+
 def remove_repeats(
     docs: DataFrame,
     window: int = 13,
@@ -120,13 +139,8 @@ def remove_repeats(
                         if len(often):
                             spread[a:b] = np.isin(seed[a:b], often)
                 chosen = np.flatnonzero(around & inside)
-                who = ids[owner]
-                order = chosen[np.lexsort((who[chosen], whole[chosen], seed[chosen]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (seed[order[1:]] != seed[order[:-1]]) | (whole[order[1:]] != whole[order[:-1]])
-                least = who[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
                 repeat = np.zeros(len(at), bool)
-                repeat[order[who[order] > least]] = True
+                repeat[chosen] = has_smaller(seed[chosen], whole[chosen], ids[owner[chosen]])
                 # A repeat seen in the batch needs no comparison.
                 first, n = stretches(np.flatnonzero(repeat), owner)
                 yield emit(ids, keys, owner, begins, first, n, None, None, np.zeros(0, np.uint64))
@@ -163,25 +177,20 @@ def remove_repeats(
     def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         hashes = rows["hashes"].combine_chunks()
         hashes = hashes.chunk(0) if isinstance(hashes, pa.ChunkedArray) else hashes
-        width = np.diff(np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset:hashes.offset + len(hashes) + 1]) // 8
+        ends = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset:hashes.offset + len(hashes) + 1]
+        width = np.diff(ends) // 8
         ids, start, n, keys = (rows[c].to_numpy() for c in ("doc_id", "start", "n", "text_key"))
         done = np.flatnonzero(width == 0)
         yield pa.RecordBatch.from_arrays([pa.array(x[done]) for x in (ids, keys, start, n)], names=["doc_id", "text_key", "start", "n"])
         row = np.repeat(np.arange(len(ids)), width)
         if not len(row):
             return
-        step = np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width)
-        whole = np.frombuffer(b"".join(hashes.to_pylist()), np.uint64)
-        seed = rows["anchor"].to_numpy()[row]
-        order = np.lexsort((ids[row], whole, seed))
-        new = np.ones(len(order), bool)
-        new[1:] = (seed[order[1:]] != seed[order[:-1]]) | (whole[order[1:]] != whole[order[:-1]])
-        least = ids[row][order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        repeat = np.zeros(len(row), bool)
-        repeat[order[ids[row][order] > least]] = True
+        whole = np.frombuffer(hashes.buffers()[2], np.uint64, (ends[-1] - ends[0]) // 8, ends[0])
+        repeat = has_smaller(rows["anchor"].to_numpy()[row], whole, ids[row])
         first, length = stretches(np.flatnonzero(repeat), row)
         of = row[first]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[of], keys[of], start[of] + step[first], length)], names=["doc_id", "text_key", "start", "n"])
+        step = first - (np.cumsum(width) - width)[of]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[of], keys[of], start[of] + step, length)], names=["doc_id", "text_key", "start", "n"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

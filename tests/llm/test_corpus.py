@@ -4,16 +4,20 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ratebridge.llm.components import connected_components
 from ratebridge.llm.line_dedup import common_blocks, patience_matches, remove_aligned_lines
 from ratebridge.llm.ngram_join import similar_components
 from ratebridge.llm.queries import word_count
+from ratebridge.llm.shingles import word_hashes
 from ratebridge.llm.source_mixing import mix_sources, words_taken
-from ratebridge.llm.substring_dedup import remove_repeats
+from ratebridge.llm.substring_dedup import has_smaller, remove_repeats
 from ratebridge.llm.topk_search import block_topk, segment_topk
+from ratebridge.llm.workers import worker_state
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -58,6 +62,27 @@ def cut_by_hand(rows, window=13):
     return sorted(out, key=repr)
 
 
+def test_word_hashes_keep_no_words():
+    texts = [" ".join(f"w{i}" for i in range(5000)).encode(), None, b"", b"\t Un DEUX\x1cun\n"]
+    before = set(worker_state())
+    hashes, counts = word_hashes(texts)
+    assert counts.tolist() == [5000, 0, 0, 2] and len(set(hashes.tolist())) == 5002
+    assert hashes.tolist() == [xxhash.xxh3_64_intdigest(w) for t in texts for w in (t or b"").split()]
+    assert word_hashes(texts, lower=True)[0][5000] == xxhash.xxh3_64_intdigest(b"un")
+    assert set(worker_state()) == before
+
+
+def test_windows_with_a_smaller_equal():
+    rng = np.random.default_rng(2)
+    seed, whole = rng.integers(-3, 3, 400), rng.integers(0, 40, 400).astype(np.uint64)
+    ids = rng.integers(-5, 30, 400)
+    least = {}
+    for key, i in zip(zip(seed.tolist(), whole.tolist(), strict=True), ids.tolist(), strict=True):
+        least[key] = min(i, least.get(key, i))
+    assert has_smaller(seed, whole, ids).tolist() == [i > least[s, w] for s, w, i in zip(seed.tolist(), whole.tolist(), ids.tolist(), strict=True)]
+    assert not has_smaller(seed[:0], whole[:0], ids[:0]).size and not has_smaller(seed[:1], whole[:1], ids[:1]).any()
+
+
 def test_repeats_match_brute_force(spark, awkward):
     rows = copies(random.Random(1), 120, 120)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
