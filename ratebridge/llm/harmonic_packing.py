@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ratebridge.llm.tables import small_batches
 from ratebridge.llm.workers import TwoGenerationCache, byte_alphabet, per_worker
 
 #: Code points that are white space to the library (fixed values of the Unicode property White_Space).
@@ -168,6 +169,7 @@ def harmonic_packing(
     Sequence ids are partition number * 2^40 + a count, so tasks number theirs
     alone and a task run again gives the same ids.
     """
+    small_batches(docs.sparkSession)
     schema = T.StructType([
         T.StructField("doc_id", docs.schema[id_col].dataType),
         T.StructField("start", T.LongType()),
@@ -204,7 +206,7 @@ def harmonic_packing(
             id_type = batch.schema.field(0).type
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 packer.add(key, encoder.encode(text.as_py() or "") + end)
-                if len(packer.out) >= 2000:
+                if len(packer.out) >= 500:
                     yield flush()
         packer.close()
         if packer.out:

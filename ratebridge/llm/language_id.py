@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratebridge.llm.tables import small_batches, written
 from ratebridge.llm.workers import per_worker
 
 #: The language of a text without letters.
@@ -146,6 +147,7 @@ def fit_languages(
     Rows with a null id, text or language or without a letter teach nothing.
     With no row left the model is empty, and every text is undetermined.
     """
+    small_batches(labelled.sparkSession)
     has_letter = F.col("_text").rlike(r"\p{L}")
     rows = labelled.select(labelled[id_col].alias("_id"), labelled[text_col].alias("_text"), labelled[lang_col].alias("_lang"))
     rows = rows.filter(F.col("_id").isNotNull() & F.col("_lang").isNotNull() & has_letter)
@@ -169,29 +171,28 @@ def fit_languages(
                     continue
                 yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([packed(counts)], pa.binary())], names=["_lang", "counts"])
 
-    featured = sample.mapInArrow(featurize, "_lang string, counts binary").persist()
-    try:
-        def document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n, seen = 0, np.zeros(1 << bits, np.int64)
-            for batch in batches:
-                for x in batch.column(0):
-                    n += 1
-                    seen += np.frombuffer(zlib.decompress(x.as_py()), np.float32) > 0
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([seen.tolist()], pa.list_(pa.int64()))], names=["n", "seen"])
-
-        parts = featured.select("counts").coalesce(8).mapInArrow(document_frequency, "n long, seen array<long>").collect()
-        n, seen = sum(p["n"] for p in parts), np.sum([p["seen"] for p in parts], axis=0)
-        idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
-
-        def cluster(part: pd.DataFrame) -> pd.DataFrame:
-            rows = unit_features(part["counts"], idf)
-            found, unseen = spherical_kmeans(rows, centroids_per_language), unseen_cosines(rows, centroids_per_language)
-            bound = bound_share * float(np.quantile(unseen, bound_quantile)) if len(unseen) else 0.0
-            return pd.DataFrame({"_lang": part["_lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in found], "bound": bound})
-
-        clustered = featured.groupBy("_lang").applyInPandas(cluster, "_lang string, centroid binary, bound double").collect()
-    finally:
-        featured.unpersist()
+    # Written, as a task that also made them would need a second Python worker, which stays.
+    featured = written(sample.mapInArrow(featurize, "_lang string, counts binary"))
+
+    def document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, seen = 0, np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                n += 1
+                seen += np.frombuffer(zlib.decompress(x.as_py()), np.float32) > 0
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([seen.tolist()], pa.list_(pa.int64()))], names=["n", "seen"])
+
+    parts = featured.select("counts").coalesce(8).mapInArrow(document_frequency, "n long, seen array<long>").collect()
+    n, seen = sum(p["n"] for p in parts), np.sum([p["seen"] for p in parts], axis=0)
+    idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
+
+    def cluster(part: pd.DataFrame) -> pd.DataFrame:
+        rows = unit_features(part["counts"], idf)
+        found, unseen = spherical_kmeans(rows, centroids_per_language), unseen_cosines(rows, centroids_per_language)
+        bound = bound_share * float(np.quantile(unseen, bound_quantile)) if len(unseen) else 0.0
+        return pd.DataFrame({"_lang": part["_lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in found], "bound": bound})
+
+    clustered = featured.groupBy("_lang").applyInPandas(cluster, "_lang string, centroid binary, bound double").collect()
     bound_of = {r["_lang"]: r["bound"] for r in clustered}
     clustered = sorted((r["_lang"], bytes(r["centroid"])) for r in clustered)
     languages = tuple(sorted({x for x, _ in clustered}))
@@ -215,6 +216,7 @@ def identify_languages(
     cosines go to the language first in order. Repeated rows give repeated rows,
     an empty table none; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     fields = [T.StructField("doc_id", docs.schema[id_col].dataType), *(docs.schema[c] for c in keep)]
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     # Plain values: a broadcast is read on workers that may lack this package. Bounded by the parameters of the fit.

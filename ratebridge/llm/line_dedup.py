@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratebridge.llm.native import words_of
+from ratebridge.llm.tables import small_batches
 
 #: Bits of a longest common subsequence's table held at a time; larger ones are split.
 TABLE_BITS = 1 << 26
@@ -163,6 +164,7 @@ def remove_aligned_lines(
     lines that at most so many documents hold, or ``rare_factor`` times as many
     as hold the document's rarest shared line, then find partners.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), F.struct(*[docs[c] for c in keep]).alias("kept") if keep else F.lit(None).cast("string").alias("kept"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))  # tells rows of one id apart
     lines = F.split("text", "\n", -1)

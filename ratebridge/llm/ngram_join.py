@@ -42,13 +42,15 @@ from pyspark.sql import functions as F
 from ratebridge.llm.components import connected_components
 from ratebridge.llm.native import id_and_text
 from ratebridge.llm.shingles import ROLL_A, mixed, places, rolling, utf8, word_hashes
-from ratebridge.llm.tables import written
+from ratebridge.llm.tables import small_batches, written
 from ratebridge.operators.graph import bucketed
 
 #: Shingles ordered last, the most frequent ones, are at most so many (bounds what workers get).
 FREQUENT = 1 << 16
 #: Documents looked at together for frequent shingles, and how many of them must hold one for it to count there.
 BATCH, OFTEN_IN_BATCH = 2500, 4
+#: Documents whose words are hashed at a time.
+SLICE = 250
 #: Cost of verifying a pair, in postings read; largest number of shared prefix shingles asked for.
 VERIFY_COST, MOST_SHARED = 50, 4
 #: Rounds of verification against hubs, at most; they only spare pairs in the step that tries all.
@@ -93,13 +95,31 @@ def prefix_of(shingles: np.ndarray, percent: int, frequent: np.ndarray, counts:
 def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted, and their counts: those that some batch of rows holds often."""
 
+    def often_held(runs: list[np.ndarray]) -> pa.RecordBatch:
+        held = np.concatenate(runs)
+        runs.clear()
+        held.sort()
+        first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])[: len(held)])
+        n = np.diff(first, append=len(held))
+        often = n >= OFTEN_IN_BATCH
+        return pa.RecordBatch.from_arrays([pa.array(held[first[often]].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["shingle", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (b.slice(at, BATCH) for b in batches for at in range(0, b.num_rows, BATCH)):
-            hashes, counts = word_hashes(utf8(part.column(0)), lower=True)
-            runs = rolling(hashes, width, ROLL_A)
-            found, n = np.unique(runs[places(counts, width, len(runs))[1]], return_counts=True)
-            often = n >= OFTEN_IN_BATCH
-            yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["shingle", "n"])
+        # BATCH rows count together, however many of them Spark sends at a time.
+        held, n_rows = [], 0
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, min(SLICE, BATCH - n_rows))
+                hashes, counts = word_hashes(utf8(part.column(0)), lower=True)
+                runs = rolling(hashes, width, ROLL_A)
+                held.append(runs[places(counts, width, len(runs))[1]])
+                at, n_rows = at + part.num_rows, n_rows + part.num_rows
+                if n_rows == BATCH:
+                    yield often_held(held)
+                    n_rows = 0
+        if n_rows:
+            yield often_held(held)
 
     counted = texts.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
@@ -116,8 +136,8 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, SLICE // 2):
+                part = batch.slice(at, SLICE // 2)
                 left, right = (shingle_sets(utf8(part.column(i)), width) for i in (2, 3))
                 linked, shared, beside = [], [], []
                 for x, y in zip(left, right, strict=True):
@@ -250,6 +270,7 @@ def similar_components(
     not read. Ids are integers.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = id_and_text(docs, id_col, text_col)
     shared = spark.sparkContext.broadcast(frequent_shingles(rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("text"), width))
 
@@ -258,8 +279,8 @@ def similar_components(
 
         frequent, counts = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 sets = shingle_sets(utf8(part.column(1)), width)
                 prefixes = [prefix_of(s, percent, frequent, counts) for s in sets]
                 ends = np.cumsum([0, *[len(p) for _, p in prefixes]]).astype(np.int32)

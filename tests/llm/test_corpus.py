@@ -5,11 +5,14 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from ratebridge.llm.components import connected_components
+from ratebridge.llm.harmonic_packing import harmonic_packing
+from ratebridge.llm.language_id import fit_languages, identify_languages
 from ratebridge.llm.line_dedup import common_blocks, patience_matches, remove_aligned_lines
 from ratebridge.llm.ngram_join import similar_components
 from ratebridge.llm.queries import word_count
@@ -191,6 +194,44 @@ def test_frequent_shingles_are_ordered_last(spark, monkeypatch):
     assert sorted(map(tuple, similar_components(docs).collect()), key=repr) == components_by_hand(rows)
 
 
+def test_frequent_shingles_do_not_hang_on_the_batches_of_spark(spark):
+    """A shingle of every 400th document counts over 2,500 rows, also where Spark sends few rows at a time."""
+    from ratebridge.llm.ngram_join import frequent_shingles
+
+    rows = [(f"a{i} b{i} c{i}" + (" one two three four five" if i % 400 == 0 else ""),) for i in range(6000)]
+    texts = spark.createDataFrame(rows, "text string").coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    found = []
+    for n in ("10000", "300"):
+        spark.conf.set(setting, n)
+        found.append(frequent_shingles(texts, 5))
+    spark.conf.unset(setting)
+    # 7, 6 and (1,000 rows) 2 of 15 documents in the three batches
+    assert [n.tolist() for _, n in found] == [[13], [13]] and found[0][0].tolist() == found[1][0].tolist()
+
+
+def test_rows_go_to_workers_in_small_batches(spark, checkpoints):
+    """Texts of 20 MB in one partition reach a worker in parts of about 4 MB; a setting of the user stays."""
+    from ratebridge.llm.tables import BATCH_BYTES, BATCH_SETTING
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    texts = spark.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"))
+    operators = [lambda d: similar_components(d), lambda d: remove_aligned_lines(d), lambda d: identify_languages(d, fit_languages(d.withColumn("lang", F.lit("en")).limit(3))),
+                 lambda d: harmonic_packing(d, "none", 1)]
+    few = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    for operator in operators:
+        spark.conf.unset(BATCH_SETTING)
+        operator(few)
+        assert max(r["n"] for r in texts.mapInArrow(sizes, "n long").collect()) < 1.1 * BATCH_BYTES
+        spark.conf.set(BATCH_SETTING, "1000000")
+        operator(few)
+        assert spark.conf.get(BATCH_SETTING) == "1000000"
+    spark.conf.unset(BATCH_SETTING)
+
+
 def test_near_copies_of_one_text_are_not_all_compared(spark, monkeypatch):
     """Copies far from all others of their group are told by what they share beside the hub; those that do link stay."""
     from ratebridge.llm import ngram_join

@@ -231,3 +231,16 @@ def test_language_of_awkward_rows(awkward):
         assert r["rejected"] if no_letter else r["lang_pred"] in model.languages
     again = identify_languages(awkward.repartition(5), model).collect()
     assert sorted(map(repr, again)) == sorted(map(repr, identify_languages(awkward, model).collect()))
+
+
+def test_no_task_of_the_fit_needs_two_workers(spark, checkpoints, monkeypatch, capsys):
+    """What a step of the fit sends to Python comes from no other Python step: workers that are made stay."""
+    docs = spark.createDataFrame([(i, f"some text of row {i}", "en") for i in range(9)], "doc_id long, text string, lang string")
+    fitted, frames, kind = fit_languages(docs), [], type(docs)
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: frames.append(self) or plain(self, *a, **b))
+    again = fit_languages(docs)
+    assert len(frames) == 2 and np.array_equal(fitted.centroids, again.centroids)
+    for frame in frames:
+        frame.explain()
+    assert "MapInArrow" not in capsys.readouterr().out
